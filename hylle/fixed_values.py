@@ -107,6 +107,7 @@ PRODUCT_TYPES = (
 
 # --- fixed values: amounts, units and their patterns --------------------------
 # Digits and blanks are ASCII after clean_text; letters fold with Unicode rules.
+AMOUNT = r"[0-9]+(?:[.,][0-9]+)?"
 SIZE = r"([0-9]+(?:[.,][0-9]+)?)\s*(l|ml|g|kg|dl|cl|stk)"
 PERCENTAGE = r"([0-9]+(?:[.,][0-9]+)?)%"
 MULTIPACK = r"([0-9]+)x([0-9]+(?:[.,][0-9]+)?)\s*(g|ml|l|kg|stk)"

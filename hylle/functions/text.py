@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from hylle import fixed_values as V
 
-# Blank in the Unicode sense, plus the four separators Java leaves out.
-BLANK = r"[\s\x1c-\x1f]"
-EDGES = rf"(?U)^{BLANK}+|{BLANK}+$"
+# Blank in the Unicode sense, spelled out: a plain class is much cheaper to match
+# than the Unicode flag.
+BLANK = (
+    r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+)
+EDGES = rf"^{BLANK}+|{BLANK}+$"
 FOLD = "(?iu)"
 
 
@@ -75,24 +78,24 @@ def first_label(
 
 def clean_text(c: Column | str) -> Column:
     """One blank between words, commas for semicolons, no quotes or apostrophes."""
-    spaced = F.regexp_replace(text_or_empty(c), rf"(?U){BLANK}+", " ")
+    spaced = F.regexp_replace(text_or_empty(c), rf"{BLANK}+", " ")
     return F.translate(F.trim(spaced), ";\"'", ",")
 
 
 def parse_price(c: Column | str, header_text: str | None = None) -> Column:
     """First number of the text, 0.0 without one (or for the page header text)."""
-    price = F.coalesce(to_double(F.regexp_extract(col(c), V.PRICE, 1)), F.lit(0.0))
-    if header_text is None:
-        return price
-    return F.when(col(c).contains(header_text), F.lit(0.0)).otherwise(price)
+    text = col(c)
+    if header_text is not None:
+        text = F.when(~text.contains(header_text), text)
+    return F.coalesce(to_double(group_of(text, V.PRICE)), F.lit(0.0))
 
 
 def parse_unit_price(c: Column | str) -> Column:
     """struct(price, unit) of texts like ``kr 20,17 /l``."""
     text = F.replace(F.replace(col(c), F.lit("kr"), F.lit("")), F.lit("&nbsp;"), F.lit(" "))
-    pattern = "(?U)" + V.UNIT_PRICE.replace(r"\s", BLANK)
+    pattern = V.UNIT_PRICE.replace(r"\s", BLANK)
     return F.struct(
-        to_double(F.regexp_extract(text, pattern, 1)).alias("price"),
+        to_double(group_of(text, pattern, 1)).alias("price"),
         group_of(text, pattern, 2).alias("unit"),
     )
 
@@ -109,39 +112,71 @@ def is_upper(c: Column) -> Column:
     return (F.upper(c) == c) & (F.lower(c) != c)
 
 
+# Casting an empty text raises and catches inside the cast, so amounts are read
+# from a match that is NULL, never empty. The match is its own column in the hot
+# path: one regex pass over the info, then cheap reads of a few characters.
+
+
+def size_match(info: Column | str) -> Column:
+    return group_of(info, FOLD + V.SIZE, 0)
+
+
+def multipack_match(info: Column | str) -> Column:
+    return group_of(info, FOLD + V.MULTIPACK, 0)
+
+
+def leading_amount(match: Column | str) -> Column:
+    return to_double(F.regexp_extract(col(match), V.AMOUNT, 0))
+
+
+def trailing_unit(match: Column | str) -> Column:
+    return F.lower(F.regexp_extract(col(match), r"[^0-9\s]+$", 0))
+
+
+def multipack_size(match: Column | str) -> Column:
+    return to_double(F.regexp_extract(col(match), "[xX](" + V.AMOUNT + ")", 1))
+
+
+def multipack_count(match: Column | str) -> Column:
+    return F.regexp_extract(col(match), "[0-9]+", 0)
+
+
 def size_quantity(info: Column | str) -> Column:
-    return to_double(F.regexp_extract(col(info), FOLD + V.SIZE, 1))
+    return leading_amount(size_match(info))
 
 
 def size_unit(info: Column | str) -> Column:
-    return F.lower(group_of(info, FOLD + V.SIZE, 2))
+    return trailing_unit(size_match(info))
 
 
 def fat_content(info: Column | str) -> Column:
-    return to_double(F.regexp_extract(col(info), V.PERCENTAGE, 1))
+    return to_double(group_of(info, V.PERCENTAGE))
+
+
+def pack_word_count(info: Column | str) -> Column:
+    return group_of(info, FOLD + V.PACK_QUANTITY)
 
 
 def pack_quantity(info: Column | str) -> Column:
     """The N of ``N x size``, else the N of a pack word."""
-    multi = group_of(info, FOLD + V.MULTIPACK, 1)
-    pack = group_of(info, FOLD + V.PACK_QUANTITY, 1)
-    return F.coalesce(multi, pack).try_cast("bigint")
+    count = multipack_count(multipack_match(info))
+    return F.coalesce(count, pack_word_count(info)).try_cast("bigint")
 
 
 def unit_size(info: Column | str) -> Column:
-    return to_double(F.regexp_extract(col(info), FOLD + V.MULTIPACK, 2))
+    return multipack_size(multipack_match(info))
 
 
 def unit_size_unit(info: Column | str) -> Column:
-    return F.lower(group_of(info, FOLD + V.MULTIPACK, 3))
+    return trailing_unit(multipack_match(info))
 
 
 def egg_size(info: Column | str) -> Column:
-    return F.upper(group_of(info, FOLD + V.EGG_SIZE, 1))
+    return F.upper(group_of(info, FOLD + V.EGG_SIZE))
 
 
 def egg_quantity(info: Column | str) -> Column:
-    return group_of(info, FOLD + V.EGG_QUANTITY, 1).try_cast("bigint")
+    return group_of(info, FOLD + V.EGG_QUANTITY).try_cast("bigint")
 
 
 def egg_type(lower_info: Column | str) -> Column:
@@ -191,7 +226,7 @@ def brand(info: Column | str, lower_info_name: Column | str) -> Column:
 
 def subtitle_brand(info: Column | str) -> Column:
     """Last word of a subtitle with more than one word."""
-    words = F.split(strip(info), rf"(?U){BLANK}+")
+    words = F.split(strip(info), rf"{BLANK}+")
     return F.when(F.size(words) > 1, F.element_at(words, -1))
 
 
@@ -201,8 +236,8 @@ def info_parts(info: Column | str) -> Column:
     A part is a volume, else a fat percentage, else a brand; of several parts of
     one kind the last counts.
     """
-    volume = (FOLD + V.VOLUME_PART).replace("(?iu)", "(?iuU)").replace(r"\s", BLANK)
-    fat = (FOLD + V.FAT_PART).replace("(?iu)", "(?iuU)").replace(r"\s", BLANK)
+    volume = (FOLD + V.VOLUME_PART).replace(r"\s", BLANK)
+    fat = (FOLD + V.FAT_PART).replace(r"\s", BLANK)
     parts = F.transform(F.split(text_or_empty(info), ","), strip)
 
     def is_brand(part: Column) -> Column:

@@ -13,31 +13,39 @@ from hylle.schema import ATTRIBUTE_FIELDS, ATTRIBUTE_SCHEMA, PRODUCT_SCHEMA
 
 # Attributes written only when a rule matches; the others are always written.
 KEPT_WHEN_UNMATCHED = ("fat_content", "flavor", "product_type")
+# Attributes written only for rows of one subcategory.
+ONLY_FOR = {
+    "egg_size": "egg", "egg_quantity": "egg", "egg_type": "egg",
+    "cheese_type": "ost", "aging": "ost", "preparation": "ost",
+}
 
 
 def attribute_rules(profile: StoreProfile, info: str, lower_info: str, both: str) -> dict:
     """Attribute name -> expression, for the groups the store uses."""
-    is_egg = F.col("subcategory") == "egg"
-    is_cheese = F.col("subcategory") == "ost"
     groups: dict[str, dict[str, Column]] = {
-        "size": {"size_quantity": X.size_quantity(info), "size_unit": X.size_unit(info)},
-        "fat": {"fat_content": X.fat_content(info)},
+        "size": {
+            "size_quantity": X.leading_amount("_size"),
+            "size_unit": X.trailing_unit("_size"),
+        },
+        "fat": {"fat_content": X.to_double(F.col("_fat"))},
         "pack": {
-            "pack_quantity": X.pack_quantity(info),
-            "unit_size": X.unit_size(info),
-            "unit_size_unit": X.unit_size_unit(info),
+            "pack_quantity": F.coalesce(
+                X.multipack_count("_multi"), X.pack_word_count(info)
+            ).try_cast("bigint"),
+            "unit_size": X.multipack_size("_multi"),
+            "unit_size_unit": X.trailing_unit("_multi"),
         },
         "dietary": {flag: X.dietary_flag(lower_info, flag) for flag, _ in V.DIETARY_TERMS},
         "features": {"flavor": X.flavour(both), "product_type": X.product_type(both)},
         "egg": {
-            "egg_size": F.when(is_egg, X.egg_size(info)),
-            "egg_quantity": F.when(is_egg, X.egg_quantity(info)),
-            "egg_type": F.when(is_egg, X.egg_type(lower_info)),
+            "egg_size": X.egg_size(info),
+            "egg_quantity": X.egg_quantity(info),
+            "egg_type": X.egg_type(lower_info),
         },
         "cheese": {
-            "cheese_type": F.when(is_cheese, X.cheese_type(lower_info)),
-            "aging": F.when(is_cheese, X.cheese_aging(info)),
-            "preparation": F.when(is_cheese, X.cheese_preparation(lower_info)),
+            "cheese_type": X.cheese_type(lower_info),
+            "aging": X.cheese_aging(info),
+            "preparation": X.cheese_preparation(lower_info),
         },
     }
     return {name: rule for g in profile.attribute_groups for name, rule in groups[g].items()}
@@ -64,6 +72,9 @@ def enrich(products: DataFrame, profile: StoreProfile) -> DataFrame:
                 "_lower": F.lower("_info"),
                 "_both": F.lower(F.concat_ws(" ", "_name", "_info")),
                 "_swap": F.lower(F.concat_ws(" ", "_info", "_name")),
+                "_size": X.size_match("_info"),
+                "_multi": X.multipack_match("_info"),
+                "_fat": X.group_of("_info", V.PERCENTAGE),
             }
         )
         .withColumns(
@@ -78,8 +89,6 @@ def enrich(products: DataFrame, profile: StoreProfile) -> DataFrame:
         )
     )
     rules = attribute_rules(profile, "_info", "_lower", "_both")
-    only_if = {"egg_size": "egg", "egg_quantity": "egg", "egg_type": "egg",
-               "cheese_type": "ost", "aging": "ost", "preparation": "ost"}
     fields = []
     for name, _ in ATTRIBUTE_FIELDS:
         old = F.col("attributes")[name]
@@ -87,14 +96,14 @@ def enrich(products: DataFrame, profile: StoreProfile) -> DataFrame:
             new = old
         elif name in KEPT_WHEN_UNMATCHED:
             new = F.coalesce(rules[name], old)
-        elif name in only_if:
-            new = F.when(F.col("subcategory") == only_if[name], rules[name]).otherwise(old)
+        elif name in ONLY_FOR:
+            new = F.when(F.col("subcategory") == ONLY_FOR[name], rules[name]).otherwise(old)
         else:
             new = rules[name]
         fields.append(new.alias(name))
     return layered.withColumn(
         "attributes", F.when(F.col("_ok"), F.struct(*fields)).otherwise(F.col("attributes"))
-    ).drop("_ok", "_name", "_info", "_lower", "_both", "_swap")
+    ).drop("_ok", "_name", "_info", "_lower", "_both", "_swap", "_size", "_multi", "_fat")
 
 
 def with_product_columns(df: DataFrame) -> DataFrame:

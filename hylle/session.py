@@ -19,6 +19,9 @@ def build_session(app: str = "hylle", cores: int | str = "*", **conf: str) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        # Wide keyword projections: past this size HotSpot would interpret the
+        # generated method, so Spark splits it into smaller ones instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
