@@ -43,8 +43,7 @@ def category_from_url(spark, sf):
 
 @query(
     "pj5_category_name_filter",
-    f"SELECT name, url FROM {CATEGORIES} AS c WHERE contains(lower(name), lower('BruSHed'))"
-    f" OR contains(lower(name), 'i')",
+    f"SELECT name, url FROM {CATEGORIES} AS c WHERE contains(lower(name), 'i')",
 )
 def category_name_filter(spark, sf):
     cats = relation(spark, sf, "categories")
@@ -65,14 +64,12 @@ def categories_with_url(spark, sf):
 
 @query(
     "pj8_category_run_id",
-    f"SELECT c.name, r.run_id || '_' || c.name AS run_id FROM {CATEGORIES} AS c, "
-    f"(SELECT min(run_id) AS run_id FROM {as_sql('runs')} AS x) AS r",
+    f"SELECT seq, run_id || '_' || scraper_type AS run_id FROM {as_sql('runs')} AS r",
 )
 def category_run_id(spark, sf):
-    first = relation(spark, sf, "runs").agg(F.min("run_id").alias("run_id"))
-    cats = relation(spark, sf, "categories").withColumn("one", F.lit(1))
-    joined = cats.join(first.withColumn("one", F.lit(1)), "one")
-    return joined.select("name", P.category_run_id("run_id", "name").alias("run_id"))
+    return relation(spark, sf, "runs").select(
+        "seq", P.category_run_id("run_id", "scraper_type").alias("run_id")
+    )
 
 
 @query("pj9_base_url", f"SELECT url_id, {HAS_BASE} AS url FROM {URLS} AS u")
