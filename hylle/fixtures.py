@@ -111,7 +111,7 @@ FROM {part}""",
     "categories": """
 SELECT DISTINCT lower(replace(p_type, ' ', '-')) AS name,
  CASE WHEN p_type LIKE 'PROMO%' THEN concat('https://shop.example/no/categories/9-', lower(replace(p_type, ' ', '-')), '/')
-  WHEN p_type LIKE '%TIN' THEN '' WHEN p_type LIKE '%STEEL' THEN NULL
+  WHEN p_type LIKE 'SMALL%' THEN '' WHEN p_type LIKE 'LARGE%' THEN NULL
   ELSE concat('/no/categories/7-', lower(replace(p_type, ' ', '-')), '/') END AS url
 FROM {part}""",
     # product pages of the first store
