@@ -116,12 +116,37 @@ SELECT DISTINCT lower(replace(p_type, ' ', '-')) AS name,
 FROM {part}""",
     # product pages of the first store
     "product_pages": """
-SELECT product_id, url,
+SELECT product_id, url, category,
  concat('<!DOCTYPE html><html><body><main><article><div><img src="/img/', product_id, '.png?a=1&amp;b=2" alt="x"></div><h2>',
   replace(name, '"', '&quot;'), '</h2><p class="k-text-style--body-s">', coalesce(info, ''),
   '</p><span class="k-text-style--label-m k-text--weight-bold">', price_text,
   '</span><p class="k-text-style--label-s k-text-color--subdued">', coalesce(unit_price, ''),
   '</p></article></main></body></html>') AS html
+FROM ({products}) AS p""",
+    # category pages of the first store: links in sections, in the main part, or by word
+    "category_pages": """
+SELECT p_partkey AS page_id, concat('https://shop.example/no/categories/', cast(p_partkey AS string), '-melk/') AS url,
+ CASE WHEN p_partkey % 12 < 8 THEN concat('<html><body><nav><a href="/no/categories/5-nei/">Egg</a></nav><main><div><section><a href="/no/categories/', cast(p_partkey - p_partkey % 4 AS string), '-melk/"><span><span>✓</span>', p_name, ' (', cast(p_size AS string),
+  ')</span></a><a href="/om/">Om</a><a href="/no/categories/', cast(p_partkey - p_partkey % 4 AS string), '-melk/?x=1">Dobbel</a></section><section><a href="/no/categories/999-drikke/"><span>Alle i Drikke</span></a></section></div></main></body></html>')
+ WHEN p_partkey % 12 < 10 THEN concat('<html><body><main><div><div><section><a href="/tema/', cast(p_partkey AS string), '/"><h3>', p_name, '</h3>x</a><a href="">y</a></section></div></div></main></body></html>')
+ ELSE concat('<html><body><ul><li><a href="ost/', cast(p_partkey AS string), '">OST &amp; ', p_name, '</a><li><a href="/brus/">Brus</a></ul></body></html>') END AS html
+FROM {part}""",
+    # listing pages of the first store; some listings have an empty third page
+    "listing_pages": """
+SELECT p_partkey AS page_id, concat('https://shop.example/no/categories/', cast(p_partkey - p_partkey % 4 AS string), '-melk/') AS listing_url,
+ p_partkey % 4 + 1 AS page_no,
+ CASE WHEN p_partkey % 4 = 2 AND p_partkey % 12 < 4 THEN '<html><body><article><p>kr 10</p></article><a href="/no/products/">Alle</a></body></html>'
+ WHEN p_partkey % 4 = 3 THEN concat('<html><body><article><a href="/no/products/', cast(p_partkey AS string), '-x/">uten pris</a></article><a href="/no/products/news/1/">N</a><a href="/no/products/', cast(p_partkey + 1 AS string), '-x/">m</a></body></html>')
+ ELSE concat('<html><body><article><img src="/a.png"><a href="/no/products/search?q=1">s</a><a href="/no/products/', cast(p_partkey AS string), '-x/">a</a><a href="/no/products/7-y/">b</a><span>kr ', cast(p_size AS string),
+  '</span></article><article><a href="/no/products/', cast(p_partkey + 1 AS string), '-x/"><b>c</b></a><div>kr 5<article><a href="/no/products/', cast(p_partkey + 1 AS string), '-x/">d</a><i>kr</i></article></div></article><article>no price <a href="/no/products/8-z/">e</a></article></body></html>') END AS html
+FROM {part}""",
+    # product pages of the second store
+    "store2_pages": """
+SELECT product_id AS source_id, concat('https://shop.example/varer/meieri/', product_id, '/') AS url,
+ concat('<html><body><ol class="x breadcrumbs"><li><a href="/">Hjem</a><li><a href="/varer/">', coalesce(category, ''), '</a></ol><h1> ', replace(name, '"', '&quot;'), ' </h1>',
+  CASE WHEN seq % 3 = 0 THEN concat('<span itemprop="price" content="1">', price_text, '</span>') WHEN seq % 3 = 1 THEN concat('<div class="a ws-product-price-regular"><b>', price_text, '</b></div>') ELSE '' END,
+  CASE WHEN seq % 2 = 0 THEN concat('<p itemprop="description">', coalesce(info, ''), '</p>') ELSE concat('<p class="ws-product-description">', coalesce(info, ''), '</p><div itemprop="brand">', coalesce(brand, 'Ukjent'), '</div>') END,
+  '<div class="ws-product-image"><span><img src="/i/', product_id, '.jpg"></span></div></body></html>') AS html
 FROM ({products}) AS p""",
     # listing pages of the second store, one card each
     "card_pages": """

@@ -106,7 +106,7 @@ def enrich(products: DataFrame, profile: StoreProfile) -> DataFrame:
     ).drop("_ok", "_name", "_info", "_lower", "_both", "_swap", "_size", "_multi", "_fat")
 
 
-def with_product_columns(df: DataFrame) -> DataFrame:
+def with_product_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """All product columns in order; absent ones get their defaults."""
     defaults = {
         "product_id": F.uuid(),
@@ -125,7 +125,7 @@ def with_product_columns(df: DataFrame) -> DataFrame:
         else:
             value = defaults.get(field.name, F.lit(None)).cast(field.dataType)
         columns.append(value.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *keep)
 
 
 def enrich_frame(df: DataFrame, profile: StoreProfile) -> DataFrame:

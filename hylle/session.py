@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -46,3 +46,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="hylle-")
         root = _LOCAL_FOLDERS[app]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialised(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to the shared work folder and read back.
+
+    For results that several branches of a job read and that are costly to make
+    again, such as parsed pages.
+    """
+    path = work_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

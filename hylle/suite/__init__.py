@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
-MODULES = ("texts", "plans", "urls", "windows", "tables", "runs")
+MODULES = ("texts", "urls", "windows", "tables", "runs", "webpages", "plans")
 
 
 def query(name: str, sql: str | None = None):

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hylle.fixtures import as_sql, relation
+from hylle.plans.crawl import crawl_store1, crawl_store2
 from hylle.plans.enrich import enrich, enrich_frame, flat_attributes
+from hylle.plans.ingest import ingest
 from hylle.profiles import STORE1, STORE2
+from hylle.schema import ATTRIBUTE_FIELDS
+from hylle.sources.extract import store1_products
 from hylle.suite import dictionary_sql as D
 from hylle.suite import query
+from hylle.suite.tables import table_target
+from hylle.suite.webpages import CARDS, EXTRACTED, LISTED
 
 PRODUCTS = as_sql("products")
 KEPT = "product_id, name, info, category"
@@ -88,8 +94,6 @@ def required_columns(spark, sf):
 )
 def merge_attribute_groups(spark, sf):
     """Enrichment on top of attributes that rows already carry."""
-    from hylle.schema import ATTRIBUTE_FIELDS
-
     before = {"fat_content": F.col("seq").cast("double"), "flavor": F.col("name"),
               "egg_type": F.col("category")}
     struct = F.struct(
@@ -100,3 +104,102 @@ def merge_attribute_groups(spark, sf):
         "product_id", "size_quantity", "size_unit", "fat_content", "flavor", "egg_type",
         "cheese_type",
     )
+
+
+# --- crawl and ingest ----------------------------------------------------------
+
+COMPLETE = f"""(SELECT url, name, price, shown_price AS price_text FROM {EXTRACTED} AS x)"""
+READ_LISTED = f"""(SELECT listing_url, page_no, pos, link, row_number() OVER (PARTITION BY listing_url ORDER BY page_no, pos) AS rn
+ FROM {LISTED} AS l WHERE page_no < 3 OR page_id % 12 >= 4)"""
+WANTED = """(SELECT p_partkey, 'https://shop.example/no/categories/' || p_partkey || '-melk/' AS category_url,
+ 'https://shop.example/no/categories/' || (p_partkey - p_partkey % 4) || '-melk/' AS listing_url, p_name AS subcategory FROM part WHERE p_partkey % 12 < 8
+ UNION ALL SELECT p_partkey, 'https://shop.example/no/categories/' || p_partkey || '-melk/',
+ 'https://shop.example/no/categories/' || p_partkey || '-melk/', 'Alle i Melk' FROM part
+ WHERE NOT (p_partkey % 12 < 8 AND p_partkey % 4 = 0))"""
+
+
+@query(
+    "pl4_crawl_store1",
+    "SELECT w.category_url, w.subcategory, 'melk' AS category, l.page_no, l.pos, md5(c.url) AS product_id, c.url, c.name, c.price, c.price_text "
+    f"FROM {WANTED} AS w JOIN {READ_LISTED} AS l ON l.listing_url = w.listing_url AND l.rn <= 5 JOIN {COMPLETE} AS c ON c.url = l.link",
+)
+def crawl_first_store(spark, sf):
+    products = crawl_store1(
+        spark,
+        relation(spark, sf, "category_pages").select("url", "html"),
+        relation(spark, sf, "listing_pages"),
+        relation(spark, sf, "product_pages").select("url", "html"),
+        max_products=5,
+    )
+    return products.select(
+        "category_url", "subcategory", "category", "page_no", "pos", "product_id", "url",
+        "name", "price", "price_text",
+    )
+
+
+@query(
+    "pl5_crawl_store2",
+    "SELECT 'https://shop.example/varer/meieri-' || (page_id - page_id % 4) || '/' AS listing_url, page_id % 4 + 1 AS page_no, "
+    "product_id, name, brand, info, price, price_text, unit_price, image_url, url, 'Meieri ' || (page_id - page_id % 4) AS category "
+    f"FROM {CARDS} AS c WHERE page_id % 4 < 2 AND page_id - page_id % 4 IN (SELECT p_partkey FROM part)",
+)
+def crawl_second_store(spark, sf):
+    key = (F.col("page_id") - F.col("page_id") % 4).cast("string")
+    pages = relation(spark, sf, "card_pages").select(
+        F.concat(F.lit("https://shop.example/varer/meieri-"), key, F.lit("/")).alias("listing_url"),
+        (F.col("page_id") % 4 + 1).alias("page_no"),
+        "html",
+    )
+    return crawl_store2(spark, pages, max_products=2).drop("pos", "subcategory")
+
+
+INGESTED = "(SELECT * FROM " + EXTRACTED + " AS x WHERE category_name IN ('promo', 'economy', 'medium', 'standard'))"
+INGEST_SOURCE = f"""(SELECT md5(url) AS product_id, name, info, price, shown_price AS price_text, shown_unit AS unit_price, image AS image_url,
+ category_name AS category, 'r1_' || category_name AS run_id, url, CAST(NULL AS VARCHAR) AS brand, CAST(NULL AS VARCHAR) AS subcategory FROM {INGESTED} AS i)"""
+INGEST_KEPT = "product_id, name, info, price, price_text, unit_price, image_url, category, run_id, url"
+
+
+def run_ingest(spark, sf):
+    """One ingest of the configured categories into new tables."""
+    pages = relation(spark, sf, "product_pages").withColumnRenamed("category", "category_name")
+
+    def crawl(categories):
+        wanted = categories.select(F.col("name").alias("category_name"))
+        listed = pages.join(wanted, "category_name")
+        found = store1_products(listed.select("product_id", "url", "html", "category_name"))
+        return found.withColumns({"seq": F.xxhash64("url"), "category": F.lit(None).cast("string")})
+
+    products, runs = table_target(spark), table_target(spark, "runs")
+    ingest(
+        spark, relation(spark, sf, "categories"), crawl, STORE1, "r1", products, runs,
+        replace_existing=True, now=F.lit("2024-03-01T08:00:00Z").cast("timestamp"),
+    )
+    return products, runs
+
+
+@query(
+    "pl6_ingest_products",
+    f"SELECT * FROM {D.enriched(INGEST_SOURCE, 1, INGEST_KEPT)} AS e",
+)
+def ingest_products(spark, sf):
+    products, _ = run_ingest(spark, sf)
+    stored = spark.table(products.location)
+    return flat_attributes(
+        stored.select(*INGEST_KEPT.split(", "), "brand", "subcategory", "attributes")
+    )
+
+
+@query(
+    "pl6_ingest_runs",
+    "SELECT 'r1_' || name AS run_id, 'store1' AS scraper_type, "
+    "CASE WHEN starts_with(url, '/') THEN 'https://shop.example' || url ELSE url END AS category_url, "
+    "CASE WHEN n IS NULL THEN 'running' ELSE 'completed' END AS status, n AS num_products, "
+    "CASE WHEN n IS NOT NULL THEN 0 END AS duration_seconds "
+    f"FROM {as_sql('categories')} AS c LEFT JOIN (SELECT category_name, count(*) AS n FROM {INGESTED} AS i GROUP BY category_name) AS t "
+    "ON t.category_name = c.name WHERE coalesce(url, '') <> ''",
+)
+def ingest_runs(spark, sf):
+    _, runs = run_ingest(spark, sf)
+    return spark.table(runs.location).select(
+        "run_id", "scraper_type", "category_url", "status", "num_products", "duration_seconds"
+    )
