@@ -10,11 +10,16 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hylle.session import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# Tables with long texts: few rows per byte, much work per row.
+LONG_TEXTS = ("documents", "pages")
+
 STATEMENTS = {
     # product rows with sixteen name / info shapes
     "products": """
@@ -173,7 +178,8 @@ def render(name: str, table_ref) -> str:
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table or a derived relation as a DataFrame."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table) if name in LONG_TEXTS else table
     return spark.sql(render(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
 
 

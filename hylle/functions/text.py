@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from hylle import fixed_values as V
 
-# Blank in the Unicode sense, spelled out: a plain class is much cheaper to match
-# than the Unicode flag.
-BLANK = (
-    r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-)
+# Blanks in the Unicode sense, spelled out: a plain class is much cheaper to match
+# than the Unicode flag. ODD_BLANK is all of them but the space.
+ODD_BLANKS = r"\x09-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK = rf"[ {ODD_BLANKS}]"
+# A run of blanks that is not just one space; single spaces need no replacing.
+LONG_BLANK = rf"(?: (?={BLANK})|[{ODD_BLANKS}]){BLANK}*"
 EDGES = rf"^{BLANK}+|{BLANK}+$"
 FOLD = "(?iu)"
 
@@ -78,7 +79,7 @@ def first_label(
 
 def clean_text(c: Column | str) -> Column:
     """One blank between words, commas for semicolons, no quotes or apostrophes."""
-    spaced = F.regexp_replace(text_or_empty(c), rf"{BLANK}+", " ")
+    spaced = F.regexp_replace(text_or_empty(c), LONG_BLANK, " ")
     return F.translate(F.trim(spaced), ";\"'", ",")
 
 

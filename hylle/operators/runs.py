@@ -63,22 +63,22 @@ def first_by_suffix(stored: DataFrame, requests: DataFrame) -> DataFrame:
     ending is masked by each shape of that length, and a request then equals the
     masked ending. So the work grows with stored ids times shapes, not requests.
     """
-    shapes = requests.select(
-        F.regexp_replace("run_id", "[^_]", "x").alias("shape")
-    ).distinct().withColumn("size", F.length("shape"))
+    shape = F.regexp_replace("run_id", "[^_]", "x")
+    shapes = requests.select(shape.alias("shape")).distinct().select(
+        F.length("shape").alias("size"),
+        F.filter(
+            F.sequence(F.lit(1), F.length("shape")),
+            lambda i: F.substring("shape", i, F.lit(1)) == "_",
+        ).alias("marks"),
+    )
     sizes = F.when(F.length("run_id") >= 1, F.sequence(F.lit(1), F.length("run_id")))
     endings = stored.select("run_id", F.explode(sizes).alias("size")).join(shapes, "size")
-    ending = F.substring("run_id", -F.col("size"), F.col("size"))
-    masked = F.array_join(
-        F.transform(
-            F.sequence(F.lit(1), F.col("size")),
-            lambda i: F.when(F.substring("shape", i, F.lit(1)) == "_", F.lit("_")).otherwise(
-                F.substring(F.col("ending"), i, F.lit(1))
-            ),
-        ),
-        "",
+    masked = F.aggregate(
+        "marks",
+        F.right("run_id", F.col("size")),
+        lambda text, mark: F.overlay(text, F.lit("_"), mark, F.lit(1)),
     )
-    hits = endings.withColumn("ending", ending).select(masked.alias("wanted"), "run_id")
+    hits = endings.select(masked.alias("wanted"), "run_id")
     return hits.groupBy("wanted").agg(F.min("run_id").alias("suffix_match")).select(
         F.col("wanted").alias("run_id"), "suffix_match"
     )

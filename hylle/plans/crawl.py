@@ -103,7 +103,7 @@ def crawl_store2(
     pages = listing_pages.where(F.col("page_no") <= profile.page_cap).select(
         "listing_url", "page_no", "html"
     )
-    carded = E.cards(E.with_pagination(pages)).drop("html")
+    carded = E.cards(E.with_pagination(pages))
     parsed = materialised(
         spark,
         carded.select("listing_url", "page_no", "is_last", "_cards", "_boxes"),

@@ -10,6 +10,7 @@ from hylle.functions import text as X
 from hylle.functions import urls as U
 from hylle.operators.filters import complete_records
 from hylle.profiles import STORE1, STORE2, StoreProfile
+from hylle.session import spread
 from hylle.sources.markup import scopes
 
 
@@ -28,9 +29,14 @@ def first_of(hits: Column, rules: list[str], test=None) -> Column:
     return F.coalesce(*[hit(hits, rule, test) for rule in rules])
 
 
+def read_scopes(pages: DataFrame, job: str) -> DataFrame:
+    """The pages' scopes beside the page's columns, without the markup."""
+    return spread(pages).withColumn("_scopes", scopes("html", job)).drop("html")
+
+
 def page_hits(pages: DataFrame, job: str) -> DataFrame:
-    """The page scope's elements beside the page's columns, without the markup."""
-    read = pages.withColumn("_scopes", scopes("html", job)).drop("html")
+    """The page scope's elements beside the page's columns."""
+    read = read_scopes(pages, job)
     return read.withColumn("_hits", F.try_element_at("_scopes", F.lit(1))["hits"]).drop("_scopes")
 
 
@@ -83,7 +89,7 @@ def subcategory_links(pages: DataFrame, profile: StoreProfile = STORE1) -> DataF
     by_word = listed(
         lambda s: X.has_text(s["link"]) & category_word(s), lambda s: F.lower(s["text"])
     )
-    read = pages.withColumn("_scopes", scopes("html", "subcategories")).drop("html")
+    read = read_scopes(pages, "subcategories")
     found = read.withColumns({"_a": by_section, "_b": by_main, "_c": by_word})
     chosen = (
         F.when(F.size("_a") > 0, F.col("_a")).when(F.size("_b") > 0, F.col("_b")).otherwise(F.col("_c"))
@@ -124,7 +130,7 @@ def product_links(pages: DataFrame, profile: StoreProfile = STORE1) -> DataFrame
     from_page = F.transform(
         F.filter(F.try_element_at("_scopes", F.lit(1))["hits"], valid), lambda h: h["link"]
     )
-    read = pages.withColumn("_scopes", scopes("html", "product_links")).drop("html")
+    read = read_scopes(pages, "product_links")
     found = read.withColumns({"_cards": absolute(from_cards), "_page": absolute(from_page)})
     chosen = F.when(F.size("_cards") > 0, F.col("_cards")).otherwise(F.col("_page"))
     kept = [c for c in pages.columns if c != "html"]
@@ -187,7 +193,7 @@ def cards(pages: DataFrame) -> DataFrame:
     """Pages with their product cards as an array of scopes, by the first strategy
     that applies: marked list items, product boxes, items of the product list, or
     any list item that looks like a product."""
-    read = pages.withColumn("_scopes", scopes("html", "cards"))
+    read = read_scopes(pages, "cards")
     page = F.try_element_at("_scopes", F.lit(1))
 
     def of_kind(kind, test=None):
@@ -220,7 +226,7 @@ def card_products(carded: DataFrame, profile: StoreProfile = STORE2) -> DataFram
 
     Fields come from the card's first product box if it has one, else from the card.
     """
-    kept = [c for c in carded.columns if c not in ("html", "_cards", "_boxes")]
+    kept = [c for c in carded.columns if c not in ("_cards", "_boxes")]
     card = carded.select(*kept, "_boxes", F.posexplode("_cards").alias("pos", "_card"))
     inner = hit(F.col("_card.hits"), "box")["pos"]
     box = F.try_element_at(F.filter("_boxes", lambda s: s["pos"] == inner), F.lit(1))

@@ -201,6 +201,9 @@ class PageReader(HTMLParser):
         self.node = Node("", {}, None, 0, (0, 0, 0))
         self.open_scope(self.node, "page")
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def open_scope(self, node, kind):
         node.scope = {"kind": kind, "node": node, "has_box": False, "hits": []}
         self.scopes.append(node.scope)
@@ -306,13 +309,17 @@ def read_page(html: str | None, job: str) -> list[dict] | None:
 
 
 def scopes(html: Column | str, job: str) -> Column:
-    """The scopes of each page; only the html column goes to Python, in Arrow batches."""
+    """The scopes of each page; only the html column goes to Python, in Arrow batches.
+
+    Declared non-deterministic so that no filter on a result is moved below the call:
+    that would parse every page once for the filter and once more for the columns.
+    """
 
     @F.pandas_udf(SCOPE_TYPE)
     def read(pages: pd.Series) -> pd.Series:
         return pages.map(lambda page: read_page(page, job), na_action=None)
 
-    return read(html)
+    return read.asNondeterministic()(html)
 
 
 # Ship this module's code with the function: executors need no installed package.
