@@ -131,12 +131,12 @@ def with_product_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 def enrich_frame(df: DataFrame, profile: StoreProfile) -> DataFrame:
     """Enrich any frame with name and info; without them it is returned as it is.
 
-    The result has exactly the product columns. Only the first store reworks
+    The result has exactly the product columns; attributes are made anew. Only the first store reworks
     arbitrary frames; for the second the frame is returned unchanged.
     """
     if not {"name", "info"} <= set(df.columns) or profile.name == "store2":
         return df
-    return enrich(with_product_columns(df), profile)
+    return enrich(with_product_columns(df.drop("attributes")), profile)
 
 
 def flat_attributes(df: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def ingest(
     clock = F.current_timestamp() if now is None else now
     categories = P.with_url(
         category_relation(P.named_like(configured, category_filter), profile.base_url)
-    )
+    ).withColumn("name", F.coalesce("name", F.lit("unknown")))
     if runs is not None:
         if not spark.catalog.tableExists(runs.location):
             S.publish(spark, S.empty_runs(spark), runs.location, runs.folder)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from hylle.operators import filters as P
 from hylle.operators import merge as M
 from hylle.schema import PRODUCT_COLUMNS, PRODUCT_SCHEMA, RUN_SCHEMA, STORED_PRODUCT_SCHEMA
-from hylle.session import work_folder
+from hylle.session import materialised, work_folder
 from hylle.sources.codec import from_stored, to_stored
 
 PARTS = ["category_part", "scrape_date"]
@@ -123,14 +124,19 @@ def save(
 ) -> None:
     """Store a batch: files append or replace per day, tables insert or upsert.
 
-    The batch must be repeatable (no random ids), as it is read more than once.
+    A batch is read more than once, so one that might differ from reading to reading
+    (random ids, the current time) is written to the work folder first.
     """
+    if target.kind not in ("parquet", "csv", "table"):
+        raise ValueError(f"unknown storage kind: {target.kind}")
+    if not products._jdf.queryExecution().analyzed().deterministic():
+        products = materialised(spark, products.select(*PRODUCT_COLUMNS, seq), "batch")
     if target.kind in ("parquet", "csv"):
         if replace_existing and has_files(spark, target):
             replace_files(spark, products, target, seq)
         else:
             append_files(products, target)
-    elif target.kind == "table":
+    else:
         batch = products.select(*PRODUCT_COLUMNS, seq)
         if not spark.catalog.tableExists(target.location):
             publish(spark, empty(spark, PRODUCT_SCHEMA), target.location, target.folder)
@@ -141,8 +147,6 @@ def save(
         else:
             fresh = M.insert_absent(stored, batch, ["product_id"], seq).drop(seq)
             append_table(spark, fresh, target.location)
-    else:
-        raise ValueError(f"unknown storage kind: {target.kind}")
 
 
 def has_files(spark: SparkSession, target: Target) -> bool:
@@ -167,10 +171,11 @@ def load(
     limit: int | None = None,
 ) -> DataFrame:
     """Products with optional filters; a category reads only its own folders."""
-    rows = scan(spark, target)
-    if target.kind != "table":
-        rows = P.equal_where_given(rows, category_part=category)
-    rows = P.equal_where_given(rows, category=category, subcategory=subcategory, run_id=run_id)
+    by_category = "category" if target.kind == "table" else "category_part"
+    rows = P.equal_where_given(
+        scan(spark, target),
+        **{by_category: category, "subcategory": subcategory, "run_id": run_id},
+    )
     return P.first_rows(rows.select(*PRODUCT_COLUMNS), limit, "product_id")
 
 
@@ -192,17 +197,24 @@ def clear_tables(
     """
     listed = Target("parquet", work_folder(spark, "listed"))
     spark.table(runs.location).select("run_id").write.parquet(listed.location)
+
+    def clear_listed_runs():
+        ids = spark.read.schema("run_id string").parquet(listed.location)
+        left = spark.table(runs.location).join(ids, "run_id", "left_anti")
+        publish(spark, left, runs.location, runs.folder)
+
+    steps = {
+        "product_prices": lambda: clear(spark, prices),
+        "products": lambda: clear(spark, products),
+        "scraping_runs": clear_listed_runs,
+    }
     done = {}
-    for name, target in (("product_prices", prices), ("products", products)):
+    for name, step in steps.items():
         try:
-            clear(spark, target)
+            step()
             done[name] = True
-        except Exception:  # a missing child table must not stop the others
+        except AnalysisException:  # no such table: the others are still cleared
             done[name] = False
-    ids = spark.read.schema("run_id string").parquet(listed.location)
-    left = spark.table(runs.location).join(ids, "run_id", "left_anti")
-    publish(spark, left, runs.location, runs.folder)
-    done["scraping_runs"] = True
     return done
 
 

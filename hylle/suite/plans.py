@@ -194,7 +194,7 @@ def ingest_products(spark, sf):
     "SELECT 'r1_' || name AS run_id, 'store1' AS scraper_type, "
     "CASE WHEN starts_with(url, '/') THEN 'https://shop.example' || url ELSE url END AS category_url, "
     "CASE WHEN n IS NULL THEN 'running' ELSE 'completed' END AS status, n AS num_products, "
-    "CASE WHEN n IS NOT NULL THEN 0 END AS duration_seconds "
+    "CASE WHEN n IS NOT NULL THEN 0::BIGINT END AS duration_seconds "
     f"FROM {as_sql('categories')} AS c LEFT JOIN (SELECT category_name, count(*) AS n FROM {INGESTED} AS i GROUP BY category_name) AS t "
     "ON t.category_name = c.name WHERE coalesce(url, '') <> ''",
 )

@@ -137,5 +137,26 @@ def test_a_category_reads_only_its_folders(spark):
     S.save(spark, products(spark, (1, "a", "x", "m", DAY1), (2, "b", "x", "n", DAY1)), target, False, "seq")
     plan = S.load(spark, target, category="m").select("name")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(category_part" in plan
+    assert "ReadSchema: struct<name:string>" in plan
+
+
+def test_filters_reach_the_scan(spark):
+    target = table(spark, products(spark, (1, "a", "x", "m", DAY1)))
+    plan = S.load(spark, target, category="m").select("name")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(category), EqualTo(category,m)]" in plan
     assert "ReadSchema: struct<name:string,category:string>" in plan
+
+
+def test_rows_without_category_have_their_own_folder(spark):
+    target = files(spark, "parquet")
+    S.save(spark, products(spark, (1, "a", "x", None, DAY1), (2, "b", "x", "", DAY1), (3, "c", "x", "m", DAY1)), target, False, "seq")
+    got = S.load(spark, target, category="uncategorized").orderBy("product_id").collect()
+    assert [(r.product_id, r.category) for r in got] == [("a", None), ("b", "")]
+
+
+def test_random_ids_are_fixed_before_saving(spark):
+    df = spark.createDataFrame([(1, "x", "i"), (2, "y", "i")], "seq int, name string, info string")
+    target = table(spark)
+    for n in (2, 4):
+        S.save(spark, with_product_columns(df, keep=("seq",)), target, replace_existing=True, seq="seq")
+        assert S.load(spark, target).select("product_id").distinct().count() == n
