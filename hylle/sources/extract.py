@@ -155,7 +155,9 @@ def store1_products(pages: DataFrame, profile: StoreProfile = STORE1) -> DataFra
     unit = first_of(
         hits, UNIT_RULES, lambda h: h["text"].contains("/") & h["text"].contains("kr")
     )
-    named = page_hits(pages, "store1_product").withColumns(
+    # Pages without the name's tag give nothing and need not be parsed.
+    titled = pages.where(F.col("html").rlike("(?i)<h2"))
+    named = page_hits(titled, "store1_product").withColumns(
         {
             "name": hit(hits, "name")["text"],
             "info": F.coalesce(hit(hits, "info")["text"], F.lit("")),
@@ -265,7 +267,7 @@ def store2_products(pages: DataFrame, profile: StoreProfile = STORE2) -> DataFra
     """One product per product page of the second store; other columns stay."""
     hits = F.col("_hits")
     crumbs = F.filter("_hits", lambda h: h["rule"] == "crumb")
-    valid = pages.where(U.is_product_url("url", profile))
+    valid = pages.where(U.is_product_url("url", profile) & F.col("html").rlike("(?i)<h1"))
     picked = page_hits(valid, "store2_product").withColumns(
         {
             "product_id": U.product_id_from_url("url"),
