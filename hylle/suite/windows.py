@@ -52,6 +52,15 @@ def large_cap(spark, sf):
     return L.capped(listing(spark, sf), ["category"], ORDER, 2000)
 
 
+@query(
+    "wn3_cap_by_ranges",
+    "SELECT category, page_no, pos_key, url FROM (SELECT *, row_number() OVER "
+    f"(PARTITION BY page_no ORDER BY pos_key, category, url) AS rn FROM {LISTING} AS r) AS t WHERE rn <= 5000",
+)
+def cap_by_ranges(spark, sf):
+    return R.top_by_range(listing(spark, sf), ["page_no"], ["pos_key", "category", "url"], 5000)
+
+
 @query(
     "wn4_first_occurrence",
     "SELECT category, page_no, pos_key, url FROM (SELECT *, row_number() OVER "

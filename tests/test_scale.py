@@ -16,7 +16,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-WRITES = {n for n in suite.QUERIES if n.startswith(("sk", "sc1_", "sc2_", "sc3_", "sc4_", "pj2_", "pl4_", "pl5_", "pl6_", "pl7_"))}
+WRITES = {n for n in suite.QUERIES if n.startswith(("sk", "sc1_", "sc2_", "sc3_", "sc4_", "pj2_", "pl4_", "pl5_", "pl6_", "pl7_", "wn3_cap_by"))}
 
 
 @pytest.mark.parametrize("name", sorted(set(suite.QUERIES) - WRITES))
@@ -46,6 +46,18 @@ def test_top_per_group_with_a_hot_group(spark, n):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("n", [1, 700, 2000, 10**6])
+def test_top_by_range_with_a_hot_group_and_ties(spark, n):
+    rows, _ = hot_listing(spark)
+    rows = rows + [("hot", 3, 250)] * 900 + [(None, 1, i % 3) for i in range(1500)]
+    df = spark.createDataFrame(rows, "g string, page_no int, pos int").repartition(8)
+    got = R.top_by_range(df, ["g"], ["page_no", "pos"], n).collect()
+    want = []
+    for g in {r[0] for r in rows}:
+        want += sorted(r for r in rows if r[0] == g)[:n]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_first_and_last_per_key_with_a_hot_key(spark):
     rows, df = hot_listing(spark)
     want = sorted(min(r for r in rows if r[0] == g) for g in {r[0] for r in rows})
