@@ -25,7 +25,8 @@ def subcategories(category_pages: DataFrame, profile: StoreProfile = STORE1) ->
     labels go first and then repeated URLs, so a skipped link hides nothing.
     """
     pages = category_pages.select(F.col("url").alias("category_url"), "html")
-    links = E.subcategory_links(pages, profile).withColumnRenamed("link", "url")
+    found = E.subcategory_links(pages, profile).withColumnRenamed("link", "url")
+    links = materialised(category_pages.sparkSession, found, "category-links")
     own = (
         links.select("category_url")
         .distinct()
@@ -75,7 +76,7 @@ def crawl_store1(
     product listed twice gives two rows with one id; link_pos, page_no and pos are
     its place in reading order.
     """
-    subs = materialised(spark, subcategories(category_pages, profile), "subcategories")
+    subs = subcategories(category_pages, profile)
     links = store1_listing_links(spark, listing_pages, subs, profile, max_products)
     wanted = product_pages.select("url", "html").join(
         links.select("url").distinct(), "url", "left_semi"

@@ -165,7 +165,7 @@ def run_ingest(spark, sf):
 
     def crawl(categories):
         wanted = categories.select(F.col("name").alias("category_name"))
-        listed = pages.join(wanted, "category_name")
+        listed = pages.join(wanted, "category_name", "left_semi")
         found = store1_products(listed.select("product_id", "url", "html", "category_name"))
         return found.withColumns({"seq": F.xxhash64("url"), "category": F.lit(None).cast("string")})
 
