@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hylle.llm import line_dedup, packing
+from hylle.llm import decontaminate, language_id, line_dedup, packing
 from hylle.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,54 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_dropped").alias("n_dropped"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op9_language_id")
+def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "bits", "rejected")
+
+
+TOKENS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+
+
+def _masked(of: str, at: str) -> str:
+    rows = (", ".join(f"{of}[{at} + {t + 1}]" for t in mask) for mask in decontaminate.MASKS)
+    return "[" + ", ".join(f"concat_ws(chr(32), {m}, {r})" for m, r in enumerate(rows)) + "]"
+
+
+@query(
+    "op1_spaced_seeds",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TOKENS} AS w FROM documents),
+b AS (SELECT item_id, {TOKENS} AS w FROM benchmark),
+dw AS (SELECT r, w, unnest(range(0, len(w) - 11, 2)) AS i FROM d WHERE len(w) >= 12),
+bw AS (SELECT item_id, w, unnest(range(0, len(w) - 11)) AS j FROM b WHERE len(w) >= 12),
+hits AS (
+ SELECT DISTINCT r, item_id, i - j AS shift
+ FROM (SELECT r, i, unnest({_masked('w', 'i')}) AS s FROM dw)
+ JOIN (SELECT item_id, j, unnest({_masked('w', 'j')}) AS s FROM bw) USING (s)),
+pairs AS (
+ SELECT h.*, t, CASE WHEN t + shift >= 0 AND coalesce(d.w[t + shift + 1] = b.w[t + 1], false) THEN 1 ELSE 0 END AS same
+ FROM hits h JOIN d USING (r) JOIN b USING (item_id), unnest(range(0, len(b.w))) AS u(t)),
+sums AS (
+ SELECT *, sum(2 * same - 1) OVER (PARTITION BY r, item_id, shift ORDER BY t) AS total FROM pairs),
+runs AS (
+ SELECT *, total - least(0, coalesce(min(total) OVER (PARTITION BY r, item_id, shift ORDER BY t
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS run FROM sums),
+scored AS (
+ SELECT r, item_id, shift, max(run) AS score, sum(same) AS matched FROM runs GROUP BY ALL HAVING max(run) >= 12)
+SELECT doc_id, item_id, CAST(shift AS INTEGER) AS shift, CAST(score AS INTEGER) AS score, CAST(matched AS INTEGER) AS matched
+FROM scored JOIN d USING (r)
+QUALIFY row_number() OVER (PARTITION BY r, item_id ORDER BY score DESC, shift) = 1
+""",
+)
+def spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("_item").alias("item_id"),
+        F.col("_shift").alias("shift"),
+        F.col("_score").alias("score"),
+        F.col("_matched").alias("matched"),
+    )
