@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hylle.llm import decontaminate, language_id, line_dedup, packing
+from hylle.llm import decontaminate, language_id, line_dedup, ngram_join, packing
 from hylle.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,28 @@ def spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_score").alias("score"),
         F.col("_matched").alias("matched"),
     )
+
+
+@query(
+    "op10_ngram_join",
+    r"""
+WITH RECURSIVE w AS (
+ SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^ \t\n\r\f\v]+') AS w FROM documents),
+s AS (
+ SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 4], chr(32))) AS s
+ FROM w, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+ SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+ JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+ GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING count(*) >= 0.8 * (na.n + nb.n - count(*)) - 1e-9),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, (SELECT count(*) FROM links l WHERE l.a = doc_id) AS n_links, component_id,
+ doc_id = component_id AS kept
+FROM least
+""",
+)
+def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.join(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_links", "component_id", "kept")
