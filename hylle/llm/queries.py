@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hylle.llm import decontaminate, language_id, line_dedup, ngram_join, packing
-from hylle.llm.common import read
+from hylle.llm import decontaminate, language_id, line_dedup, ngram_join, packing, sanitise
+from hylle.llm.common import KEY, read, row_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -138,3 +138,21 @@ FROM least
 def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.join(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_links", "component_id", "kept")
+
+
+@query("op6_pii_disclosure")
+def pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = docs.select("doc_id", *(c.alias(k) for k, c in row_key("doc_id", "text").items()))
+    spans = F.coalesce("spans", F.array().cast("array<struct<order:int,start:bigint,end:bigint,kind:string>>"))
+    found = rows.join(sanitise.find_spans(docs), list(KEY), "left").withColumn("spans", spans)
+    base = F.filter("spans", lambda s: s["order"] <= len(sanitise.PATTERNS))
+    return found.select(
+        "doc_id",
+        *(
+            F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) AS bigint)").alias(f"n_{kind}")
+            for kind in sanitise.PATTERNS
+        ),
+        F.sha2(sanitise.spans_text(base), 256).alias("base_sha256"),
+        sanitise.spans_text(F.col("spans")).alias("spans"),
+    )
