@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hylle.llm import decontaminate, language_id, line_dedup, ngram_join, packing, sanitise
+from hylle.llm import decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, sanitise
 from hylle.llm.common import KEY, read, row_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,47 @@ def pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(sanitise.spans_text(base), 256).alias("base_sha256"),
         sanitise.spans_text(F.col("spans")).alias("spans"),
     )
+
+
+def _license_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in license_scan.known_sentences().items())
+    left, names = "'<' || string_agg(sentence_id, '><' ORDER BY place, line) || '>'", []
+    steps = []
+    for n, (name, pattern) in enumerate(license_scan.rule_patterns()):
+        steps.append(f"r{n} AS (SELECT *, regexp_replace(l{n}, {quoted(pattern)}, '|', 'g') AS l{n + 1},"
+                     f" CASE WHEN regexp_matches(l{n}, {quoted(pattern)}) THEN {quoted(name)} END AS n{n} FROM {f'r{n - 1}' if n else 'ids'})")
+        names.append(f"n{n}")
+    last = len(names)
+    firsts = ", ".join(
+        f"CASE WHEN {' OR '.join([f'{names[k]} IS NOT NULL' for k in range(n) if license_scan.RULES[k][0] == license_scan.RULES[n][0]] or ['false'])} THEN NULL ELSE {names[n]} END"
+        for n in range(last)
+    )
+    return rf"""
+WITH known(plain, sentence_id) AS (VALUES {known}),
+d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+s AS (
+ SELECT r, unnest(p) AS one, generate_subscripts(p, 1) AS place
+ FROM (SELECT r, string_split(regexp_replace(text, '([.!?])[ \t\n\v\f\r]+', '\1' || chr(1), 'g'), chr(1)) AS p FROM d)),
+l AS (SELECT r, place, string_split(one, chr(10)) AS lines FROM s),
+runs AS (
+ SELECT r, place, i AS line, n AS more, array_to_string(lines[i : i + n], ' ') AS run
+ FROM l, unnest(range(1, len(lines) + 1)) AS u(i), unnest(range(0, least(len(lines) - i, {license_scan.WRAP - 1}) + 1)) AS v(n)),
+hits AS (
+ SELECT r, place, line, sentence_id FROM runs JOIN known
+ ON plain = replace(trim(regexp_replace(lower(run), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), 'licence', 'license')
+ QUALIFY row_number() OVER (PARTITION BY r, place, line ORDER BY more DESC) = 1),
+ids AS (
+ SELECT r, string_agg(sentence_id, ',' ORDER BY place, line) AS sentence_ids, {left} AS l0 FROM hits GROUP BY r),
+{', '.join(steps)}
+SELECT doc_id, sentence_ids, concat_ws(',', {firsts}) AS licenses,
+ CAST(len(l{last}) - len(replace(l{last}, '<', '')) AS BIGINT) AS n_unmatched
+FROM r{last - 1} JOIN d USING (r)
+"""
+
+
+@query("op7_license_rules", _license_sql())
+def license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.with_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
