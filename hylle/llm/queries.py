@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hylle.llm import decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, sanitise
+from hylle.llm import decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, sanitise, toxicity
 from hylle.llm.common import KEY, read, row_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,11 @@ FROM r{last - 1} JOIN d USING (r)
 @query("op7_license_rules", _license_sql())
 def license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.with_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op2_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
