@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hylle.llm import decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, sanitise, toxicity
+from hylle.llm import decontaminate, embedding_dedup, language_id, license_scan, line_dedup, ngram_join, packing, sanitise, substrings, toxicity
 from hylle.llm.common import KEY, read, row_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,36 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query(
+    "op5_embedding_dedup",
+    """
+WITH RECURSIVE v AS (
+ SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (
+ SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+ WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = vec_id) AS n_links, component_id,
+ vec_id = component_id AS kept
+FROM least
+""",
+)
+def embedding_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op4_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substrings.without_spans(docs, substrings.repeated_spans(docs))
+    return found.select(
+        "doc_id",
+        F.col("_bytes").alias("n_bytes"),
+        F.col("_removed").alias("n_removed"),
+        F.col("_spans").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
