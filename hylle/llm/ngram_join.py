@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hylle.llm.common import KEY, fits, partitions, row_key, staged
+from hylle.llm.common import KEY, carried, fits, partitions, row_key, staged
 from hylle.llm.graph import connected_components
 
 TREES, DEPTH = 32, 8
@@ -115,7 +115,7 @@ class Shingler:
         count = np.diff(bounds)
         left = np.repeat(bounds[1:], count) - np.arange(len(hashes))  # words from here to the text's end
         mixed = np.zeros(len(hashes), np.uint64)
-        for k in range(self.n):
+        for k in range(min(self.n, len(hashes))):
             term = np.zeros(len(hashes), np.uint64)
             term[: len(hashes) - k] = hashes[k:] * self.places[k]
             term[left <= k] = 0
@@ -385,7 +385,7 @@ def one_per_group(
     ``found`` is what ``join`` gave for them. Only narrow keys are joined; texts move
     only for rows that repeat another one's id and text.
     """
-    keyed = docs.withColumns(row_key(id_col, text_col))
+    keyed = carried(docs, id_col, text_col)
     dropped = found.where("not kept").select(*KEY).distinct()
     repeated = found.where("kept").groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     repeated = staged(repeated, "repeated-rows")
@@ -393,5 +393,5 @@ def one_per_group(
     return (
         stay.join(repeated, list(KEY), "left_anti")
         .unionByName(stay.join(repeated, list(KEY), "left_semi").dropDuplicates(list(KEY)))
-        .drop(*KEY)
+        .select("row.*")
     )
