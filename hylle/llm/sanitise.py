@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hylle.llm.common import KEY, fits, row_key, staged
+from hylle.llm.common import KEY, carried, fits, row_key, staged
 
 # The patterns of the four kinds. A pattern starts at the end of the
 # last match or where a run of its characters starts, and repeats are possessive, so
@@ -205,6 +205,7 @@ def term_spans(keyed: DataFrame, terms: DataFrame, spans: DataFrame) -> DataFram
         .select(*KEY)
         .distinct()
     )
+    holding = staged(holding, "holding")
     found = (
         located(keyed.join(holding, list(KEY), "left_semi"), {"word": WORD})
         .drop("kind")
@@ -249,21 +250,20 @@ def spans_text(spans: Column) -> Column:
 
 
 def sanitised(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``sanitised``: spans replaced by their kind in brackets, removed terms by nothing.
+    """``row`` (the document's columns) and ``sanitised``: spans replaced by their kind in brackets, removed terms by nothing.
 
     Where base spans overlap, the later one's rest is cut with it.
     """
     parts = F.expr(
-        f"aggregate(array_sort(spans, (a, b) -> if(a.start <> b.start, a.start - b.start, b.end - a.end)),"
-        f" named_struct('at', 0L, 'out', ''), (s, x) -> named_struct("
-        f" 'at', greatest(s.at, x.end), 'out', concat(s.out, if(x.start < s.at, '', concat("
-        f" substring(`{text_col}`, int(s.at) + 1, int(x.start - s.at)),"
-        f" if(x.kind = 'removed', '', concat('[', x.kind, ']')))))),"
-        f" s -> concat(s.out, substring(`{text_col}`, int(s.at) + 1)))"
+        "aggregate(array_sort(spans, (a, b) -> int(if(a.start <> b.start, a.start - b.start, b.end - a.end))),"
+        " named_struct('at', 0L, 'out', ''), (s, x) -> named_struct("
+        " 'at', greatest(s.at, x.end), 'out', concat(s.out, if(x.start < s.at, '', concat("
+        " substring(_text, int(s.at) + 1, int(x.start - s.at)),"
+        " if(x.kind = 'removed', '', concat('[', x.kind, ']')))))),"
+        " s -> concat(s.out, substring(_text, int(s.at) + 1)))"
     )
     return (
-        docs.withColumns(row_key(id_col, text_col))
+        carried(docs, id_col, text_col)
         .join(found, list(KEY), "left")
-        .withColumn("sanitised", F.when(F.col("spans").isNull(), F.coalesce(text_col, F.lit(""))).otherwise(parts))
-        .drop(*KEY, "spans")
+        .select("row", F.when(F.col("spans").isNull(), F.coalesce("_text", F.lit(""))).otherwise(parts).alias("sanitised"))
     )
