@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hylle.llm import decontaminate, language_id, line_dedup, ngram_join, packing
-from hylle.llm.common import KEY, read, row_key, staged
+from hylle.llm.common import KEY, read, staged, without_keys
 from hylle.llm.queries import tokenizer_path
 
 
@@ -20,31 +20,32 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Drops documents that are unlike all languages learned from the documents themselves."""
     rejected = language_id.identify(docs).where("rejected").select(*KEY).distinct()
     rejected = staged(rejected, "rejected")
-    return docs.withColumns(row_key("doc_id", "text")).join(rejected, list(KEY), "left_anti").drop(*KEY)
+    return without_keys(docs, rejected, "doc_id", "text")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts lines that ten documents or more have."""
     found = line_dedup.with_kept_text(docs, line_dedup.line_bitmaps(docs, min_docs=10))
-    changed = F.col("_dropped") > 0
-    return found.withColumns(
-        {
-            "n_chars": F.when(changed, F.length("_kept").cast("long")).otherwise(F.col("n_chars")),
-            "text": F.when(changed, F.col("_kept")).otherwise(F.col("text")),
-        }
-    ).select(docs.columns)
+    changed = F.col("n_dropped") > 0
+    own = found.withColumn(
+        "row",
+        F.col("row")
+        .withField("n_chars", F.when(changed, F.length("kept").cast("long")).otherwise(F.col("row.n_chars")))
+        .withField("text", F.when(changed, F.col("kept")).otherwise(F.col("row.text"))),
+    )
+    return own.select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by five-word shingles at 0.8 or more."""
     found = staged(ngram_join.join(docs), "near-duplicates")
-    return ngram_join.one_per_group(docs, found).select(docs.columns)
+    return ngram_join.one_per_group(docs, found)
 
 
 def drop_benchmark_overlaps(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
     found = staged(decontaminate.overlaps(docs, read(spark, sf_dir, "benchmark")), "overlaps")
-    return decontaminate.without_overlaps(docs, found).select(docs.columns)
+    return decontaminate.without_overlaps(docs, found)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,24 @@ def row_key(id_col: str, text_col: str) -> dict[str, Column]:
     }
 
 
+def carried(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (all columns as one struct), ``_text`` and the row key.
+
+    Whatever the columns are called, none can clash with one that an operator adds.
+    """
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(text_col).alias("_text"),
+        *(c.alias(k) for k, c in row_key(id_col, text_col).items()),
+    )
+
+
+def without_keys(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose key is not among ``keys``, all columns as they were."""
+    kept = carried(docs, id_col, text_col).join(keys.select(*KEY).distinct(), list(KEY), "left_anti")
+    return kept.select("row.*")
+
+
 def hash128(col: Column) -> tuple[Column, Column]:
     """Two 64-bit hashes; the literal comes first and so acts as a seed."""
     return F.xxhash64(F.lit(1), col), F.xxhash64(F.lit(2), col)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hylle.llm.common import KEY, fits, row_key, staged
+from hylle.llm.common import KEY, fits, row_key, staged, without_keys
 
 SPAN = 12
 MASKS = tuple(tuple(t for t in range(SPAN) if t % 3 != skipped) for skipped in (2, 1, 0))
@@ -155,8 +155,4 @@ def without_overlaps(
     docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The documents that no benchmark item overlaps, all columns as they were."""
-    return (
-        docs.withColumns(row_key(id_col, text_col))
-        .join(found.select(*KEY).distinct(), list(KEY), "left_anti")
-        .drop(*KEY)
-    )
+    return without_keys(docs, found, id_col, text_col)

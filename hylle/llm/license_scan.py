@@ -146,15 +146,15 @@ def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Row key, sentence, first line and identifier of each known sentence."""
     spark = docs.sparkSession
     known = spark.createDataFrame(sorted(known_sentences().items()), "plain string, sentence_id string")
-    sentence = F.split(F.regexp_replace(text_col, r"([.!?])\s+", "$1" + END), END)
+    sentence = F.split(F.regexp_replace("_text", r"([.!?])\s+", "$1" + END), END)
     # wrapped sentences first: all runs of lines that start at a line of the sentence
     runs = F.expr(
         "flatten(transform(lines, (l, i) -> transform(sequence(0, least(size(lines) - 1 - i, %d)),"
         " n -> struct(i AS line, n AS more, array_join(slice(lines, i + 1, n + 1), ' ') AS run))))" % (WRAP - 1)
     )
     return (
-        docs.withColumns(row_key(id_col, text_col))
-        .where(_any_keyword(F.lower(text_col)))
+        docs.select(*(c.alias(k) for k, c in row_key(id_col, text_col).items()), F.col(text_col).alias("_text"))
+        .where(_any_keyword(F.lower("_text")))
         .select(*KEY, F.posexplode(sentence).alias("at", "one"))
         .where(_any_keyword(F.lower("one")))
         .select(*KEY, "at", F.split("one", "\n").alias("lines"))

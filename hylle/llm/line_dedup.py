@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hylle.llm.common import KEY, fits, hash128, row_key, staged
+from hylle.llm.common import KEY, carried, fits, hash128, row_key, staged
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -107,7 +107,7 @@ def line_bitmaps(
 def with_kept_text(
     docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` plus ``_lines``, ``_dropped`` and ``_kept`` (the text without dropped lines)."""
+    """``row`` (the document's columns), ``n_lines``, ``n_dropped`` and ``kept``, the text without dropped lines."""
     # sparse words to an array by word number: the lookup per line is then by place
     dense = F.expr(
         "transform(sequence(0L, element_at(words, -1)._word),"
@@ -115,7 +115,7 @@ def with_kept_text(
     )
     kept = F.array_join(
         F.filter(
-            lines_of(F.col(text_col)),
+            lines_of(F.col("_text")),
             lambda line, i: F.expr("1L").bitwiseAND(
                 F.call_function(
                     "shiftrightunsigned",
@@ -130,15 +130,13 @@ def with_kept_text(
         "\n",
     )
     return (
-        docs.withColumns(row_key(id_col, text_col))
+        carried(docs, id_col, text_col)
         .join(bitmaps.hint("shuffle_hash"), list(KEY), "left")
         .withColumn("_dense", F.when(F.col("words").isNotNull(), dense))
-        .withColumns(
-            {
-                "_lines": F.size(lines_of(F.col(text_col))).cast("long"),
-                "_dropped": F.expr("coalesce(aggregate(words, 0L, (n, w) -> n + bit_count(w._bits)), 0L)"),
-                "_kept": F.when(F.col("words").isNull(), F.coalesce(text_col, F.lit(""))).otherwise(kept),
-            }
+        .select(
+            "row",
+            F.size(lines_of(F.col("_text"))).cast("long").alias("n_lines"),
+            F.expr("coalesce(aggregate(words, 0L, (n, w) -> n + bit_count(w._bits)), 0L)").alias("n_dropped"),
+            F.when(F.col("words").isNull(), F.coalesce("_text", F.lit(""))).otherwise(kept).alias("kept"),
         )
-        .drop(*KEY, "words", "_dense")
     )

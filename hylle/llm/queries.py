@@ -57,10 +57,10 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.with_kept_text(docs, line_dedup.line_bitmaps(docs, min_docs=10))
     return out.select(
-        "doc_id",
-        F.col("_lines").alias("n_lines"),
-        F.col("_dropped").alias("n_dropped"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        "row.doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
@@ -235,9 +235,9 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = substrings.without_spans(docs, substrings.repeated_spans(docs))
     return found.select(
-        "doc_id",
-        F.col("_bytes").alias("n_bytes"),
-        F.col("_removed").alias("n_removed"),
-        F.col("_spans").alias("n_spans"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        "row.doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
     )

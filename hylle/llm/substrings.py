@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hylle.llm.common import KEY, fits, partitions, row_key, staged
+from hylle.llm.common import KEY, carried, fits, partitions, row_key, staged
 
 LENGTH, GRAM = 400, 32
 SEGMENT = 1 << 19  # bytes looked at together; positions must fit 20 bits
@@ -489,25 +489,23 @@ def repeated_spans(
 def without_spans(
     docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` plus ``_bytes``, ``_removed``, ``_spans`` and ``_kept`` (the remaining bytes)."""
+    """``row`` (the document's columns), ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the remaining bytes."""
     spans = staged(spans, "spans")
     few = fits(spans, BROADCAST_DOCS)
-    raw = f"cast(coalesce(`{text_col}`, '') AS binary)"
+    raw = "cast(coalesce(_text, '') AS binary)"
     kept = F.expr(
         f"aggregate(spans, named_struct('at', 0L, 'out', cast('' AS binary)), (s, x) -> named_struct("
         f" 'at', x.end, 'out', concat(s.out, substring({raw}, int(s.at) + 1, int(x.start - s.at)))),"
         f" s -> concat(s.out, substring({raw}, int(s.at) + 1)))"
     )
     return (
-        docs.withColumns(row_key(id_col, text_col))
+        carried(docs, id_col, text_col)
         .join(F.broadcast(spans) if few else spans.hint("shuffle_hash"), list(KEY), "left")
-        .withColumns(
-            {
-                "_bytes": F.octet_length(F.coalesce(text_col, F.lit(""))).cast("long"),
-                "_removed": F.expr("coalesce(aggregate(spans, 0L, (n, x) -> n + x.end - x.start), 0L)"),
-                "_spans": F.coalesce(F.size("spans"), F.lit(0)).cast("long"),
-                "_kept": F.when(F.col("spans").isNull(), F.expr(raw)).otherwise(kept),
-            }
+        .select(
+            "row",
+            F.octet_length(F.coalesce("_text", F.lit(""))).cast("long").alias("n_bytes"),
+            F.expr("coalesce(aggregate(spans, 0L, (n, x) -> n + x.end - x.start), 0L)").alias("n_removed"),
+            F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
+            F.when(F.col("spans").isNull(), F.expr(raw)).otherwise(kept).alias("kept"),
         )
-        .drop(*KEY, "spans")
     )
