@@ -151,11 +151,15 @@ def last_segment(url: Column | str) -> Column:
 
 
 def product_id_from_url(url: Column | str) -> Column:
-    """Path after the last marker; a hash of the URL where there is none."""
+    """Path after the last marker; a hash of the URL where there is none.
+
+    NULL for a missing or empty URL: an id shared by all of them would make them one
+    product, so the caller makes one from the row's place.
+    """
     u = col(url)
     tail = F.element_at(F.split(u, V.SECOND_STORE_MARKER), -1)
     has_tail = u.contains(V.SECOND_STORE_MARKER) & (tail != "")
-    return F.when(has_tail, F.rtrim(tail, F.lit("/"))).otherwise(F.md5(F.coalesce(u, F.lit(""))))
+    return F.when(has_tail, F.rtrim(tail, F.lit("/"))).when(has_text(u), F.md5(u))
 
 
 def link_label(text: Column | str) -> Column:

@@ -1,8 +1,8 @@
 """Listing pages: how far to read, what to keep (WN1-WN4, WN8, JN7, ST1).
 
-Whether a page is read depends only on facts about pages, so those are gathered
-per group first (a set of at most ``page_cap`` numbers, combined before the
-shuffle) and joined back: link rows are never sorted by group.
+Whether a page is read depends only on facts about pages, so the distinct page
+numbers are compared first and one number per group is joined back: link rows are
+never sorted by group.
 """
 
 from __future__ import annotations
@@ -10,45 +10,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hylle import fixed_values as V
 from hylle.functions import urls as U
 from hylle.operators.ranking import first_per_key, top_per_group
 
 
-def unbroken_prefix(pages: Column, page_cap: int) -> Column:
-    """Length of the run 1, 2, 3, ... that a set of page numbers starts with."""
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(page_cap)),
-        F.lit(0),
-        lambda done, p: F.when((done == p - 1) & F.array_contains(pages, p), p).otherwise(done),
-    )
-
-
 def last_pages(
     pages: DataFrame,
     group: str,
-    page_cap: int = V.PAGE_CAP,
+    page_cap: int | None = None,
     has_rows: Column | None = None,
     is_last: Column | None = None,
 ) -> DataFrame:
     """(group, last_page): reading stops before the first page without rows, after
-    a page marked last, and at the page cap."""
+    a page marked last, and at the page cap if there is one.
+
+    The page after each one with rows, less those that have rows themselves, is
+    where the run from page 1 breaks: an anti join of distinct page numbers and a
+    minimum, so no group is sorted and any number of pages is read.
+    """
     number = F.col("page_no").cast("int")
-    filled = number if has_rows is None else F.when(has_rows, number)
-    ends = [F.collect_set(filled).alias("_pages")]
-    if is_last is not None:
-        ends.append(F.min(F.when(is_last, number)).alias("_end"))
-    facts = pages.where(number.between(1, page_cap)).groupBy(group).agg(*ends)
-    stop = unbroken_prefix(F.col("_pages"), page_cap)
+    counted = pages.where(number >= 1)
+    filled = (counted if has_rows is None else counted.where(has_rows)).select(
+        group, number.alias("_p")
+    ).distinct()
+    first = pages.select(group).distinct().select(group, F.lit(1).alias("_p"))
+    after = filled.select(group, (F.col("_p") + 1).alias("_p"))
+    breaks = first.unionByName(after).join(filled, [group, "_p"], "left_anti")
     if is_last is not None:
-        stop = F.least(stop, F.coalesce("_end", F.lit(page_cap)))
-    return facts.select(group, stop.alias("last_page"))
+        ends = counted.where(is_last).select(group, (number + 1).alias("_p"))
+        breaks = breaks.unionByName(ends)
+    stop = F.min("_p") - 1
+    if page_cap is not None:
+        stop = F.least(stop, F.lit(page_cap))
+    return breaks.groupBy(group).agg(stop.alias("last_page"))
 
 
 def read_pages(
     rows: DataFrame,
     group: str,
-    page_cap: int = V.PAGE_CAP,
+    page_cap: int | None = None,
     has_rows: Column | None = None,
     is_last: Column | None = None,
 ) -> DataFrame:

@@ -1,9 +1,8 @@
 """First, last and top-n rows per key.
 
 A key may hold a large share of all rows, so nothing here sends whole groups to one
-task. A rank filter of ``<= n`` becomes a per-partition limit ahead of the shuffle;
-n per group goes through salted sub-groups first; and a large n is counted out over
-sorted ranges, of which only the one where the cut falls is ranked.
+task. A rank filter of ``<= n`` becomes a per-partition limit ahead of the shuffle,
+and n per group is ranked by parts of the group first.
 """
 
 from __future__ import annotations
@@ -11,11 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hylle.session import materialised
-
-SUBGROUPS = 32
-# Above this n the rows left of a hot group (n per sub-group) are too many for one task.
-RANKED_AT_ONCE = 10_000
+# Input partitions whose first rows are ranked together before the group as a whole.
+FAN_IN = 128
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -33,52 +29,16 @@ def last_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
 def top_per_group(df: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
     """The first n rows of each group.
 
-    Each group is ranked in sub-groups, which leaves at most n rows of each, and
-    then as a whole. The result is exact: a row among the first n of its group is
-    among the first n of its sub-group.
-    """
-    if n > RANKED_AT_ONCE:
-        return top_by_range(df, group, order, n)
-    salt = F.pmod(F.xxhash64(*order), F.lit(SUBGROUPS))
-    within = Window.partitionBy(*group, "_salt").orderBy(*order)
-    whole = Window.partitionBy(*group).orderBy(*order)
-    return (
-        df.withColumn("_salt", salt)
-        .withColumn("_rank", F.row_number().over(within))
-        .where(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(whole))
-        .where(F.col("_rank") <= n)
-        .drop("_salt", "_rank")
-    )
-
-
-def top_by_range(df: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
-    """The first n rows of each group, for an n that one task should not sort.
-
-    Rows are sorted into ranges by group and order, so a hot group spans many ranges.
-    Counting them tells which ranges lie before the cut and are kept as they are, and
-    which one holds it. The ranges are written out first: counting and reading must
-    see the same ones. A row number breaks ties, so equal rows spread as well.
+    A group is ranked in three rounds: among the rows that one input partition holds,
+    among those left of ``FAN_IN`` partitions, and as a whole. A row among the first
+    n of its group is so in each of its parts, so the result is exact, and whatever
+    the group's size a task gets at most one partition's rows, then n per partition
+    of its ``FAN_IN``, then n per part. Ties fall as in any ranking: which of equal
+    rows stay is not said.
     """
-    ranged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*group, *order, "_tie")
-        .withColumn("_range", F.spark_partition_id())
-    )
-    fixed = materialised(df.sparkSession, ranged, "ranges")
-    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    spans = (
-        fixed.groupBy(*group, "_range")
-        .agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .where(F.col("_before") < n)
-        .select(F.struct(*group, "_range").alias("_key"), "_size", "_before")
-    )
-    placed = fixed.join(spans, F.struct(*group, "_range").eqNullSafe(F.col("_key")))
-    within = F.col("_before") + F.col("_size") <= n
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order, "_tie"))
-    cut = placed.where(~within).withColumn("_rank", rank)
-    cut = cut.where(F.col("_rank") <= n - F.col("_before"))
-    return placed.where(within).select(*df.columns).unionByName(cut.select(*df.columns))
+    ranked = df.withColumn("_part", F.spark_partition_id())
+    for part in (F.col("_part"), F.floor(F.col("_part") / FAN_IN), None):
+        keys = group if part is None else [*group, part]
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        ranked = ranked.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return ranked.drop("_part")

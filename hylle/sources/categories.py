@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hylle.functions.urls import with_base
+from hylle.functions.urls import last_segment, with_base
 from hylle.schema import CATEGORY_SCHEMA
 
 
@@ -17,5 +17,9 @@ def category_relation(configured: DataFrame, base_url: str | None) -> DataFrame:
 
 def category_of_url(spark: SparkSession, url: str) -> DataFrame:
     """One category named after the last path segment of its URL."""
-    name = url.rstrip("/").split("/")[-1]
-    return spark.createDataFrame([(name, url)], CATEGORY_SCHEMA)
+    return categories_of_urls(spark.createDataFrame([(None, url)], CATEGORY_SCHEMA))
+
+
+def categories_of_urls(given: DataFrame) -> DataFrame:
+    """Categories named after the last path segment of their URLs."""
+    return given.select(last_segment("url").alias("name"), "url")

@@ -8,7 +8,7 @@ from hylle.fixtures import as_sql, relation
 from hylle.functions import urls as U
 from hylle.operators import filters as P
 from hylle.profiles import STORE1, STORE2
-from hylle.sources.categories import category_relation
+from hylle.sources.categories import categories_of_urls, category_relation
 from hylle.suite import query
 
 URLS = as_sql("urls")
@@ -31,6 +31,15 @@ def categories(spark, sf):
     return category_relation(relation(spark, sf, "categories"), BASE)
 
 
+@query(
+    "sc6_categories_of_given_urls",
+    f"SELECT string_split(rtrim(url, '/'), '/')[-1] AS name, url FROM {CATEGORIES} AS c WHERE coalesce(url, '') <> ''",
+)
+def categories_of_given_urls(spark, sf):
+    given = relation(spark, sf, "categories").where(F.coalesce("url", F.lit("")) != "")
+    return categories_of_urls(given)
+
+
 @query(
     "sf28_category_from_given_url",
     "SELECT url_id, string_split(rtrim(url, '/'), '/')[-1] AS name, url "
@@ -188,7 +197,7 @@ def slug_title(spark, sf):
 @query(
     "sf29_product_id_from_url",
     "SELECT url_id, CASE WHEN contains(url, '/varer/') AND string_split(url, '/varer/')[-1] <> '' "
-    "THEN rtrim(string_split(url, '/varer/')[-1], '/') ELSE md5(coalesce(url, '')) END AS product_id "
+    "THEN rtrim(string_split(url, '/varer/')[-1], '/') WHEN url <> '' THEN md5(url) END AS product_id "
     f"FROM {URLS} AS u",
 )
 def product_id_from_url(spark, sf):

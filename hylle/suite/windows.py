@@ -19,16 +19,35 @@ def listing(spark, sf):
     return relation(spark, sf, "listing")
 
 
+UNCAPPED = f"""(SELECT category, page_no, pos_key, url FROM (
+ SELECT *, dense_rank() OVER (PARTITION BY category ORDER BY page_no) AS dr FROM {LISTING} AS l) AS t
+ WHERE page_no = dr)"""
 READ = f"""(SELECT category, page_no, pos_key, url FROM (
  SELECT *, dense_rank() OVER (PARTITION BY category ORDER BY page_no) AS dr FROM {LISTING} AS l WHERE page_no <= 20) AS t
  WHERE page_no = dr)"""
 
 
-@query("wn1_contiguous_pages", f"SELECT * FROM {READ} AS r")
+@query("wn1_contiguous_pages", f"SELECT * FROM {UNCAPPED} AS r")
 def contiguous_pages(spark, sf):
     return L.read_pages(listing(spark, sf), "category")
 
 
+# thirty unbroken pages per part, but for those without page 25
+MANY_PAGES = "(SELECT p_partkey AS part, CAST(n AS INTEGER) AS page_no FROM part, {numbers} WHERE NOT (n = 25 AND p_partkey % 3 = 0))"
+
+
+@query(
+    "wn1_many_pages",
+    "SELECT part, page_no FROM " + MANY_PAGES.format(numbers="(SELECT unnest(range(1, 31)) AS n) AS u")
+    + " AS m WHERE page_no < 25 OR part % 3 <> 0",
+)
+def many_pages(spark, sf):
+    pages = relation(spark, sf, "part").select(
+        F.col("p_partkey").alias("part"), F.explode(F.sequence(F.lit(1), F.lit(30))).alias("page_no")
+    )
+    return L.read_pages(pages.where("NOT (page_no = 25 AND part % 3 = 0)"), "part")
+
+
 @query("wn2_page_cap", f"SELECT * FROM {READ} AS r WHERE page_no <= 3")
 def page_cap(spark, sf):
     return L.read_pages(listing(spark, sf), "category", page_cap=3)
@@ -40,7 +59,7 @@ def page_cap(spark, sf):
     f"(PARTITION BY category ORDER BY page_no, pos_key, url) AS rn FROM {READ} AS r) AS t WHERE rn <= 10",
 )
 def products_per_category(spark, sf):
-    return L.capped(L.read_pages(listing(spark, sf), "category"), ["category"], ORDER, 10)
+    return L.capped(L.read_pages(listing(spark, sf), "category", page_cap=20), ["category"], ORDER, 10)
 
 
 @query(
@@ -58,7 +77,7 @@ def large_cap(spark, sf):
     f"(PARTITION BY page_no ORDER BY pos_key, category, url) AS rn FROM {LISTING} AS r) AS t WHERE rn <= 5000",
 )
 def cap_by_ranges(spark, sf):
-    return R.top_by_range(listing(spark, sf), ["page_no"], ["pos_key", "category", "url"], 5000)
+    return R.top_per_group(listing(spark, sf), ["page_no"], ["pos_key", "category", "url"], 5000)
 
 
 @query(

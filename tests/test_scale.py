@@ -16,7 +16,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-WRITES = {n for n in suite.QUERIES if n.startswith(("sk", "sc1_", "sc2_", "sc3_", "sc4_", "pj2_", "pl4_", "pl5_", "pl6_", "pl7_", "wn3_cap_by"))}
+WRITES = {n for n in suite.QUERIES if n.startswith(("sk", "sc1_", "sc2_", "sc3_", "sc4_", "pj2_", "pl4_", "pl5_", "pl6_", "pl7_"))}
 
 
 @pytest.mark.parametrize("name", sorted(set(suite.QUERIES) - WRITES))
@@ -25,8 +25,8 @@ def test_no_cross_joins_and_python_only_for_pages(name, spark, sf_dir):
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     python_steps = text.count("EvalPython")
-    reads_markup = name.startswith(("hx", "pj15", "pj16", "pj17", "wn7"))
-    assert python_steps == (1 if reads_markup and name not in ("hx1_plain_links", "hx8_pagination") else 0)
+    reads_markup = name.startswith(("hx", "pj15", "pj16", "pj17", "wn7", "wn8"))
+    assert python_steps == (1 if reads_markup and name != "hx1_plain_links" else 0)
 
 
 def hot_listing(spark):
@@ -47,11 +47,11 @@ def test_top_per_group_with_a_hot_group(spark, n):
 
 
 @pytest.mark.parametrize("n", [1, 700, 2000, 10**6])
-def test_top_by_range_with_a_hot_group_and_ties(spark, n):
+def test_top_per_group_with_a_hot_group_and_ties(spark, n):
     rows, _ = hot_listing(spark)
     rows = rows + [("hot", 3, 250)] * 900 + [(None, 1, i % 3) for i in range(1500)]
     df = spark.createDataFrame(rows, "g string, page_no int, pos int").repartition(8)
-    got = R.top_by_range(df, ["g"], ["page_no", "pos"], n).collect()
+    got = R.top_per_group(df, ["g"], ["page_no", "pos"], n).collect()
     want = []
     for g in {r[0] for r in rows}:
         want += sorted(r for r in rows if r[0] == g)[:n]
@@ -80,4 +80,11 @@ def test_ranks_are_limited_before_the_shuffle(spark):
 def test_pages_are_counted_before_the_shuffle(spark):
     _, df = hot_listing(spark)
     text = plan(L.read_pages(df, "g"))
-    assert "partial_collect_set" in text and "Window " not in text
+    assert "partial_min" in text and "Window " not in text and "collect_set" not in text
+
+
+def test_no_page_cap_unless_given(spark):
+    df = spark.range(1, 41).select(F.lit("g").alias("g"), F.col("id").cast("int").alias("page_no"))
+    assert L.read_pages(df, "g").count() == 40
+    assert L.read_pages(df, "g", 20).count() == 20
+    assert L.read_pages(df.where("page_no <> 1"), "g").count() == 0
