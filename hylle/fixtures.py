@@ -10,15 +10,17 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hylle.session import spread
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# Tables with long texts: few rows per byte, much work per row.
-LONG_TEXTS = ("documents", "pages")
+# Relations with long texts: few rows per byte, much work per row. The tables are one
+# small file, one split, each; their rows are dealt out to all cores.
+LONG_TEXTS = (
+    "documents", "pages", "product_pages", "category_pages", "listing_pages", "store2_pages", "card_pages",
+)
 
 STATEMENTS = {
     # product rows with sixteen name / info shapes
@@ -132,7 +134,7 @@ FROM ({products}) AS p""",
     "category_pages": """
 SELECT p_partkey AS page_id, concat('https://shop.example/no/categories/', cast(p_partkey AS string), '-melk/') AS url,
  CASE WHEN p_partkey % 12 < 8 THEN concat('<html><body><nav><a href="/no/categories/5-nei/">Egg</a></nav><main><div><section><a href="/no/categories/', cast(p_partkey - p_partkey % 4 AS string), '-melk/"><span><span>✓</span>', p_name, ' (', cast(p_size AS string),
-  ')</span></a><a href="/om/">Om</a><a href="/no/categories/', cast(p_partkey - p_partkey % 4 AS string), '-melk/?x=1">Dobbel</a></section><section><a href="/no/categories/999-drikke/"><span>Alle i Drikke</span></a></section></div></main></body></html>')
+  ')</span></a><a href="/om/">Om</a><a href="/no/categories/', cast(p_partkey - p_partkey % 4 AS string), '-melk/?x=1">Dobbel</a></section><section><a href=/no/categories/999-drikke/><span>Alle i Drikke</span></a></section></div></main></body></html>')
  WHEN p_partkey % 12 < 10 THEN concat('<html><body><main><div><div><section><a href="/tema/', cast(p_partkey AS string), '/"><h3>', p_name, '</h3>x</a><a href="">y</a></section></div></div></main></body></html>')
  ELSE concat('<html><body><ul><li><a href="ost/', cast(p_partkey AS string), '">OST &amp; ', p_name, '</a><li><a href="/brus/">Brus</a></ul></body></html>') END AS html
 FROM {part}""",
@@ -156,11 +158,14 @@ FROM ({products}) AS p""",
     # listing pages of the second store, one card each
     "card_pages": """
 SELECT p_partkey AS page_id, concat('/varer/meieri/', cast(p_partkey AS string), '/') AS href,
- concat('<html><body><div data-page="', cast(p_partkey % 4 + 1 AS string), '" data-total-pages="3"></div><ul class="ws-product-list-vertical"><li class="ws-product-list-vertical__item"><div class="ws-product-vertical"><img src="/i/',
+ concat('<html><body><!-- <i data-page="9" data-total-pages="99"></i> --><div ', CASE p_partkey % 3
+  WHEN 0 THEN concat('data-page="', cast(p_partkey % 4 + 1 AS string), '" data-total-pages="3"')
+  WHEN 1 THEN concat('data-page=', chr(39), cast(p_partkey % 4 + 1 AS string), chr(39), ' data-total-pages=', chr(39), '3', chr(39))
+  ELSE concat('data-total-pages=3 data-page=', cast(p_partkey % 4 + 1 AS string)) END, '></div><ul class="ws-product-list-vertical"><li class="ws-product-list-vertical__item"><div class="ws-product-vertical"><img src="/i/',
   cast(p_partkey AS string), '.jpg"><a class="ws-product-vertical__link" href="/varer/meieri/', cast(p_partkey AS string),
   '/"><h3 class="ws-product-vertical__title">', p_name, '</h3></a><p class="ws-product-vertical__subtitle">', cast(p_size AS string), ' g ', p_brand,
   '</p><div class="ws-product-vertical__price">kr ', cast(p_size AS string), ',90</div><p class="ws-product-vertical__price-unit">kr ', cast(p_size AS string), ',17 /kg</p></div></li></ul>',
-  CASE WHEN p_partkey % 4 < 2 THEN '<button class="ngr-button">Vis flere</button>' ELSE '' END, '</body></html>') AS html
+  CASE WHEN p_partkey % 4 = 0 THEN '<button class="ngr-button">Vis flere</button>' WHEN p_partkey % 4 = 1 THEN '<button class=ngr-button><b>Vis flere</b></button>' ELSE '' END, '</body></html>') AS html
 FROM {part}""",
 }
 
@@ -179,8 +184,9 @@ def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table or a derived relation as a DataFrame."""
     if name in TABLES:
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        return spread(table) if name in LONG_TEXTS else table
-    return spark.sql(render(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
+    else:
+        table = spark.sql(render(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
+    return table.repartition(spark.sparkContext.defaultParallelism) if name in LONG_TEXTS else table
 
 
 def as_sql(name: str) -> str:

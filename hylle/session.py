@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_INPUT = 64 << 20
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -49,18 +48,6 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a small input among all cores before work that is heavy per row.
-
-    A small file is one split and would keep one core busy. Only inputs whose
-    estimated size is below a fixed bound are shuffled; larger ones have splits.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if df.isStreaming or size > SMALL_INPUT:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def materialised(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """The frame written to the shared work folder and read back.
 

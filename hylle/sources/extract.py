@@ -10,7 +10,6 @@ from hylle.functions import text as X
 from hylle.functions import urls as U
 from hylle.operators.filters import complete_records
 from hylle.profiles import STORE1, STORE2, StoreProfile
-from hylle.session import spread
 from hylle.sources.markup import scopes
 
 
@@ -31,7 +30,7 @@ def first_of(hits: Column, rules: list[str], test=None) -> Column:
 
 def read_scopes(pages: DataFrame, job: str) -> DataFrame:
     """The pages' scopes beside the page's columns, without the markup."""
-    return spread(pages).withColumn("_scopes", scopes("html", job)).drop("html")
+    return pages.withColumn("_scopes", scopes("html", job)).drop("html")
 
 
 def page_hits(pages: DataFrame, job: str) -> DataFrame:
@@ -70,20 +69,14 @@ def subcategory_links(pages: DataFrame, profile: StoreProfile = STORE1) -> DataF
         block = F.try_element_at(s["hits"], F.lit(1))
         return F.coalesce(block["text"], s["text"])
 
-    def in_section(s):
-        return s["within"].rlike("(^|/)section(/|$)")
-
-    def in_main_section(s):
-        return s["within"].rlike("(^|/)main/(.*/)?div/(.*/)?section(/|$)")
-
     def category_word(s):
         return X.contains_any(F.lower(s["text"]), V.SUBCATEGORY_LINK_WORDS)
 
     by_section = listed(
-        lambda s: in_section(s) & U.is_subcategory_link(span_label(s), s["link"]), span_label
+        lambda s: s["in_section"] & U.is_subcategory_link(span_label(s), s["link"]), span_label
     )
     by_main = listed(
-        lambda s: in_main_section(s) & X.has_text(s["link"]) & X.has_text(block_label(s)),
+        lambda s: s["in_main"] & X.has_text(s["link"]) & X.has_text(block_label(s)),
         block_label,
     )
     by_word = listed(
@@ -191,12 +184,15 @@ def store1_products(pages: DataFrame, profile: StoreProfile = STORE1) -> DataFra
 # --- second store --------------------------------------------------------------
 
 
-def cards(pages: DataFrame) -> DataFrame:
+def cards(pages: DataFrame, paged: bool = False) -> DataFrame:
     """Pages with their product cards as an array of scopes, by the first strategy
     that applies: marked list items, product boxes, items of the product list, or
-    any list item that looks like a product."""
+    any list item that looks like a product. ``paged`` adds what pagination says,
+    from the same reading of the page."""
     read = read_scopes(pages, "cards")
     page = F.try_element_at("_scopes", F.lit(1))
+    if paged:
+        read = read.withColumns(pagination(page["hits"]))
 
     def of_kind(kind, test=None):
         return F.filter(
@@ -227,6 +223,8 @@ def card_products(carded: DataFrame, profile: StoreProfile = STORE2) -> DataFram
     """One row per card with a link and a price, in page order.
 
     Fields come from the card's first product box if it has one, else from the card.
+    A card without a URL gets an id from its place (the page's columns and the
+    position there), name and info, so no two of them share one.
     """
     kept = [c for c in carded.columns if c not in ("_cards", "_boxes")]
     card = carded.select(*kept, "_boxes", F.posexplode("_cards").alias("pos", "_card"))
@@ -246,10 +244,11 @@ def card_products(carded: DataFrame, profile: StoreProfile = STORE2) -> DataFram
         hit(hits, "image")["link"].alias("_image"),
     )
     href = F.coalesce("_link.link", F.lit(""))
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*kept, "pos", "name", "info")]
     return complete_records(picked.where(F.col("_link").isNotNull())).select(
         *kept,
         "pos",
-        F.when(href == "", X.stable_product_id("name", "info"))
+        F.when(href == "", F.sha2(F.concat_ws("\x1f", *place), 256))
         .otherwise(U.product_id_from_url(href))
         .alias("product_id"),
         "name",
@@ -288,41 +287,45 @@ def store2_products(pages: DataFrame, profile: StoreProfile = STORE2) -> DataFra
 
 # --- facts read straight off the markup ----------------------------------------
 
-PAGER = r'(?is)<[^>]*\sdata-page="?([0-9]*)"?[^>]*>'
-PAGER_TOTAL = r'(?is)^<[^>]*\sdata-total-pages="?([0-9]+)"?'
-BUTTON = r'(?is)<button\b[^>]*class="(?:[^"]*\s)?ngr-button(?:\s[^"]*)?"[^>]*>(.*?)</button>'
-
-
-def with_pagination(pages: DataFrame) -> DataFrame:
-    """Adds data_page, data_total_pages, has_more and is_last to each listing page.
+def pagination(hits: Column) -> dict[str, Column]:
+    """data_page, data_total_pages, has_more and is_last from a page's elements.
 
     A page is the last if no button offers more and the pager, if any, does not say
     that pages are left.
     """
-    pager = F.regexp_extract("html", PAGER, 0)
-    button = F.regexp_extract("html", BUTTON, 1)
-    facts = pages.withColumns(
-        {
-            "data_page": X.group_of("html", PAGER).try_cast("int"),
-            "data_total_pages": X.group_of(pager, PAGER_TOTAL).try_cast("int"),
-            "has_more": button.contains(V.MORE_BUTTON_TEXT),
-        }
-    )
-    left = F.coalesce(F.col("data_page") < F.col("data_total_pages"), F.lit(False))
-    return facts.withColumn("is_last", ~F.col("has_more") & ~left)
+    pager, more = hit(hits, "pager"), hit(hits, "more")["text"]
+    number, total = pager["link"].try_cast("int"), pager["alt"].try_cast("int")
+    has_more = F.coalesce(more.contains(V.MORE_BUTTON_TEXT), F.lit(False))
+    left = F.coalesce(number < total, F.lit(False))
+    return {
+        "data_page": number,
+        "data_total_pages": total,
+        "has_more": has_more,
+        "is_last": ~has_more & ~left,
+    }
+
+
+def with_pagination(pages: DataFrame) -> DataFrame:
+    """Adds what pagination says to each listing page, without the markup."""
+    read = page_hits(pages, "pagination")
+    return read.withColumns(pagination(F.col("_hits"))).drop("_hits")
+
+
+COMMENT = "(?s)<!--.*?-->"
+LINK = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
 
 
 def plain_links(pages: DataFrame) -> DataFrame:
     """(page columns, pos, link, text): all simple links, without leaving the JVM."""
-    pattern = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-    whole = F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
+    whole = F.regexp_extract_all(F.regexp_replace("html", COMMENT, ""), F.lit(LINK), F.lit(0))
     kept = [c for c in pages.columns if c != "html"]
     found = pages.select(*kept, F.posexplode(whole).alias("pos", "_a"))
+    link = F.concat(*(F.regexp_extract("_a", LINK, i) for i in (1, 2, 3)))
     return found.select(
         *kept,
         "pos",
-        U.unescaped(F.regexp_extract("_a", pattern, 1)).alias("link"),
+        U.unescaped(link).alias("link"),
         U.unescaped(
-            X.strip(F.regexp_replace(F.regexp_extract("_a", pattern, 2), "<[^>]*>", ""))
+            X.strip(F.regexp_replace(F.regexp_extract("_a", LINK, 4), "<[^>]*>", ""))
         ).alias("text"),
     )

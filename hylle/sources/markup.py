@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SCOPE_TYPE = (
-    "array<struct<kind:string,pos:int,within:string,text:string,link:string,"
+    "array<struct<kind:string,pos:int,in_section:boolean,in_main:boolean,text:string,link:string,"
     "has_kr:boolean,has_img:boolean,has_box:boolean,"
     "hits:array<struct<rule:string,pos:int,text:string,link:string,alt:string>>>>"
 )
@@ -28,12 +29,27 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset(("script", "style", "template"))
 # An open element of the second kind ends where one of the first kind starts.
 ENDS_OPEN = {"li": ("li",), "p": ("p",), "option": ("option",), "tr": ("tr", "td"), "td": ("td",)}
+# --- fixed values: class and attribute names of the shops' markup ----------------
+BREADCRUMBS, PRODUCT_IMAGE, BOX_CLASS = "breadcrumbs", "ws-product-image", "ws-product-vertical"
+LIST_CLASS, ITEM_CLASS = "ws-product-list-vertical", "ws-product-list-vertical__item"
+PAGE_ATTR, TOTAL_ATTR, MORE_CLASS = "data-page", "data-total-pages", "ngr-button"
+# --- fixed values: tags that stand around an element, outermost first -------------
+AROUND_IMAGE = ("main", "div", "article", "div")
+AROUND_LINK = ("main", "div", "section")
 
 
 class Node:
-    """An element. Its text, "kr" texts and images are ranges over the page's."""
+    """An element. Its text, "kr" texts and images are ranges over the page's.
 
-    __slots__ = ("tag", "attrs", "classes", "up", "pos", "leads", "children", "start", "scope")
+    What rules ask about the elements around it is handed down as it is opened:
+    ``inside`` names them, ``image_level`` and ``link_level`` count how far the tags
+    of AROUND_IMAGE and AROUND_LINK have been met in order. Nothing walks upwards.
+    """
+
+    __slots__ = (
+        "tag", "attrs", "classes", "up", "pos", "leads", "children", "start", "scope", "own", "inside",
+        "image_level", "link_level",
+    )
 
     def __init__(self, tag, attrs, up, pos, start):
         self.tag, self.attrs, self.up, self.pos, self.start = tag, attrs, up, pos, start
@@ -41,19 +57,35 @@ class Node:
         self.leads = up is not None and up.children == 0
         self.children = 0
         self.scope = None
-
-    def parents(self):
-        node = self.up
-        while node is not None:
-            yield node
-            node = node.up
-
-    def under(self, tag, cls=None):
-        return any(p.tag == tag and (cls is None or cls in p.classes) for p in self.parents())
+        self.own = self.names()
+        if up is None:
+            self.inside, self.image_level, self.link_level = frozenset(), 0, 0
+        else:
+            self.inside = up.inside | up.own if up.own else up.inside
+            self.image_level = _next_level(up.image_level, up.tag, AROUND_IMAGE)
+            self.link_level = _next_level(up.link_level, up.tag, AROUND_LINK)
+
+    def names(self):
+        """What this element is called by rules about elements inside it."""
+        found = []
+        if self.tag in ("h3", "section"):
+            found.append(self.tag)
+        if self.tag == "div":
+            if "price" in self.classes:
+                found.append("div.price")
+            if self.like("class", "product"):
+                found.append("div~product")
+        found += self.classes & {BREADCRUMBS, PRODUCT_IMAGE}
+        return frozenset(found)
 
     def chain(self, *tags):
         """Whether the nearest parents are these, innermost first."""
-        return all(p.tag == t for p, t in zip(self.parents(), tags))
+        node = self.up
+        for tag in tags:
+            if node is None or node.tag != tag:
+                return False
+            node = node.up
+        return True
 
     def has(self, *classes):
         return self.classes.issuperset(classes)
@@ -62,8 +94,13 @@ class Node:
         return part in (self.attrs.get(attr) or "")
 
 
+def _next_level(level, tag, tags):
+    return level + (level < len(tags) and tags[level] == tag)
+
+
 # Rules per job: tag ("*" for any) -> (rule name, test of the element and of the
-# page's first elements by name). FIRSTS names those first elements.
+# page's first elements by name). FIRSTS names those first elements; they are known
+# inside them by their name with an @.
 def _always(node, first):
     return True
 
@@ -85,7 +122,7 @@ STORE1_PRODUCT_RULES = {
     "span": [
         ("price.1", lambda n, f: n.has("k-text-style--label-m", "k-text--weight-bold")),
         ("price.2", lambda n, f: n.has("k-text-color--default")),
-        ("price.3", lambda n, f: n.under("div", "price")),
+        ("price.3", lambda n, f: "div.price" in n.inside),
         ("price.4", lambda n, f: n.like("class", "price")),
         ("price.5", lambda n, f: n.has("k-text-style--label-m")),
         ("unit.4", lambda n, f: n.like("class", "unit")),
@@ -93,29 +130,34 @@ STORE1_PRODUCT_RULES = {
     ],
     "div": [("price.any", _always)],
     "img": [
-        ("image.lead", lambda n, f: f.get("lead_div") in n.parents()),
-        ("image.div", lambda n, f: f.get("article_div") in n.parents()),
+        ("image.lead", lambda n, f: "@lead_div" in n.inside),
+        ("image.div", lambda n, f: "@article_div" in n.inside),
         ("image.any", _always),
         ("image.1", lambda n, f: n.has("k-image", "k-image--contain")),
         ("image.2", lambda n, f: n.has("k-image")),
         ("image.3", lambda n, f: n.like("class", "product")),
         ("image.4", lambda n, f: n.like("alt", "product")),
         ("image.5", lambda n, f: n.chain("div", "article", "div", "div", "section")),
-        ("image.6", lambda n, f: _nested(n, ("div", "article", "div", "main"))),
-        ("image.7", lambda n, f: any(p.tag == "div" and p.like("class", "product") for p in n.parents())),
+        ("image.6", lambda n, f: n.image_level == len(AROUND_IMAGE)),
+        ("image.7", lambda n, f: "div~product" in n.inside),
     ],
 }
 FIRSTS = {
-    "article": lambda n, f: n.tag == "article",
-    "lead_div": lambda n, f: n.tag == "div" and n.leads and f.get("article") in n.parents(),
-    "article_div": lambda n, f: n.tag == "div" and f.get("article") in n.parents(),
-    "list": lambda n, f: n.tag == "ul" and n.has("ws-product-list-vertical"),
+    "article": lambda n: n.tag == "article",
+    "lead_div": lambda n: n.tag == "div" and n.leads and "@article" in n.inside,
+    "article_div": lambda n: n.tag == "div" and "@article" in n.inside,
+    "list": lambda n: n.tag == "ul" and n.has(LIST_CLASS),
 }
 
+PAGER_RULES = {
+    "*": [("pager", lambda n, f: PAGE_ATTR in n.attrs)],
+    "button": [("more", lambda n, f: n.has(MORE_CLASS))],
+}
 CARD_RULES = {
+    **PAGER_RULES,
     "a": [
         ("link.1", lambda n, f: n.has("ws-product-vertical__link")),
-        ("link.2", lambda n, f: n.under("h3")),
+        ("link.2", lambda n, f: "h3" in n.inside),
     ],
     "h3": [("title", lambda n, f: n.has("ws-product-vertical__title"))],
     "p": [
@@ -124,7 +166,7 @@ CARD_RULES = {
     ],
     "div": [
         ("price", lambda n, f: n.has("ws-product-vertical__price")),
-        ("box", lambda n, f: n.has("ws-product-vertical")),
+        ("box", lambda n, f: n.has(BOX_CLASS)),
     ],
     "img": [("image", _always)],
     "ul": [("list", lambda n, f: n is f.get("list"))],
@@ -132,8 +174,8 @@ CARD_RULES = {
 
 STORE2_PRODUCT_RULES = {
     "h1": [("name", _always)],
-    "a": [("crumb", lambda n, f: any(p.has("breadcrumbs") for p in n.parents()))],
-    "img": [("image.2", lambda n, f: any(p.has("ws-product-image") for p in n.parents()))],
+    "a": [("crumb", lambda n, f: BREADCRUMBS in n.inside)],
+    "img": [("image.2", lambda n, f: PRODUCT_IMAGE in n.inside)],
     "*": [
         ("price.1", lambda n, f: n.attrs.get("itemprop") == "price"),
         ("price.2", lambda n, f: n.has("ws-product-price-regular")),
@@ -146,18 +188,6 @@ STORE2_PRODUCT_RULES = {
 }
 
 
-def _nested(node, tags):
-    """Whether these tags occur among the parents in this order, innermost first."""
-    wanted = iter(tags)
-    tag = next(wanted)
-    for parent in node.parents():
-        if parent.tag == tag:
-            tag = next(wanted, None)
-            if tag is None:
-                return True
-    return False
-
-
 def _article_scope(node, first):
     return "article" if node.tag == "article" else None
 
@@ -168,35 +198,46 @@ def _link_scope(node, first):
 
 def _card_scope(node, first):
     if node.tag == "div":
-        return "box" if node.has("ws-product-vertical") else None
+        return "box" if node.has(BOX_CLASS) else None
     if node.tag != "li":
         return None
-    if node.has("ws-product-list-vertical__item"):
+    if node.has(ITEM_CLASS):
         return "item"
-    return "listed" if first.get("list") in node.parents() else "li"
+    return "listed" if "@list" in node.inside else "li"
 
 
-# job -> (rules, scopes besides the page, named first elements)
+# job -> (rules, scopes besides the page, named first elements, rules that the page
+# itself is asked for: None is all)
 JOBS = {
-    "subcategories": (SUBCATEGORY_RULES, _link_scope, ()),
-    "product_links": (LINK_RULE, _article_scope, ()),
-    "store1_product": (STORE1_PRODUCT_RULES, None, ("article", "lead_div", "article_div")),
-    "cards": (CARD_RULES, _card_scope, ("list",)),
-    "store2_product": (STORE2_PRODUCT_RULES, None, ()),
+    "subcategories": (SUBCATEGORY_RULES, _link_scope, (), ()),
+    "product_links": (LINK_RULE, _article_scope, (), None),
+    "store1_product": (STORE1_PRODUCT_RULES, None, ("article", "lead_div", "article_div"), None),
+    "cards": (CARD_RULES, _card_scope, ("list",), ("list", "pager", "more")),
+    "pagination": (PAGER_RULES, None, (), None),
+    "store2_product": (STORE2_PRODUCT_RULES, None, (), None),
+}
+# Of a rule's elements only those are kept that columns can ask for: the first whose
+# text fits, all (without their text), or the first one or two.
+PRICED, UNIT_PRICED = re.compile("kr|[0-9]"), re.compile(r"(?s)(?=.*/)(?=.*kr)")
+KEEP_FITTING = {
+    "price.any": re.compile(r"(?s)(?=.*kr)(?=.*[0-9])"),
+    **{("store1_product", f"price.{i}"): PRICED for i in range(1, 6)},
+    **{("store1_product", f"unit.{i}"): UNIT_PRICED for i in range(1, 5)},
 }
-# Of these rules only the first element whose text fits is kept: its candidates are
-# all blocks of the page, and outer blocks repeat the text of inner ones.
-KEEP_FIRST = {"price.any": re.compile(r"(?s)(?=.*kr)(?=.*[0-9])")}
+KEEP_ALL = frozenset(("link", "image.any"))
+KEEP_TWO = frozenset(("crumb",))
 
 
 class PageReader(HTMLParser):
-    """Collects the scopes and rule hits of one page."""
+    """Collects the scopes and rule hits of one page in one pass over its tags."""
 
     def __init__(self, job):
         super().__init__(convert_charrefs=True)
-        self.rules, self.scope_of, self.firsts = JOBS[job]
+        self.job = job
+        self.rules, self.scope_of, self.firsts, self.page_rules = JOBS[job]
         self.any_tag = self.rules.get("*", [])
-        self.first, self.scopes, self.texts = {}, [], []
+        self.first, self.scopes, self.around, self.texts, self.pending = {}, [], [], [], []
+        self.open_tags = Counter()
         self.length = self.kr = self.imgs = self.count = 0
         self.node = Node("", {}, None, 0, (0, 0, 0))
         self.open_scope(self.node, "page")
@@ -204,11 +245,30 @@ class PageReader(HTMLParser):
     def updatepos(self, i, j):
         return j  # line numbers are not needed
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no such section: skip the declaration, as browsers do
+            return self.parse_bogus_comment(i)
+
     def open_scope(self, node, kind):
         node.scope = {"kind": kind, "node": node, "has_box": False, "hits": []}
         self.scopes.append(node.scope)
+        self.around.append(node.scope)
+
+    def end_text(self):
+        """A tag, comment or declaration ends a text; its pieces are stripped as one."""
+        if not self.pending:
+            return
+        data = "".join(self.pending)
+        self.pending = []
+        self.kr += "kr" in data
+        shown = "" if self.node.tag in HIDDEN else data.strip()
+        self.texts.append(shown)
+        self.length += len(shown)
 
     def handle_starttag(self, tag, attrs):
+        self.end_text()
         if self.node.tag in ENDS_OPEN.get(tag, ()):
             self.leave(self.node)
         self.count += 1
@@ -217,12 +277,14 @@ class PageReader(HTMLParser):
         self.node.children += 1
         self.imgs += tag == "img"
         for name in self.firsts:
-            if name not in self.first and FIRSTS[name](node, self.first):
+            if name not in self.first and FIRSTS[name](node):
                 self.first[name] = node
+                node.own |= {"@" + name}
         kind = self.scope_of(node, self.first) if self.scope_of else None
         if kind:
             self.open_scope(node, kind)
         self.node = node
+        self.open_tags[tag] += 1
         if tag in VOID:
             self.leave(node)
 
@@ -230,41 +292,50 @@ class PageReader(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        node = self.node
-        while node.up is not None and node.tag != tag:
+        self.end_text()
+        node = self.node if self.open_tags[tag] else None
+        while node is not None:
+            found = node.tag == tag
             node = node.up
-        while node.up is not None and self.node is not node.up:
             self.leave(self.node)
+            if found:
+                break
 
     def handle_data(self, data):
-        self.kr += "kr" in data
-        shown = "" if self.node.tag in HIDDEN else data.strip()
-        self.texts.append(shown)
-        self.length += len(shown)
+        self.pending.append(data)
 
     def handle_comment(self, data):
+        self.end_text()
         self.kr += "kr" in data
 
+    def handle_decl(self, decl):
+        self.end_text()
+
+    handle_pi = unknown_decl = handle_decl
+
     def leave(self, node):
         """Finish an element and offer it to every scope around it."""
         self.node = node.up
+        self.open_tags[node.tag] -= 1
         if node.scope is not None:
+            self.around.pop()
             self.close_scope(node)
         tests = self.rules.get(node.tag, ())
         found = [name for name, fits in (*tests, *self.any_tag) if fits(node, self.first)]
         is_box = node.tag == "div" and "product" in (node.attrs.get("class") or "").lower()
         if found or is_box:
             span = (node.start[0], self.length)
-            for parent in node.parents():
-                if parent.scope is not None:
-                    parent.scope["has_box"] |= is_box
-                    parent.scope["hits"] += [(node.pos, name, span, node) for name in found]
+            for scope in self.around:
+                scope["has_box"] |= is_box
+                wanted = None if scope["kind"] != "page" else self.page_rules
+                scope["hits"] += [(node.pos, n, span, node) for n in found if wanted is None or n in wanted]
 
     def close_scope(self, node):
         start = node.start
         node.scope.update(
             pos=node.pos,
-            within="/".join(reversed([p.tag for p in node.parents()])),
+            in_section="section" in node.inside,
+            in_main=node.link_level == len(AROUND_LINK),
             span=(start[0], self.length),
             link=node.attrs.get("href"),
             has_kr=self.kr > start[1],
@@ -272,6 +343,7 @@ class PageReader(HTMLParser):
         )
 
     def result(self):
+        self.end_text()
         while self.node.up is not None:
             self.leave(self.node)
         self.close_scope(self.node)
@@ -279,32 +351,42 @@ class PageReader(HTMLParser):
         for scope in self.scopes:
             a, b = scope.pop("span")
             scope["text"] = page[a:b] if scope["kind"] == "link" else None
-            scope["hits"] = list(hits_as_rows(scope["hits"], page))
+            scope["hits"] = list(hits_as_rows(scope["hits"], page, self.job))
             del scope["node"]
         return self.scopes
 
 
-def hits_as_rows(hits, page):
-    done = set()
+def hits_as_rows(hits, page, job):
+    """A scope's hits in document order, as many of each rule as can be asked for."""
+    times, failed = Counter(), {}
     for pos, rule, (a, b), node in sorted(hits, key=lambda h: h[0]):
-        if rule in KEEP_FIRST:
-            if rule in done or not KEEP_FIRST[rule].match(page[a:b]):
+        text = None
+        if rule not in KEEP_ALL:
+            if times[rule] >= (2 if rule in KEEP_TWO else 1):
+                continue
+            fits = KEEP_FITTING.get(rule) or KEEP_FITTING.get((job, rule))
+            if fits and b <= failed.get(rule, -1):
+                continue  # inside an element whose whole text doesn't fit
+            text = page[a:b]
+            if fits and not fits.search(text):
+                failed[rule] = b
                 continue
-            done.add(rule)
-        link = node.attrs.get("href") if node.tag == "a" else node.attrs.get("src")
-        yield {"rule": rule, "pos": pos, "text": page[a:b], "link": link, "alt": node.attrs.get("alt")}
+        times[rule] += 1
+        if rule == "pager":
+            link, alt = node.attrs.get(PAGE_ATTR), node.attrs.get(TOTAL_ATTR)
+        else:
+            link = node.attrs.get("href") if node.tag == "a" else node.attrs.get("src")
+            alt = node.attrs.get("alt")
+        yield {"rule": rule, "pos": pos, "text": text, "link": link, "alt": alt}
 
 
 def read_page(html: str | None, job: str) -> list[dict] | None:
-    """Scopes of one page, the page itself first; None for no or broken markup."""
+    """Scopes of one page, the page itself first; None for no markup."""
     if html is None:
         return None
     reader = PageReader(job)
-    try:
-        reader.feed(html)
-        reader.close()
-    except AssertionError:  # malformed declaration: the page yields nothing
-        return None
+    reader.feed(html)
+    reader.close()
     return reader.result()
 
 

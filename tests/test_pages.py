@@ -17,6 +17,50 @@ def test_text_is_stripped_per_piece_and_scripts_are_hidden():
     assert page["has_kr"] is True
 
 
+def test_text_pieces_of_one_text_keep_their_blanks():
+    page = read_page("<h2>a < b</h2><h2> c <!-- x --> d</h2>", "store1_product")[0]
+    assert [h["text"] for h in page["hits"] if h["rule"] == "name"] == ["a < b"]
+
+
+def test_bad_declarations_are_skipped():
+    for bad in ("<![foo[ x ]]>", "<![", "<!foo>", "<![if x]>"):
+        page = read_page(f"{bad}<h2>x</h2><p>kr 5</p>", "store1_product")[0]
+        names = [h["text"] for h in page["hits"] if h["rule"] == "name"]
+        assert names == (["x"] if bad != "<![" else names), bad
+
+
+def test_unclosed_tags_cost_in_proportion():
+    import time
+
+    def took(n):
+        start = time.process_time()
+        rows = read_page('<span class="price">x' * n, "store1_product")
+        return time.process_time() - start, sum(len(h["text"] or "") for h in rows[0]["hits"])
+
+    took(1_000)
+    (small, text_small), (large, text_large) = took(2_000), took(20_000)
+    assert large < 40 * max(small, 0.005)
+    assert text_large <= 40 * 20_000
+
+
+def test_nested_blocks_ship_little_text():
+    page = "<a href='/x/'>" + "<div>word " * 400 + "</a>" + "<div>word " * 400
+    shipped = sum(len(h["text"] or "") for s in read_page(page, "subcategories") for h in s["hits"])
+    assert shipped < 10 * len(page)
+
+
+def test_links_in_any_quoting(spark):
+    html = """<a href='/x'>x</a><a class=b href=/y>y</a><!-- <a href="/no">n</a> --><a href="/z?a=1&amp;b=2">z</a>"""
+    assert [r.link for r in E.plain_links(pages(spark, html)).orderBy("pos").collect()] == ["/x", "/y", "/z?a=1&b=2"]
+
+
+def test_cards_without_url_have_ids_of_their_own(spark):
+    card = '<li class="ws-product-list-vertical__item"><a class="ws-product-vertical__link">{}</a><div class="ws-product-vertical__price">kr 5</div></li>'
+    name = "Tine Lettmelk Laktosefri Ekstra Lang Holdbarhet "
+    rows = E.card_products(E.cards(pages(spark, card.format(name + "1l") + card.format(name + "2l") + card.format(name + "2l")))).collect()
+    assert len({r.product_id for r in rows}) == 3
+
+
 def test_broken_and_missing_markup():
     assert read_page(None, "cards") is None
     assert read_page("", "cards")[0]["hits"] == []
@@ -94,9 +138,12 @@ def test_second_store_page_needs_a_product_url(spark):
 def test_last_page_rules(spark):
     pager = '<i data-page="{}" data-total-pages="3"></i>'
     more = '<button class="a ngr-button"><b>Vis flere</b></button>'
-    htmls = [pager.format(1), pager.format(3), pager.format(3) + more, "<p>x</p>", '<i data-page="1"></i>']
+    single = "<i data-page='1' data-total-pages=3></i>"
+    hidden = f"<!-- {pager.format(1)} --><script>{pager.format(1)}</script>"
+    htmls = [pager.format(1), pager.format(3), pager.format(3) + more, "<p>x</p>", '<i data-page="1"></i>', single,
+             "<button class='ngr-button x'>Vis flere</button>", hidden]
     rows = E.with_pagination(pages(spark, *htmls)).orderBy("id").collect()
-    assert [r.is_last for r in rows] == [False, True, False, True, True]
+    assert [r.is_last for r in rows] == [False, True, False, True, True, False, False, True]
 
 
 def test_pages_are_parsed_once(spark):
