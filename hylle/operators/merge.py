@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hylle.operators.ranking import last_per_key
+from hylle.operators.ranking import first_per_key, last_per_key
 
 
 def keys_present(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -26,8 +26,8 @@ def new_rows(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
 def insert_absent(stored: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """Rows to append: the first of each key in the batch, unless the key is stored."""
-    first = last_per_key(batch.withColumn("_back", -F.col(seq)), keys, "_back")
-    return new_rows(stored, first.drop("_back"), keys)
+    others = [c for c in batch.columns if c not in (*keys, seq, "attributes")]
+    return new_rows(stored, first_per_key(batch, keys, [seq, *others]), keys)
 
 
 def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> DataFrame:

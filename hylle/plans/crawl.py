@@ -1,12 +1,15 @@
 """From page snapshots to products (PL4, PL5).
 
 The snapshots take the place of fetching: which pages would be read, and in which
-order, follows from the links on them. Pages are cut down before they are parsed,
-parsed once, and only narrow rows are joined.
+order, follows from the links on them. Each page is parsed once, where it is
+scanned, and only the narrow rows that this gives are shuffled and joined: markup
+never crosses an exchange.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,14 +53,13 @@ def store1_listing_links(
     max_products: int | None = None,
 ) -> DataFrame:
     """(listing_url, page_no, pos, url): product URLs that reading the listings gives."""
-    pages = (
-        listing_pages.where(F.col("page_no") <= profile.page_cap)
-        .join(wanted.select("listing_url").distinct(), "listing_url", "left_semi")
-        .select("listing_url", "page_no", "html")
+    pages = listing_pages.where(F.col("page_no") <= profile.page_cap).select(
+        "listing_url", "page_no", "html"
     )
     found = E.product_links(pages, profile).withColumnRenamed("link", "url")
     parsed = materialised(spark, found, "listing-links")
-    read = L.read_pages(parsed, "listing_url", profile.page_cap)
+    asked = parsed.join(wanted.select("listing_url").distinct(), "listing_url", "left_semi")
+    read = L.read_pages(asked, "listing_url", profile.page_cap)
     return L.capped(read, ["listing_url"], ["page_no", "pos", "url"], max_products)
 
 
@@ -78,10 +80,7 @@ def crawl_store1(
     """
     subs = subcategories(category_pages, profile)
     links = store1_listing_links(spark, listing_pages, subs, profile, max_products)
-    wanted = product_pages.select("url", "html").join(
-        links.select("url").distinct(), "url", "left_semi"
-    )
-    records = E.store1_products(wanted, profile)
+    records = E.store1_products(product_pages.select("url", "html"), profile)
     placed = links.join(
         subs.select("listing_url", "category_url", F.col("name").alias("subcategory"),
                     F.col("pos").alias("link_pos")),
@@ -104,7 +103,7 @@ def crawl_store2(
     pages = listing_pages.where(F.col("page_no") <= profile.page_cap).select(
         "listing_url", "page_no", "html"
     )
-    carded = E.cards(E.with_pagination(pages))
+    carded = E.cards(pages, paged=True)
     parsed = materialised(
         spark,
         carded.select("listing_url", "page_no", "is_last", "_cards", "_boxes"),
@@ -122,3 +121,40 @@ def crawl_store2(
             "subcategory": F.lit(None).cast("string"),
         }
     )
+
+
+Crawl = Callable[[DataFrame, int | None], DataFrame]
+
+
+def store1_source(
+    spark: SparkSession,
+    category_pages: DataFrame,
+    listing_pages: DataFrame,
+    product_pages: DataFrame,
+    profile: StoreProfile = STORE1,
+) -> Crawl:
+    """A crawl of the first store for ``ingest``: categories (name, url) and a cap to products.
+
+    ``seq`` is the reading order: categories by name, then links, pages and positions.
+    """
+
+    def crawl(categories: DataFrame, max_products: int | None) -> DataFrame:
+        named = categories.select(F.col("name").alias("category_name"), F.col("url").alias("category_url"))
+        found = crawl_store1(spark, category_pages, listing_pages, product_pages, profile, max_products)
+        order = F.struct("category_name", "link_pos", "page_no", "pos", "listing_url")
+        return found.join(named, "category_url").withColumn("seq", order)
+
+    return crawl
+
+
+def store2_source(
+    spark: SparkSession, listing_pages: DataFrame, profile: StoreProfile = STORE2
+) -> Crawl:
+    """A crawl of the second store for ``ingest``; a category's URL is its listing."""
+
+    def crawl(categories: DataFrame, max_products: int | None) -> DataFrame:
+        named = categories.select(F.col("name").alias("category_name"), F.col("url").alias("listing_url"))
+        found = crawl_store2(spark, listing_pages, profile, max_products)
+        return found.join(named, "listing_url").withColumn("seq", F.struct("category_name", "page_no", "pos"))
+
+    return crawl

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hylle.fixtures import as_sql, relation
-from hylle.plans.crawl import crawl_store1, crawl_store2
+from hylle.plans.crawl import crawl_store1, crawl_store2, store1_source, store2_source
 from hylle.plans.enrich import enrich, enrich_frame, flat_attributes
 from hylle.plans.ingest import ingest
 from hylle.profiles import STORE1, STORE2
@@ -159,15 +159,17 @@ INGEST_SOURCE = f"""(SELECT md5(url) AS product_id, name, info, price, shown_pri
 INGEST_KEPT = "product_id, name, info, price, price_text, unit_price, image_url, category, run_id, url"
 
 
-def run_ingest(spark, sf):
-    """One ingest of the configured categories into new tables."""
+def run_ingest(spark, sf, unreadable=None):
+    """One ingest of the configured categories into new tables; one may fail to be read."""
     pages = relation(spark, sf, "product_pages").withColumnRenamed("category", "category_name")
 
-    def crawl(categories):
+    def crawl(categories, max_products):
         wanted = categories.select(F.col("name").alias("category_name"))
         listed = pages.join(wanted, "category_name", "left_semi")
         found = store1_products(listed.select("product_id", "url", "html", "category_name"))
-        return found.withColumns({"seq": F.xxhash64("url"), "category": F.lit(None).cast("string")})
+        bad = F.raise_error(F.lit("page is broken")).cast("string")
+        name = F.when(F.col("category_name").eqNullSafe(F.lit(unreadable)), bad).otherwise(F.col("name"))
+        return found.withColumns({"seq": F.col("url"), "category": F.lit(None).cast("string"), "name": name})
 
     products, runs = table_target(spark), table_target(spark, "runs")
     ingest(
@@ -203,3 +205,78 @@ def ingest_runs(spark, sf):
     return spark.table(runs.location).select(
         "run_id", "scraper_type", "category_url", "status", "num_products", "duration_seconds"
     )
+
+
+FAILING = INGESTED.replace("'economy', ", "")
+
+
+@query(
+    "pl6_ingest_failed_category",
+    "SELECT 'r1_' || name AS run_id, CASE WHEN name = 'economy' THEN 'failed' WHEN n IS NULL THEN 'running' ELSE 'completed' END AS status, "
+    "CASE WHEN name = 'economy' THEN 0 ELSE n END AS num_products, name = 'economy' AS has_error "
+    f"FROM {as_sql('categories')} AS c LEFT JOIN (SELECT category_name, count(*) AS n FROM {FAILING} AS i GROUP BY category_name) AS t "
+    "ON t.category_name = c.name WHERE coalesce(url, '') <> ''",
+)
+def ingest_failed_category(spark, sf):
+    """One category cannot be read: it fails alone, the others are stored."""
+    _, runs = run_ingest(spark, sf, unreadable="economy")
+    return spark.table(runs.location).select(
+        "run_id", "status", "num_products", F.col("error_message").isNotNull().alias("has_error")
+    )
+
+
+CRAWLED1 = f"""(SELECT *, row_number() OVER (PARTITION BY url ORDER BY category_name DESC, own DESC, page_no DESC, pos DESC) AS rn FROM (
+ SELECT 'cat' || w.p_partkey AS category_name, w.subcategory = 'Alle i Melk' AS own, l.page_no, l.pos, c.url, c.name, c.price
+ FROM {WANTED} AS w JOIN {READ_LISTED} AS l ON l.listing_url = w.listing_url AND l.rn <= 5 JOIN {COMPLETE} AS c ON c.url = l.link) AS x)"""
+
+
+def ingested(spark, configured, crawl, profile, run_id):
+    products, runs = table_target(spark), table_target(spark, "runs")
+    ingest(
+        spark, configured, crawl, profile, run_id, products, runs, max_products=5, replace_existing=True,
+        now=F.lit("2024-03-01T08:00:00Z").cast("timestamp"), request_delay=0.5, max_retries=3, clear="before",
+    )
+    return products, runs
+
+
+@query(
+    "pl6_ingest_store1",
+    "SELECT md5(url) AS product_id, name, price, url, 'melk' AS category, 'r1_' || category_name AS run_id "
+    f"FROM {CRAWLED1} AS c WHERE rn = 1",
+)
+def ingest_first_store(spark, sf):
+    """From category, listing and product pages to stored products in one call."""
+    configured = relation(spark, sf, "part").select(
+        F.concat(F.lit("cat"), F.col("p_partkey").cast("string")).alias("name"),
+        F.concat(F.lit("/no/categories/"), F.col("p_partkey").cast("string"), F.lit("-melk/")).alias("url"),
+    )
+    crawl = store1_source(
+        spark,
+        relation(spark, sf, "category_pages").select("url", "html"),
+        relation(spark, sf, "listing_pages"),
+        relation(spark, sf, "product_pages").select("url", "html"),
+    )
+    products, _ = ingested(spark, configured, crawl, STORE1, "r1")
+    return spark.table(products.location).select("product_id", "name", "price", "url", "category", "run_id")
+
+
+@query(
+    "pl6_ingest_store2",
+    "SELECT product_id, name, price, url, 'Meieri ' || (page_id - page_id % 4) AS category, "
+    "'r2_m' || (page_id - page_id % 4) AS run_id, 5 AS max_products, 0.5::DOUBLE AS request_delay, 3 AS max_retries "
+    f"FROM {CARDS} AS c WHERE page_id % 4 < 3 AND page_id - page_id % 4 IN (SELECT p_partkey FROM part)",
+)
+def ingest_second_store(spark, sf):
+    """From listing pages to stored products; the settings stand in the run's row."""
+    key = (F.col("page_id") - F.col("page_id") % 4).cast("string")
+    url = F.concat(F.lit("https://shop.example/varer/meieri-"), key, F.lit("/"))
+    pages = relation(spark, sf, "card_pages")
+    configured = pages.where("page_id % 4 = 0").select(F.concat(F.lit("m"), key).alias("name"), url.alias("url"))
+    listing = pages.select(url.alias("listing_url"), (F.col("page_id") % 4 + 1).alias("page_no"), "html")
+    products, runs = ingested(spark, configured, store2_source(spark, listing), STORE2, "r2")
+    config = F.from_json("config_snapshot", "scraper struct<request_delay: double, max_retries: int>")["scraper"]
+    settings = spark.table(runs.location).select(
+        "run_id", "max_products", config["request_delay"].alias("request_delay"), config["max_retries"].alias("max_retries")
+    )
+    stored = spark.table(products.location).select("product_id", "name", "price", "url", "category", "run_id")
+    return stored.join(settings, "run_id")

@@ -134,7 +134,7 @@ def test_category_filter(spark):
 def test_failed_ingest_is_recorded(spark, sf_dir):
     products, runs = table_target(spark), table_target(spark, "runs")
 
-    def crawl(categories):
+    def crawl(categories, max_products):
         raise RuntimeError("no pages")
 
     with pytest.raises(RuntimeError):
