@@ -22,8 +22,14 @@ def equal_where_given(df: DataFrame, **wanted: str | None) -> DataFrame:
     return df
 
 
-def by_id(df: DataFrame, product_id: str) -> DataFrame:
-    return df.where(F.col("product_id") == product_id).limit(1)
+def by_id(df: DataFrame, product_id: str, *order: str | Column) -> DataFrame:
+    """One product's first row: by day and time as far as there are such columns, or as stated.
+
+    The digest of the whole row breaks ties, so equal times give the same row each time.
+    """
+    first = order or [c for c in ("scrape_date", "scraped_at", "seq") if c in df.columns]
+    digest = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    return df.where(F.col("product_id") == product_id).orderBy(*first, digest).limit(1)
 
 
 def first_rows(df: DataFrame, limit: int | None, *order: str) -> DataFrame:

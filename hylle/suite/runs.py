@@ -43,9 +43,18 @@ def seeded_run_id(spark, sf):
     return relation(spark, sf, "runs").select("seq", R.seeded_run_id("run_id").alias("id"))
 
 
-@query("sf18_random_run_id")
+@query(
+    "sf18_random_run_id",
+    f"SELECT count(*) AS n_rows, count(*) AS n_ids, true AS all_shaped FROM {RUNS} AS r",
+)
 def random_run_id(spark, sf):
-    return relation(spark, sf, "runs").select(R.seeded_run_id(F.lit("")).alias("id"))
+    """Random ids have no fixed value, but one per row, each of the right shape."""
+    ids = relation(spark, sf, "runs").select(R.seeded_run_id(F.lit("")).alias("id"))
+    return ids.agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("id").alias("n_ids"),
+        F.bool_and(F.col("id").rlike("^[0-9a-f]{12}$")).alias("all_shaped"),
+    )
 
 
 @query(

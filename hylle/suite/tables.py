@@ -13,7 +13,7 @@ from hylle.operators import merge as M
 from hylle.plans.enrich import enrich, flat_attributes, with_product_columns
 from hylle.profiles import STORE1
 from hylle.schema import ATTRIBUTE_SCHEMA, PRODUCT_COLUMNS
-from hylle.session import work_folder
+from hylle.session import materialised, work_folder
 from hylle.sources import codec
 from hylle.sources import tables as S
 from hylle.suite import dictionary_sql as D
@@ -190,44 +190,67 @@ def save_one_product(spark, sf):
     return shown(S.scan(spark, target))
 
 
+def counted(spark, df, name):
+    """How many rows there are by now, kept in a file."""
+    return materialised(spark, df.agg(F.count("*").alias(name)), "counts")
+
+
 @query(
     "sk8_clear_files",
     f"SELECT count(*) AS n_before, 0 AS n_after FROM {STORED} AS s",
 )
 def clear_files(spark, sf):
     target = stored_files(spark, sf)
-    before = S.read_files(spark, target).count()
+    before = counted(spark, S.read_files(spark, target), "n_before")
     S.clear(spark, target)
     after = S.read_files(spark, target).agg(F.count("*").cast("int").alias("n_after"))
-    return after.select(F.lit(before).cast("bigint").alias("n_before"), "n_after")
+    return before.join(after, F.col("n_before") >= F.col("n_after"))
+
+
+PRICE_ROWS = f"(SELECT product_id, price, scraped_at FROM {STORED} AS s WHERE price IS NOT NULL)"
 
 
 @query(
     "sk9_clear_tables",
-    "SELECT * FROM (VALUES ('product_prices', false, NULL), ('products', true, 0), ('scraping_runs', true, 0)) "
-    "AS t(table_name, cleared, n_rows)",
+    f"SELECT 'product_prices' AS table_name, true AS cleared, count(*) AS n_before, 0 AS n_after FROM {PRICE_ROWS} AS c "
+    f"UNION ALL SELECT 'products', true, count(*), 0 FROM {STORED} AS p "
+    f"UNION ALL SELECT 'scraping_runs', true, count(*), 0 FROM {as_sql('runs')} AS r",
 )
 def clear_tables(spark, sf):
-    products = stored_table(spark, sf)
-    runs = table_target(spark, "runs")
+    products, prices, runs = stored_table(spark, sf), table_target(spark, "prices"), table_target(spark, "runs")
     S.publish(spark, relation(spark, sf, "runs"), runs.location, runs.folder)
-    prices = table_target(spark, "prices")  # never created: its failure is tolerated
+    priced = rows(spark, sf).where("price IS NOT NULL").select("product_id", "price", "scraped_at")
+    S.publish(spark, priced, prices.location, prices.folder)
+    tables = {"product_prices": prices, "products": products, "scraping_runs": runs}
+    before = {name: counted(spark, spark.table(t.location), "n_before") for name, t in tables.items()}
     done = S.clear_tables(spark, prices, products, runs)
-    left = {
-        "product_prices": F.lit(None).cast("int"),
-        "products": spark.table(products.location).count(),
-        "scraping_runs": spark.table(runs.location).count(),
-    }
     result = None
-    for name, ok in done.items():
-        n = left[name] if name == "product_prices" else F.lit(left[name]).cast("int")
-        row = spark.range(1).select(
-            F.lit(name).alias("table_name"), F.lit(ok).alias("cleared"), n.alias("n_rows")
+    for name, target in tables.items():
+        left = spark.table(target.location).agg(F.count("*").cast("int").alias("n_after"))
+        row = before[name].join(left, F.col("n_before") >= F.col("n_after")).select(
+            F.lit(name).alias("table_name"), F.lit(done[name]).alias("cleared"), "n_before", "n_after"
         )
         result = row if result is None else result.unionByName(row)
     return result
 
 
+@query(
+    "sk9_clear_without_prices",
+    f"SELECT 'products' AS table_name, count(*) AS n_before, 0 AS n_after FROM {STORED} AS p",
+)
+def clear_without_prices(spark, sf):
+    """A missing child table does not keep the others from being cleared."""
+    products, runs = stored_table(spark, sf), table_target(spark, "runs")
+    S.publish(spark, relation(spark, sf, "runs"), runs.location, runs.folder)
+    before = counted(spark, spark.table(products.location), "n_before")
+    done = S.clear_tables(spark, table_target(spark, "prices"), products, runs)
+    cleared = [name for name, ok in done.items() if ok]
+    left = spark.table(products.location).agg(F.count("*").cast("int").alias("n_after"))
+    return before.join(left, F.col("n_before") >= F.col("n_after")).select(
+        F.lit(cleared[0]).alias("table_name"), "n_before", "n_after"
+    )
+
+
 @query(
     "sk10_serialise_rows",
     f"SELECT product_id, scraped_at, name, run_id, coalesce(info, '') <> '' AS has_attributes FROM {STORED} AS s",
@@ -274,9 +297,16 @@ def optional_filters(spark, sf):
     return shown(df)
 
 
-@query("pj2_point_lookup", f"SELECT {COLS} FROM {STORED} AS s WHERE product_id = 'p77'")
+@query(
+    "pj2_point_lookup",
+    f"SELECT {COLS} FROM (SELECT * FROM {STORED} AS s UNION ALL SELECT * FROM {BATCH} AS b) AS u "
+    "WHERE product_id = 'p78' ORDER BY scrape_date, scraped_at, name DESC LIMIT 1",
+)
 def point_lookup(spark, sf):
-    return shown(P.by_id(S.read_files(spark, stored_files(spark, sf)), "p77"))
+    """An id that files hold several times: its first day counts."""
+    target = stored_files(spark, sf)
+    S.append_files(rows(spark, sf, "batch"), target)
+    return shown(P.by_id(S.read_files(spark, target), "p78", "scrape_date", "scraped_at", F.col("name").desc()))
 
 
 @query(
@@ -457,6 +487,16 @@ def attributes_normalised(spark, sf):
     )
 
 
-@query("sf37_random_product_id")
+@query(
+    "sf37_random_product_id",
+    f"SELECT count(*) AS n_rows, count(*) AS n_ids, true AS all_shaped FROM {STORED} AS s",
+)
 def random_product_id(spark, sf):
-    return rows(spark, sf).select(F.uuid().alias("product_id"), "name")
+    """Products without an id get one each, of the right shape."""
+    made = with_product_columns(rows(spark, sf).drop("product_id")).select("product_id")
+    shape = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return made.agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("product_id").alias("n_ids"),
+        F.bool_and(F.col("product_id").rlike(shape)).alias("all_shaped"),
+    )
