@@ -50,18 +50,20 @@ def first_by_prefix(stored: DataFrame, bases: DataFrame) -> DataFrame:
     prefixes = stored.select(
         "run_id", F.explode(F.transform(lengths, lambda n: F.left(own, n))).alias("base")
     )
-    return prefixes.join(bases, "base", "left_semi").groupBy("base").agg(
-        F.min("run_id").alias("prefix_match")
-    )
+    least = prefixes.groupBy("base").agg(F.min("run_id").alias("prefix_match"))
+    return least.join(bases, "base", "left_semi")
 
 
 def first_by_suffix(stored: DataFrame, requests: DataFrame) -> DataFrame:
     """(run_id, suffix_match): the least stored id that ends like each requested id.
 
     An underscore in the requested id stands for any one character. Requests are
-    reduced to their shapes (length and places of underscores); a stored id's
-    ending is masked by each shape of that length, and a request then equals the
-    masked ending. So the work grows with stored ids times shapes, not requests.
+    reduced to their shapes (length and places of underscores). A stored id gives
+    its endings of the lengths asked for (a scalar subquery: the distinct lengths,
+    few as ids are short), each is masked by the shapes of its length, and a
+    request then equals the masked ending. Endings are summed up to the least id
+    before they are shuffled. The work grows with stored ids times shapes, not
+    requests.
     """
     shape = F.regexp_replace("run_id", "[^_]", "x")
     shapes = requests.select(shape.alias("shape")).distinct().select(
@@ -71,8 +73,9 @@ def first_by_suffix(stored: DataFrame, requests: DataFrame) -> DataFrame:
             lambda i: F.substring("shape", i, F.lit(1)) == "_",
         ).alias("marks"),
     )
-    sizes = F.when(F.length("run_id") >= 1, F.sequence(F.lit(1), F.length("run_id")))
-    endings = stored.select("run_id", F.explode(sizes).alias("size")).join(shapes, "size")
+    sized = stored.withColumn("_sizes", shapes.agg(F.collect_set("size")).scalar())
+    asked = F.filter("_sizes", lambda n: n <= F.length("run_id"))
+    endings = sized.select("run_id", F.explode(asked).alias("size")).join(shapes, "size")
     masked = F.aggregate(
         "marks",
         F.right("run_id", F.col("size")),

@@ -10,6 +10,7 @@ from hylle.fixtures import as_sql, relation
 from hylle.functions import text as X
 from hylle.operators import filters as P
 from hylle.operators import merge as M
+from hylle.operators import summary as A
 from hylle.plans.enrich import enrich, flat_attributes, with_product_columns
 from hylle.profiles import STORE1
 from hylle.schema import ATTRIBUTE_SCHEMA, PRODUCT_COLUMNS
@@ -407,11 +408,7 @@ def keyed_merge(spark, sf):
     f"SELECT category_part, count(*) AS n, count(DISTINCT product_id) AS n_ids FROM {STORED} AS s GROUP BY category_part",
 )
 def group_by_category(spark, sf):
-    return (
-        S.with_parts(rows(spark, sf))
-        .groupBy("category_part")
-        .agg(F.count("*").alias("n"), F.countDistinct("product_id").alias("n_ids"))
-    )
+    return A.per_category(rows(spark, sf))
 
 
 @query(
@@ -419,7 +416,7 @@ def group_by_category(spark, sf):
     f"SELECT category_part, count(*) AS n FROM {STORED} AS s GROUP BY ROLLUP (category_part)",
 )
 def products_per_category(spark, sf):
-    return S.with_parts(rows(spark, sf)).rollup("category_part").agg(F.count("*").alias("n"))
+    return A.category_totals(rows(spark, sf))
 
 
 @query(
@@ -427,7 +424,7 @@ def products_per_category(spark, sf):
     f"SELECT run_id, count(*) AS num_products FROM {STORED} AS s GROUP BY run_id",
 )
 def products_per_run(spark, sf):
-    return rows(spark, sf).groupBy("run_id").agg(F.count("*").alias("num_products"))
+    return A.per_run(rows(spark, sf))
 
 
 @query(
@@ -436,14 +433,7 @@ def products_per_run(spark, sf):
     f"FROM {STORED} AS s GROUP BY category_part",
 )
 def any_match(spark, sf):
-    return (
-        S.with_parts(rows(spark, sf))
-        .groupBy("category_part")
-        .agg(
-            F.bool_or(F.coalesce(F.col("subcategory") == "egg", F.lit(False))).alias("has_egg"),
-            (F.count("*") > 0).alias("has_rows"),
-        )
-    )
+    return A.any_per_category(rows(spark, sf), F.col("subcategory") == "egg", "has_egg")
 
 
 @query(

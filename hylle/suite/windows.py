@@ -9,6 +9,7 @@ from hylle.functions import urls as U
 from hylle.operators import filters as P
 from hylle.operators import listing as L
 from hylle.operators import ranking as R
+from hylle.operators import summary as A
 from hylle.suite import query
 
 LISTING = as_sql("listing")
@@ -145,13 +146,11 @@ def head_of_list(spark, sf):
 
 @query(
     "st1_union_all",
-    f"SELECT category AS source, url FROM {LISTING} AS l UNION ALL "
+    f"SELECT 'listing' AS source, url FROM {LISTING} AS l UNION ALL "
     f"SELECT 'urls' AS source, url FROM {as_sql('urls')} AS u",
 )
 def union_all(spark, sf):
-    links = listing(spark, sf).select(F.col("category").alias("source"), "url")
-    others = relation(spark, sf, "urls").select(F.lit("urls").alias("source"), "url")
-    return links.unionByName(others)
+    return A.all_links(listing=listing(spark, sf), urls=relation(spark, sf, "urls"))
 
 
 MAIN = f"""(SELECT DISTINCT category, '/no/products/' || CAST(7 * CAST(substr(category, 4) AS BIGINT) AS VARCHAR) || '-x/' AS url FROM {LISTING} AS l)"""
@@ -194,14 +193,9 @@ def skip_list(spark, sf):
     "GROUP BY ROLLUP (category, page_no)",
 )
 def links_per_page(spark, sf):
-    return (
-        listing(spark, sf)
-        .withColumn("_u", U.without_query("url"))
-        .rollup("category", "page_no")
-        .agg(F.count("*").alias("n_links"), F.countDistinct("_u").alias("n_products"))
-    )
+    return A.per_page(listing(spark, sf))
 
 
 @query("ag5_distinct_urls", f"SELECT DISTINCT split_part(url, '?', 1) AS url FROM {LISTING} AS l")
 def distinct_urls(spark, sf):
-    return listing(spark, sf).select(U.without_query("url").alias("url")).distinct()
+    return A.distinct_urls(listing(spark, sf))
