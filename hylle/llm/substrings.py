@@ -39,7 +39,7 @@ from hylle.llm.common import KEY, carried, fits, partitions, row_key, staged
 
 LENGTH, GRAM = 400, 32
 SEGMENT = 1 << 19  # bytes looked at together; positions must fit 20 bits
-SHARD_BYTES, SHARD_PIECES = 2 << 20, 2_000
+SHARD_BYTES, SHARD_PIECES = 1 << 20, 1_000
 MERGE_WINDOWS = 1 << 20
 BROADCAST_PIECES, BROADCAST_DOCS = 100_000, 50_000
 PLACE = np.uint64((1 << 20) - 1)

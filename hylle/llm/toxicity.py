@@ -42,7 +42,8 @@ from hylle.llm.common import fits, staged
 FEATURES, LEXICONS = 256, 8
 SHORTEST, LONGEST = 3, 8
 BROADCAST_ROWS = 500_000
-REMEMBERED = 500_000
+REMEMBERED = 300_000
+ROWS_AT_ONCE = 512
 
 WORD = re.compile(r"[^\W\d_]+")
 PATTERNS = (
@@ -71,7 +72,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
     """word, toxic, clean: rows of (text, toxic) that hold the word, copies once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             by = (Counter(), Counter())
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by[toxic].update(set(WORD.findall((text or "").lower())))
@@ -141,7 +142,7 @@ def votes(docs: DataFrame, features: list[str], id_col: str, text_col: str) -> D
         number = shared.value
         plain: set[str] = set()
         telling: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             hits, rates, fired = [], [], []
             for text in batch.column(1).to_pylist():
                 words = WORD.findall((text or "").lower())
