@@ -41,18 +41,16 @@ def replace_or_append(
 ) -> DataFrame:
     """Every stored row with a batch key becomes the batch row; new keys are added.
 
-    A key stored n times stays n times.
+    A key stored n times stays n times. The batch has each key once, so one full
+    outer join does both. Keys are compared as structs: missing parts are equal.
     """
     columns = stored.columns
-    last = last_per_key(batch, keys, seq).select(*columns)
-    incoming = last.select(*keys, F.struct(*columns).alias("_new"))
-    merged = stored.join(incoming, keys, "left").select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(stored[c]).alias(c)
-            for c in columns
-        ]
-    )
-    return merged.unionByName(new_rows(stored, last, keys))
+    key = F.struct(*keys)
+    last = last_per_key(batch, keys, seq)
+    incoming = last.select(key.alias("_key"), F.struct(*columns).alias("_new"))
+    rows = stored.select(key.alias("_key"), F.struct(*columns).alias("_old"))
+    merged = rows.join(incoming, "_key", "full").select(F.coalesce("_new", "_old").alias("_row"))
+    return merged.select("_row.*")
 
 
 def write_summary(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

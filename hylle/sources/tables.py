@@ -86,20 +86,32 @@ def append_files(products: DataFrame, target: Target) -> None:
 def replace_files(spark: SparkSession, products: DataFrame, target: Target, seq: str) -> None:
     """Replace or append by id inside each category and day that the batch touches.
 
-    Only touched folders are rewritten. The merged rows are first written to the
-    shared work folder: a lost executor or a retry then never reads a folder that
-    is being replaced.
+    Only folders of the batch's days are read and only touched ones rewritten. The
+    merged rows are first written to the shared work folder: a lost executor or a
+    retry then never reads a folder that is being replaced.
     """
-    keys = [*PARTS, "product_id"]
     batch = with_parts(products.select(*PRODUCT_COLUMNS, seq))
-    stored = read_files(spark, target)
-    touched = stored.join(batch.select(*PARTS).distinct(), PARTS, "left_semi")
-    merged = M.replace_or_append(touched, batch, keys, seq)
+    merged = M.replace_or_append(
+        touched_rows(read_files(spark, target), batch), batch, [*PARTS, "product_id"], seq
+    )
     staged = Target("parquet", work_folder(spark, "staged"))
     write_files(merged, staged, "errorifexists")
     write_files(read_files(spark, staged), target, "overwrite", dynamic=True)
 
 
+def touched_rows(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored rows in the folders that the batch touches, rows without a day included.
+
+    The batch's first and last day are scalar subqueries, which prune the folders of
+    all other days before any file is listed for reading.
+    """
+    day = F.col("scrape_date")
+    first, last = batch.agg(F.min("scrape_date")).scalar(), batch.agg(F.max("scrape_date")).scalar()
+    near = stored.where(day.isNull() | day.between(first, last))
+    folders = batch.select(F.struct(*PARTS).alias("_folder")).distinct()
+    return near.join(folders, F.struct(*PARTS) == F.col("_folder"), "left_semi")
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from hylle import suite
 from hylle.operators import listing as L
 from hylle.operators import ranking as R
+from hylle.plans import crawl as C
+from hylle.sources import extract as E
 
 suite.load()
 
@@ -88,3 +90,29 @@ def test_no_page_cap_unless_given(spark):
     assert L.read_pages(df, "g").count() == 40
     assert L.read_pages(df, "g", 20).count() == 20
     assert L.read_pages(df.where("page_no <> 1"), "g").count() == 0
+
+
+def test_markup_crosses_no_exchange(spark, tmp_path):
+    """Each page is read where it is scanned; joins only see what was read off it."""
+    rows = [("https://shop.example/no/products/1-x/", "l", 1, '<h2>N</h2><p>kr 5</p><a href="/no/products/1-x/">x</a>')]
+    pages = spark.createDataFrame(rows, "url string, listing_url string, page_no int, html string").repartition(2)
+    pages.write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    for read in (
+        E.product_links(pages),
+        E.store1_products(pages),
+        E.subcategory_links(pages),
+        E.card_products(E.cards(pages, paged=True)),
+        E.with_pagination(pages),
+    ):
+        assert "Exchange" not in plan(read)
+    subs = spark.createDataFrame([("l",)], "listing_url string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        crawled = C.store1_listing_links(spark, pages, subs)
+        assert "html" not in plan(crawled)
+        records = E.store1_products(pages.select("url", "html")).join(crawled.select("url"), "url")
+        shuffled = [line for line in records._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+        assert shuffled and "html" not in records.columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -71,6 +71,26 @@ def test_replace_is_per_category_and_day(spark, kind):
     assert names(S.load(spark, target, category="n")) == [("a", "old")]
 
 
+def test_replace_reads_only_days_of_the_batch(spark):
+    target = files(spark, "parquet")
+    days = [dt.datetime(2024, 1, d, 8) for d in range(1, 9)]
+    S.save(spark, products(spark, *[(i, f"p{i}", "old", "m", d) for i, d in enumerate(days)]), target, replace_existing=False, seq="seq")
+    batch = S.with_parts(products(spark, (1, "p2", "new", "m", days[2])))
+    touched = S.touched_rows(S.read_files(spark, target), batch)
+    assert [r.product_id for r in touched.collect()] == ["p2"]
+    text = touched._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in text.splitlines() if "FileScan" in line)
+    filters = scan[scan.index("PartitionFilters:") :]
+    assert "scrape_date" in filters and "subquery" in filters.lower()
+
+
+def test_rows_without_day_are_replaced_too(spark):
+    target = files(spark, "parquet")
+    S.save(spark, products(spark, (1, "a", "old", "m", None), (2, "b", "old", "m", None)), target, replace_existing=True, seq="seq")
+    S.save(spark, products(spark, (1, "a", "new", "m", None), (2, "c", "new", "m", DAY1)), target, replace_existing=True, seq="seq")
+    assert names(S.load(spark, target)) == [("a", "new"), ("b", "old"), ("c", "new")]
+
+
 def test_upsert_twice_is_upsert_once(spark):
     target = table(spark, products(spark, (1, "a", "old", "m", DAY1), (2, "b", "old", "m", DAY1)))
     batch = products(spark, (1, "a", "x", "m", DAY2), (2, "a", "y", "m", DAY2), (3, "c", "z", None, DAY2))
