@@ -15,6 +15,8 @@ no rows give no sequences; the document id may be null.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,8 +27,12 @@ from pyspark.sql import functions as F
 
 from hylle.llm.common import partitions
 
-WORD_CACHE = 200_000
+WORD_CACHE = 300_000
 LONGEST_CACHED = 64
+TEXTS_AT_ONCE = 256
+MARKED = re.compile("([a-z0-9\u00df-\u00f6\u00f8-\u00ff])([.,;:!?])")
+# letters whose lower case depends on what stands around them
+CONTEXT = re.compile("[\u0130\u03a3]")
 
 
 class Encoder:
@@ -34,33 +40,53 @@ class Encoder:
 
     The vocabulary's pre-tokeniser never joins across blanks, so a text's ids are
     its words' ids in a row; only words not met lately go through the tokeniser.
+    It also parts a letter or digit from a mark that follows, so a blank is put
+    there. Words of letters alone are one pre-token each: those are encoded in one
+    call and told apart by the ids that end a word.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {"": b""}
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        words = text.replace("\n", " ").split(" ")
+    def words(self, text: str) -> list[str]:
+        # the tokeniser composes and lowers too; a text that it could compose
+        # otherwise once lowered is left as it is
+        if text.isascii() or (unicodedata.is_normalized("NFC", text) and not CONTEXT.search(text)):
+            text = text.lower()
+        return MARKED.sub(r"\1 \2", text).replace("\n", " ").split(" ")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit numbers."""
+        split = [self.words(t) for t in texts]
+        if len(self.cache) > WORD_CACHE:
+            self.cache = {"": b""}
         cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        if len(cache) > WORD_CACHE:
-            cache.clear()
-            cache[""] = b""
-        new = list({w for w in words if w not in cache})
-        long = {}
-        for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+        long: dict[str, bytes] = {}
+        self._add(set().union(*split).difference(cache), long)
+        if long:
+            return [b"".join([cache[w] if w in cache else long[w] for w in words]) for words in split]
+        return [b"".join([cache[w] for w in words]) for words in split]
+
+    def _add(self, words: set[str], long: dict[str, bytes]) -> None:
+        letters = [w for w in words if w.isalpha() and len(w) <= LONGEST_CACHED]
+        rest = [w for w in words if not w.isalpha() or len(w) > LONGEST_CACHED]
+        if letters:
+            ids = np.asarray(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(letters):
+                packed, stops = ids.tobytes(), (4 * stops).tolist()
+                self.cache.update(zip(letters, [packed[a:b] for a, b in zip([0, *stops], stops)]))
+            else:
+                rest += letters
+        for word, got in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
             ids = np.asarray(got.ids, "<u4").tobytes()
-            (cache if len(word) <= LONGEST_CACHED else long)[word] = ids
-        if not long:
-            return b"".join([cache[w] for w in words])
-        return b"".join([long[w] if w in long else cache[w] for w in words])
+            (self.cache if len(word) <= LONGEST_CACHED else long)[word] = ids
 
 
 def first_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,15 +139,18 @@ def pieces(
         encoder = Encoder(tokenizer_path)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                for start in range(0, n, size):
-                    part = ids[4 * start : 4 * (start + size)]
-                    for out, value in zip(rows, (doc, start, len(part) // 4, zlib.crc32(part), n)):
-                        out.append(value)
-            yield pa.record_batch([pa.array(x, pa.int64()) for x in rows], schema=schema)
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                rows: list[list[int | None]] = [[], [], [], [], []]
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
+                    ids += end
+                    n = len(ids) // 4
+                    for start in range(0, n, size):
+                        piece = ids[4 * start : 4 * (start + size)]
+                        for out, value in zip(rows, (doc, start, len(piece) // 4, zlib.crc32(piece), n)):
+                            out.append(value)
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in rows], schema=schema)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
