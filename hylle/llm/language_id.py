@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +35,19 @@ from pyspark.sql import functions as F
 from hylle.llm.common import KEY, row_key, staged
 
 ORDER = 4
-CHUNK = 2_000_000
+CHUNK = 400_000
+ROWS_AT_ONCE = 512
 SLOTS = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1)
+_SYMBOLS: list[np.ndarray] = []
+
+
 def symbols() -> np.ndarray:
     """Code point to symbol: a letter's lower case in 16 bits, 0 for anything else."""
+    if _SYMBOLS:
+        return _SYMBOLS[0]
     table = np.zeros(0x110000, np.uint16)
     for cp in range(0x110000):
         if 0xD800 <= cp < 0xE000:
@@ -54,21 +58,17 @@ def symbols() -> np.ndarray:
             cp_low = ord(low) if len(low) == 1 else cp
             # letters beyond 16 bits share the private-use codes, which are no letters
             table[cp] = cp_low if cp_low < 0x10000 else 0xE000 + cp_low % 0x1900
+    _SYMBOLS.append(table)
     return table
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Packed grams (latest symbol lowest) of the texts in a row, and the text of each.
 
-    A blank stands at either end of a text and its first grams reach back to blanks.
+    A text ends with a blank and its first grams reach back to blanks.
     """
-    codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "replace"), np.uint32)
-    place = np.zeros(len(codes), np.int64)
-    ends = np.cumsum([len(t) + 1 for t in texts])[:-1]
-    np.add.at(place, ends[ends < len(codes)], 1)
-    place = np.cumsum(place)
-    if len(ends) and ends[-1] >= len(codes):  # a last text of no characters
-        codes, place = np.append(codes, 10), np.append(place, len(texts) - 1)
+    codes = np.frombuffer("".join(t + "\n" for t in texts).encode("utf-32-le", "replace"), np.uint32)
+    place = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
     s = symbols()[codes].astype(np.uint64)
     first = np.ones(len(s), bool)
     first[1:] = place[1:] != place[:-1]
@@ -113,7 +113,7 @@ def gram_counts(training: DataFrame, lang_col: str = "lang", text_col: str = "te
     """Occurrences of each gram per language over all rows given."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             by: dict[str, list] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by.setdefault(lang, []).append(text)
@@ -161,6 +161,16 @@ def lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class KneserNey:
     """One language's model: for each order, sorted hashes with probabilities and weights."""
 
+    @classmethod
+    def of_arrays(cls, arrays: tuple) -> KneserNey:
+        """A model from its arrays, as they are broadcast."""
+        model = cls.__new__(cls)
+        model.tables, model.weights, model.floor = arrays
+        return model
+
+    def arrays(self) -> tuple:
+        return self.tables, self.weights, self.floor
+
     def __init__(self, grams_: np.ndarray, counts: np.ndarray) -> None:
         levels = [(grams_, counts.astype(np.float64))]
         for order in range(ORDER - 1, 0, -1):
@@ -258,12 +268,12 @@ def score(
 ) -> DataFrame:
     """Row key, id, ``lang_pred``, ``score``, ``bits`` per symbol and ``letters`` per row."""
     names = [*KEY, id_col]
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    shared = docs.sparkSession.sparkContext.broadcast({k: m.arrays() for k, m in models.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer({k: KneserNey.of_arrays(a) for k, a in shared.value.items()})
         langs = np.asarray([*scorer.langs, "und"], object)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             texts = batch.column(len(names)).to_pylist()
             if scorer.langs:
                 total, n, letters = scorer.total_bits(texts)

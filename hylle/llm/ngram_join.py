@@ -36,7 +36,7 @@ from hylle.llm.common import KEY, carried, fits, partitions, row_key, staged
 from hylle.llm.graph import connected_components
 
 TREES, DEPTH = 32, 8
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 # A block of a candidate group: documents and shingles; bounds what one task holds.
 BLOCK_DOCS, BLOCK_SHINGLES = 200, 500_000
 COLUMNS = 4096
