@@ -126,6 +126,38 @@ def base_spans(keyed: DataFrame) -> DataFrame:
     return located(keyed, PATTERNS).where(is_valid(F.col("kind"), F.col("match")))
 
 
+def located_terms(keyed: DataFrame, terms: DataFrame) -> DataFrame:
+    """Row key, kind, start and end of the words that are terms.
+
+    Every word takes part in the running sum, but what moves of it are three numbers:
+    its kind, if it is a term, is joined on first.
+    """
+    found = keyed.select(
+        *KEY, F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)).alias("_m"), F.split("_text", WORD, -1).alias("_g")
+    )
+    rows = found.select(
+        *KEY,
+        F.posexplode(
+            F.transform(
+                "_m", lambda m, i: F.struct(F.lower(m).alias("term"), F.length(m).alias("len"), F.length(F.get("_g", i)).alias("gap"))
+            )
+        ).alias("i", "one"),
+    )
+    rows = (
+        rows.select(*KEY, "i", "one.*")
+        .join(terms.select("term", "kind"), "term", "left")
+        .select(*KEY, "i", "len", (F.col("gap") + F.col("len")).alias("step"), "kind")
+        .repartition(*KEY)
+        .dropDuplicates([*KEY, "i"])
+    )
+    end = F.sum("step").over(Window.partitionBy(*KEY).orderBy("i"))
+    return (
+        rows.withColumn("end", end)
+        .where(F.col("kind").isNotNull())
+        .select(*KEY, "kind", (F.col("end") - F.col("len")).alias("start"), "end")
+    )
+
+
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
@@ -206,13 +238,7 @@ def term_spans(keyed: DataFrame, terms: DataFrame, spans: DataFrame) -> DataFram
         .distinct()
     )
     holding = staged(holding, "holding")
-    found = (
-        located(keyed.join(holding, list(KEY), "left_semi"), {"word": WORD})
-        .drop("kind")
-        .withColumn("term", F.lower("match"))
-        .join(terms.select("term", "kind"), "term")
-        .select(*KEY, "kind", "start", "end")
-    )
+    found = located_terms(keyed.join(holding, list(KEY), "left_semi"), terms)
     # sweep over each document: what base spans that start before a word's end reach to
     events = found.select(*KEY, (F.col("end") - 1).alias("_at"), F.lit(None).cast("long").alias("_to"), "kind", "start", "end").unionByName(
         spans.join(holding, list(KEY), "left_semi").select(
