@@ -35,13 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hylle.llm.common import KEY, carried, fits, partitions, row_key, staged
+from hylle.llm.common import KEY, carried, partitions, row_key, staged
 
 LENGTH, GRAM = 400, 32
 SEGMENT = 1 << 19  # bytes looked at together; positions must fit 20 bits
 SHARD_BYTES, SHARD_PIECES = 1 << 20, 1_000
 MERGE_WINDOWS = 1 << 20
-BROADCAST_PIECES, BROADCAST_DOCS = 100_000, 50_000
 PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -402,8 +401,7 @@ def bodies(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     by_doc = wanted.groupBy(*KEY).agg(
         F.collect_list(F.struct("first", "last", "anchor", "part", "parts", "lone")).alias("_wanted")
     )
-    few = fits(wanted, BROADCAST_PIECES)
-    by_doc = F.broadcast(by_doc) if few else by_doc.hint("shuffle_hash")
+    by_doc = by_doc.hint("shuffle_hash")
     cut_out = F.transform(
         "_wanted",
         lambda w: F.struct(
@@ -490,8 +488,6 @@ def without_spans(
     docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``row`` (the document's columns), ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the remaining bytes."""
-    spans = staged(spans, "spans")
-    few = fits(spans, BROADCAST_DOCS)
     raw = "cast(coalesce(_text, '') AS binary)"
     kept = F.expr(
         f"aggregate(spans, named_struct('at', 0L, 'out', cast('' AS binary)), (s, x) -> named_struct("
@@ -500,7 +496,7 @@ def without_spans(
     )
     return (
         carried(docs, id_col, text_col)
-        .join(F.broadcast(spans) if few else spans.hint("shuffle_hash"), list(KEY), "left")
+        .join(spans.hint("shuffle_hash"), list(KEY), "left")
         .select(
             "row",
             F.octet_length(F.coalesce("_text", F.lit(""))).cast("long").alias("n_bytes"),
