@@ -11,10 +11,12 @@ A text is rejected where its cross-entropy is above what nearly all training tex
 of that language and length class have (quantile ``q`` plus ``margin`` bits, over
 all training rows), and where it has no letter.
 
-The model is the only thing that reaches the driver: one row per distinct gram and
-language, bounded by ``max_grams``. Above that, grams below a count that is raised
-until the rest fits are left to the lower orders, as count cut-offs do in any such
-model; the counting itself always covers all rows.
+No gram is left out, however many there are. A pass over the texts holds the grams of
+a range of next-to-last symbols, ``max_grams`` of them or so: a gram, its contexts and
+all that it falls back to share that symbol. A symbol with more grams is cut further by
+the symbol before it. Most corpora take one pass; where more are needed, a text's bits
+are summed over them, so the result is that of one pass. Only the grams of a pass, the
+single letters and the discounts meet on the driver.
 
 Defined cases: null, empty and letterless texts are ``und`` with score 0 and are
 rejected; ties go to the language that sorts first; rows with a null language or id
@@ -26,13 +28,15 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hylle.llm.common import KEY, row_key, staged
+from hylle.llm.common import KEY, fits, row_key, staged
 
 ORDER = 4
 CHUNK = 400_000
@@ -145,6 +149,8 @@ def hashed(grams_: np.ndarray) -> np.ndarray:
 
 def run_sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys in order and the sums of the values for each."""
+    if not len(keys):
+        return (keys, *values)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -155,7 +161,30 @@ def lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Places of the keys in a sorted table and whether each is there."""
     at = np.searchsorted(table, keys)
     at[at == len(table)] = 0
-    return at, table[at] == keys
+    return at, table[at] == keys if len(table) else np.zeros(len(keys), bool)
+
+
+def pick(values: np.ndarray, at: np.ndarray, found: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The values at the places found, elsewhere the other ones."""
+    return np.where(found, values[at], other) if len(values) else other
+
+
+def discount_of(once: float, twice: float) -> float:
+    return min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+
+
+Level = tuple[np.ndarray, np.ndarray]
+
+
+def levels_of(grams_: np.ndarray, counts: np.ndarray, least: int = 1) -> list[Level]:
+    """Grams of each order from ``least`` up, with counts; a shorter gram counts the kinds it ends."""
+    levels = [(grams_, counts.astype(np.float64))]
+    for order in range(ORDER - 1, least - 1, -1):
+        mask = np.uint64((1 << (16 * order)) - 1)
+        higher = levels[-1][0]
+        levels.append(run_sums(higher & mask, np.ones(len(higher))))
+    levels.reverse()
+    return levels
 
 
 class KneserNey:
@@ -171,19 +200,16 @@ class KneserNey:
     def arrays(self) -> tuple:
         return self.tables, self.weights, self.floor
 
-    def __init__(self, grams_: np.ndarray, counts: np.ndarray) -> None:
-        levels = [(grams_, counts.astype(np.float64))]
-        for order in range(ORDER - 1, 0, -1):
-            mask = np.uint64((1 << (16 * order)) - 1)
-            higher = levels[-1][0]
-            levels.append(run_sums(higher & mask, np.ones(len(higher))))
-        levels.reverse()
+    def __init__(self, levels: list[Level], discounts: list[float] | None = None) -> None:
+        """``discounts`` per order are given where the levels are those of a pass only."""
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
         self.weights: list[tuple[np.ndarray, np.ndarray]] = []
         self.floor = 1.0 / (len(levels[0][0]) + 1)
         for order, (keys, n) in enumerate(levels, start=1):
-            once, twice = float((n == 1).sum()), float((n == 2).sum())
-            discount = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+            if discounts is None:
+                discount = discount_of(float((n == 1).sum()), float((n == 2).sum()))
+            else:
+                discount = discounts[order - 1]
             context = keys >> np.uint64(16)
             ctx, total, kinds = run_sums(context, n, np.ones(len(n)))
             weight = discount * kinds / total
@@ -202,17 +228,61 @@ class KneserNey:
             own = keys & np.uint64((1 << (16 * n)) - 1)
             (table, value), (contexts, weight) = self.tables[n - 1], self.weights[n - 1]
             c, known = lookup(contexts, hashed(own >> np.uint64(16)))
-            p = np.where(known, weight[c] * p, p)
+            p = p * pick(weight, c, known, np.ones(len(keys)))
             at, found = lookup(table, hashed(own))
-            p = np.where(found, value[at], p)
+            p = pick(value, at, found, p)
         return p
 
 
+class Pass(NamedTuple):
+    """Grams whose next-to-last symbol is in a range and, modulo ``of``, the one before it ``part``."""
+
+    low: int = 0
+    high: int = 0xFFFF
+    part: int = 0
+    of: int = 1
+
+    def rows(self, gram: str = "gram") -> Column:
+        last, before = symbol_of(gram, 1), symbol_of(gram, 2)
+        return last.between(self.low, self.high) & (before % self.of == self.part)
+
+    def places(self, grams_: np.ndarray) -> np.ndarray:
+        last = grams_ >> np.uint64(16) & np.uint64(0xFFFF)
+        before = grams_ >> np.uint64(32) & np.uint64(0xFFFF)
+        return (last >= self.low) & (last <= self.high) & (before % np.uint64(self.of) == self.part)
+
+
+def symbol_of(gram: str, back: int) -> Column:
+    """The gram's symbol so many places before the latest one."""
+    return F.shiftrightunsigned(gram, 16 * back).bitwiseAND(F.lit(0xFFFF))
+
+
+def passes(sizes: list[tuple[int, int]], max_grams: int) -> list[Pass]:
+    """Passes of about ``max_grams`` at most over (symbol, grams), which covers all symbols."""
+    out, low, held = [], 0, 0
+    for symbol, n in sorted(sizes):
+        if held and held + n > max_grams:
+            out.append(Pass(low, symbol - 1))
+            low, held = symbol, 0
+        if n > max_grams:
+            if low < symbol:
+                out.append(Pass(low, symbol - 1))
+            of = -(-n // max_grams)
+            out += [Pass(symbol, symbol, part, of) for part in range(of)]
+            low, held = symbol + 1, 0
+        else:
+            held += n
+    if low <= 0xFFFF:
+        out.append(Pass(low, 0xFFFF))
+    return out
+
+
 class Scorer:
     """All languages' models, with a direct-addressed memory of grams met lately."""
 
-    def __init__(self, models: dict[str, KneserNey]) -> None:
+    def __init__(self, models: dict[str, KneserNey], own: Pass = Pass()) -> None:
         self.langs = sorted(models)
+        self.own = own
         self.models = [models[x] for x in self.langs]
         self.keys = np.full(SLOTS, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.bits = np.zeros((SLOTS, len(self.langs)), np.float32)
@@ -223,8 +293,20 @@ class Scorer:
         n, letters = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         for rows, parts in slices(texts):
             found, place = grams(parts)
-            if not len(found):
+            starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+            row = np.asarray(rows)[place[starts]]
+            np.add.at(n, row, np.diff(np.append(starts, len(place))))
+            is_letter = (found & np.uint64(0xFFFF)) != 0
+            np.add.at(letters, row, np.add.reduceat(is_letter.astype(np.int64), starts))
+            if not self.models:
                 continue
+            if self.own != Pass():
+                own = self.own.places(found)
+                found, place = found[own], place[own]
+                if not len(found):
+                    continue
+                starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+                row = np.asarray(rows)[place[starts]]
             slot = (hashed(found) >> np.uint64(64 - 20)).astype(np.int64)
             miss = self.keys[slot] != found
             each = self.bits[slot]
@@ -235,71 +317,117 @@ class Scorer:
                 at = (hashed(new) >> np.uint64(64 - 20)).astype(np.int64)
                 self.keys[at], self.bits[at] = new, own
                 # of two new grams with one slot, numpy keeps the last of both arrays
-            starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-            row = np.asarray(rows)[place[starts]]
             np.add.at(bits, row, np.add.reduceat(each, starts, axis=0, dtype=np.float64))
-            np.add.at(n, row, np.diff(np.append(starts, len(place))))
-            is_letter = (found & np.uint64(0xFFFF)) != 0
-            np.add.at(letters, row, np.add.reduceat(is_letter.astype(np.int64), starts))
         return bits, n, letters
 
 
+def by_language(table: pa.Table) -> dict[str, Level]:
+    """Sorted grams and their counts of each language in (lang, gram, n)."""
+    out = {}
+    langs, keys, n = (table.column(c) for c in ("lang", "gram", "n"))
+    langs = langs.combine_chunks().dictionary_encode()
+    codes, keys, n = langs.indices.to_numpy(), keys.to_numpy().view(np.uint64), n.to_numpy()
+    for code, lang in enumerate(langs.dictionary.to_pylist()):
+        own = np.flatnonzero(codes == code)
+        own = own[np.argsort(keys[own])]
+        out[lang] = keys[own], n[own].astype(np.float64)
+    return out
+
+
 def fit(
     training: DataFrame, lang_col: str = "lang", text_col: str = "text", *, max_grams: int = 4_000_000
-) -> dict[str, KneserNey]:
-    """A model per language from all rows given."""
+) -> Iterator[tuple[Pass, dict[str, KneserNey]]]:
+    """Passes that hold about ``max_grams`` grams each and cover all, with a model per language."""
     counts = staged(gram_counts(training, lang_col, text_col), "gram-counts")
-    least = 1
-    while least < 1 << 40 and counts.where(F.col("n") >= least).limit(max_grams + 1).count() > max_grams:
-        least *= 2
-    table = counts.where(F.col("n") >= least).toArrow()
-    langs, keys, n = (table.column(c).to_numpy() for c in ("lang", "gram", "n"))
-    models = {}
-    for lang in sorted(set(langs.tolist())):
-        own = langs == lang
-        k = keys[own].view(np.uint64)
-        order = np.argsort(k)
-        models[lang] = KneserNey(k[order], n[own][order])
-    return models
-
-
-def score(
-    docs: DataFrame, models: dict[str, KneserNey], id_col: str = "doc_id", text_col: str = "text"
+    if fits(counts, max_grams):
+        yield Pass(), {k: KneserNey(levels_of(*v)) for k, v in by_language(counts.toArrow()).items()}
+        return
+
+    def shorter(higher: DataFrame, order: int) -> DataFrame:
+        gram = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1))
+        return higher.groupBy("lang", gram.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+
+    triples = staged(shorter(counts, 3), "gram-triples")
+    pairs = staged(shorter(triples, 2), "gram-pairs")
+    singles = staged(shorter(pairs, 1), "gram-singles")
+    discounts: dict[str, list[float]] = {}
+    for level in (singles, pairs, triples, counts):
+        few = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
+        for row in few.collect():  # one row per language
+            discounts.setdefault(row.lang, []).append(discount_of(row.once, row.twice))
+    first = by_language(singles.toArrow())  # 65,536 letters at most per language
+    sizes = counts.groupBy(symbol_of("gram", 1).alias("symbol")).count().collect()
+    nothing = np.zeros(0, np.uint64), np.zeros(0)
+    for own in passes([(r["symbol"], r["count"]) for r in sizes], max_grams):
+        second = by_language(pairs.where(symbol_of("gram", 1).between(own.low, own.high)).toArrow())
+        fourth = by_language(counts.where(own.rows()).toArrow())
+        models = {}
+        for lang, single in first.items():
+            upper = levels_of(*fourth.get(lang, nothing), least=3)
+            models[lang] = KneserNey([single, second.get(lang, nothing), *upper], discounts[lang])
+        yield own, models
+
+
+def pass_bits(
+    docs: DataFrame, own: Pass, models: dict[str, KneserNey], id_col: str, text_col: str
 ) -> DataFrame:
-    """Row key, id, ``lang_pred``, ``score``, ``bits`` per symbol and ``letters`` per row."""
+    """Row key, id, ``total`` (bits of the pass's grams under each language), ``n`` symbols and ``letters``."""
     names = [*KEY, id_col]
     shared = docs.sparkSession.sparkContext.broadcast({k: m.arrays() for k, m in models.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer({k: KneserNey.of_arrays(a) for k, a in shared.value.items()})
-        langs = np.asarray([*scorer.langs, "und"], object)
+        scorer = Scorer({k: KneserNey.of_arrays(a) for k, a in shared.value.items()}, own)
         for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
-            texts = batch.column(len(names)).to_pylist()
-            if scorer.langs:
-                total, n, letters = scorer.total_bits(texts)
-                best = total.argmin(axis=1)
-                least = total[np.arange(len(best)), best]
-                chance = 1 / np.exp2(np.maximum(least[:, None] - total, -1000)).sum(axis=1)
-                bits = least / np.maximum(n, 1)
-            else:
-                letters, best, chance, bits = (np.zeros(len(texts), t) for t in (int, int, float, float))
-            known = letters > 0
-            best = np.where(known, best, len(scorer.langs))
+            total, n, letters = scorer.total_bits(batch.column(len(names)).to_pylist())
+            ends = np.arange(len(total) + 1, dtype=np.int32) * len(scorer.langs)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i) for i in range(len(names))),
-                    pa.array(langs[best], pa.string()),
-                    pa.array(np.where(known, chance, 0.0)),
-                    pa.array(np.where(known, bits, 0.0)),
-                    pa.array(letters.astype(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(total.ravel())),
+                    pa.array(n),
+                    pa.array(letters),
                 ],
-                [*names, "lang_pred", "score", "bits", "letters"],
+                [*names, "total", "n", "letters"],
             )
 
     rows = docs.select(*(c.alias(k) for k, c in row_key(id_col, text_col).items()), id_col, text_col)
     kind = dict(rows.dtypes)[id_col]
-    return rows.mapInArrow(
-        run, f"_k1 long, _k2 long, `{id_col}` {kind}, lang_pred string, score double, bits double, letters long"
+    return rows.mapInArrow(run, f"_k1 long, _k2 long, `{id_col}` {kind}, total array<double>, n long, letters long")
+
+
+def score(
+    docs: DataFrame,
+    fitted: Iterator[tuple[Pass, dict[str, KneserNey]]],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Row key, id, ``lang_pred``, ``score``, ``bits`` per symbol and ``letters`` per row."""
+    parts: list[DataFrame] = []
+    langs: list[str] = []
+    for own, models in fitted:
+        langs = sorted(models)
+        found = pass_bits(docs, own, models, id_col, text_col)
+        parts.append(found if own == Pass() else staged(found, "pass-bits"))
+    found = parts[0]
+    if len(parts) > 1:
+        # rows of one key have the same bits, so any of them stands for all in each pass
+        numbered = [p.select(*KEY, "total", F.lit(i).alias("_pass")) for i, p in enumerate(parts)]
+        each = reduce(DataFrame.unionAll, numbered).groupBy(*KEY, "_pass").agg(F.any_value("total").alias("total"))
+        total = F.array(*(F.sum(F.get("total", F.lit(i))) for i in range(len(langs))))
+        found = found.drop("total").join(each.groupBy(*KEY).agg(total.alias("total")), list(KEY))
+    least = F.array_min("total")
+    chance = 1 / F.aggregate(
+        "total", F.lit(0.0), lambda a, bits: a + F.pow(F.lit(2.0), F.greatest(least - bits, F.lit(-1000.0)))
+    )
+    names = F.array(*map(F.lit, langs)).cast("array<string>")
+    known = (F.col("letters") > 0) & F.lit(bool(langs))
+    return found.select(
+        *KEY,
+        id_col,
+        F.when(known, F.get(names, (F.array_position("total", least) - 1).cast("int"))).otherwise("und").alias("lang_pred"),
+        F.when(known, chance).otherwise(0.0).alias("score"),
+        F.when(known, least / F.greatest("n", F.lit(1))).otherwise(0.0).alias("bits"),
+        "letters",
     )
 
 
@@ -324,12 +452,17 @@ def with_rejection(scored: DataFrame, *, q: float = 0.999, margin: float = 1.5)
 
 
 def identify(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    *,
+    max_grams: int = 4_000_000,
 ) -> DataFrame:
     """Learn from the rows not held out, score all, reject what is unlike any language."""
     held_out = is_held_out(id_col)
     training = docs.where(~held_out & F.col(id_col).isNotNull())
-    models = fit(training, lang_col, text_col)
-    scored = score(docs, models, id_col, text_col)
+    fitted = fit(training, lang_col, text_col, max_grams=max_grams)
+    scored = score(docs, fitted, id_col, text_col)
     scored = scored.withColumn("held_out", held_out).withColumn("training", ~F.col("held_out"))
     return with_rejection(staged(scored, "language-scores"))

@@ -175,3 +175,28 @@ def test_pipeline_against_plain_python(spark, sf_dir, docs):
         piece = np.asarray(ids[r.doc_id][r.start : r.start + r.length], "<u4")
         assert len(piece) == r.length and zlib.crc32(piece.tobytes()) == r.ids_crc32
     assert sum(r.length for r in packed) == sum(map(len, ids.values()))
+
+
+def test_no_gram_is_left_out(spark, docs):
+    base = [(r.doc_id, r.text[:300], r.lang) for r in docs.where("lang is not null and text is not null").limit(60).collect()]
+    # a small language beside a large one, each of its grams few times
+    small = [(10_000 + i, f"żółw gęślą jaźń {'ąćęłńóśźż'[i % 9]}", "xx") for i in range(6)]
+    frame = spark.createDataFrame(base + small, "doc_id long, text string, lang string")
+    frame = frame.unionAll(frame.where("doc_id = 10000"))
+    whole = {r.doc_id: r for r in language_id.identify(frame).collect()}
+    grams = language_id.gram_counts(frame).count()
+    assert len(list(language_id.fit(frame, max_grams=grams // 4))) > 4
+    rows = language_id.identify(frame, max_grams=grams // 4).collect()
+    assert len(rows) == frame.count()
+    for r in rows:
+        want = whole[r.doc_id]
+        assert (r.lang_pred, r.rejected) == (want.lang_pred, want.rejected)
+        assert abs(r.bits - want.bits) < 1e-6 and abs(r.score - want.score) < 1e-6
+    assert {r.lang_pred for r in rows if r.doc_id >= 10_000} == {"xx"}
+
+
+def test_passes_cover_all_symbols():
+    for sizes, most in (([], 5), ([(0, 50), (3, 1), (4, 1), (9, 12), (65535, 3)], 5), ([(7, 4), (8, 4)], 5)):
+        found = language_id.passes(sizes, most)
+        packed = (np.arange(65536, dtype=np.uint64) << np.uint64(16)) | (np.uint64(11) << np.uint64(32))
+        assert (sum(p.places(packed).astype(int) for p in found) == 1).all()
