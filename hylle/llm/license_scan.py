@@ -1,10 +1,12 @@
 """Licences by sentence recognition and ordered rules.
 
 A text is cut into sentences (a full stop, question or exclamation mark and blanks
-end one), a sentence into lines. Every run of up to ``WRAP`` lines of a sentence is
-normalised (lower case, only letters and digits, single blanks, one spelling of
-licence) and looked up among known licence sentences, so a sentence is found whether
-it is wrapped or stands beside other lines. What remains of a document is the
+end one), a sentence into lines, which are normalised (lower case, only letters and
+digits, single blanks, one spelling of licence); lines without any are left out. Every
+run of lines that is no longer than the longest known licence sentence and starts with
+the first word of one is looked up among them, so a sentence is found whether it is
+wrapped or stands beside other lines, at any width. From the first line on, the longest
+known sentence takes its lines, and the next one starts behind them. What remains of a document is the
 sequence of the identifiers found, in order of place. Rules are tried in order on
 that sequence; a rule takes the identifiers it matches, so a longer licence is not
 reported again as the shorter one it contains.
@@ -16,7 +18,7 @@ Only hits are shuffled, and they are few per document.
 Defined cases: null and empty texts and texts without a known sentence give no row;
 identifiers that no rule takes are counted as unmatched; a repeated sentence gives
 its identifier each time, its licence once; repeated rows give one result each;
-of runs at one place the longest known one counts.
+of runs at one place the longest known one counts, and none that starts inside it.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from hylle.llm.common import KEY, row_key, staged
 
+# Lines that the query's SQL joins at most; nothing here is bounded by it.
 WRAP = 12
 END = "\x01"
 
@@ -143,28 +146,44 @@ def normalised(text: Column) -> Column:
 
 
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Row key, sentence, first line and identifier of each known sentence."""
+    """Row key, sentence, first line (of those with words) and identifier of each known sentence."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(sorted(known_sentences().items()), "plain string, sentence_id string")
+    sentences = sorted(known_sentences().items())
+    known = spark.createDataFrame(sentences, "plain string, sentence_id string")
+    longest = max(len(plain) for plain, _ in sentences)
+    first_words = sorted({plain.split(" ")[0] for plain, _ in sentences})
     sentence = F.split(F.regexp_replace("_text", r"([.!?])\s+", "$1" + END), END)
-    # wrapped sentences first: all runs of lines that start at a line of the sentence
+    # n lines have 2 n - 1 characters at least, so no run of more lines can be known
     runs = F.expr(
-        "flatten(transform(lines, (l, i) -> transform(sequence(0, least(size(lines) - 1 - i, %d)),"
-        " n -> struct(i AS line, n AS more, array_join(slice(lines, i + 1, n + 1), ' ') AS run))))" % (WRAP - 1)
+        f"aggregate(slice(lines, line + 1, {longest // 2 + 1}),"
+        " named_struct('run', '', 'runs', cast(array() AS array<string>)),"
+        f" (s, l) -> if(s.run IS NULL OR length(s.run) + 1 + length(l) > {longest + 1},"
+        " named_struct('run', cast(NULL AS string), 'runs', s.runs),"
+        " named_struct('run', concat(s.run, ' ', l), 'runs', array_append(s.runs, substr(concat(s.run, ' ', l), 2)))),"
+        " s -> s.runs)"
+    )
+    # from the first line on, the longest takes its lines
+    taken = F.expr(
+        "aggregate(hits, named_struct('end', 0, 'kept', cast(array() AS array<struct<line:int,sentence_id:string>>)),"
+        " (s, h) -> if(h.line < s.end, s, named_struct('end', h.line - h.less + 1,"
+        " 'kept', array_append(s.kept, named_struct('line', h.line, 'sentence_id', h.sentence_id)))),"
+        " s -> s.kept)"
     )
     return (
         docs.select(*(c.alias(k) for k, c in row_key(id_col, text_col).items()), F.col(text_col).alias("_text"))
         .where(_any_keyword(F.lower("_text")))
         .select(*KEY, F.posexplode(sentence).alias("at", "one"))
         .where(_any_keyword(F.lower("one")))
-        .select(*KEY, "at", F.split("one", "\n").alias("lines"))
-        .select(*KEY, "at", F.inline(runs))
-        .where(_any_keyword(F.lower("run")))
-        .select(*KEY, "at", "line", "more", normalised(F.col("run")).alias("plain"))
+        .select(*KEY, "at", F.filter(F.transform(F.split("one", "\n"), normalised), lambda l: l != "").alias("lines"))
+        .select(*KEY, "at", "lines", F.posexplode("lines").alias("line", "start"))
+        .where(F.substring_index("start", " ", 1).isin(first_words))
+        .select(*KEY, "at", "line", F.posexplode(runs).alias("more", "plain"))
+        .where(_any_keyword(F.col("plain")))
         .join(F.broadcast(known), "plain")
-        .groupBy(*KEY, "at", "line")
-        .agg(F.max(F.struct("more", "sentence_id")).alias("_longest"))
-        .select(*KEY, "at", "line", F.col("_longest.sentence_id").alias("sentence_id"))
+        .distinct()  # repeated rows
+        .groupBy(*KEY, "at")
+        .agg(F.sort_array(F.collect_list(F.struct("line", (-F.col("more")).alias("less"), "sentence_id"))).alias("hits"))
+        .select(*KEY, "at", F.inline(taken))
     )
 
 

@@ -257,6 +257,50 @@ def test_licenses(spark, odd, empty):
     assert license_scan.with_licenses(odd).count() == 0 and license_scan.with_licenses(empty).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = """Copyright (c) 2020, Some One
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+
+
+def test_whole_license_texts_at_any_width(spark):
+    import textwrap
+
+    rows, want = [], {}
+    for name, text in (("MIT", MIT), ("BSD-3-Clause", BSD), ("Apache-2.0", APACHE)):
+        for width in (24, 40, 60, 72, 78, 80, 100, 10_000):
+            for mark in ("", "# "):
+                lines = [x for part in text.split("\n\n") for x in [*textwrap.wrap(part, width), ""]]
+                rows.append((len(rows), "\n".join(mark + x for x in lines), None))
+                want[len(rows) - 1] = name
+    docs = documents(spark, rows)
+    got = {r.doc_id: (r.licenses, r.n_unmatched) for r in license_scan.with_licenses(docs).collect()}
+    assert got == {i: (name, 0) for i, name in want.items()}
+
+
 def test_known_sentences_have_keywords():
     for sentence in license_scan.known_sentences():
         assert any(w in sentence for w in license_scan.KEYWORDS), sentence
