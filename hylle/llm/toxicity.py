@@ -2,8 +2,8 @@
 
 1. Lexicons come from the labelled training rows: the toxic and the clean documents
    that hold a word, or a word of some beginning, are counted over all of them, copies
-   once, and the strongest ``FEATURES`` (by how far they exceed the base rate) are kept;
-   of a beginning and a longer one with the same counts, the shorter. They are dealt
+   once, and all that exceed the base rate significantly are kept; of a beginning and a
+   longer one with the same counts, the shorter. They are dealt, strongest first,
    out to ``LEXICONS`` lexicon voters, which fire on one such word; further voters fire
    on several telling words and on their share of all words, and four pattern voters
    on shouting, masked words, digits inside words and runs of exclamation marks.
@@ -17,8 +17,8 @@
 4. A linear classifier over the features is trained on the model's posteriors for at
    most ``max_fit`` training rows and scores every document.
 
-There are 2^16 voting patterns at most, whatever the corpus; they, the features and
-the sample of ``max_fit`` feature rows are all that meets in one place.
+There are 2^16 voting patterns at most, whatever the corpus; they, the features (the
+words and beginnings that stand out, which grow as the vocabulary does) and the sample of ``max_fit`` feature rows are all that meets in one place.
 
 Defined cases: null and empty texts have no votes and get the classifier's constant;
 rows without id or label are not learned from but scored; several labels of one id
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from hylle.llm.common import fits, staged
 
-FEATURES, LEXICONS = 256, 8
+LEXICONS = 8
 SHORTEST, LONGEST = 3, 8
 BROADCAST_ROWS = 500_000
 REMEMBERED = 300_000
@@ -91,17 +91,16 @@ def word_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def lexicon(labelled: DataFrame, *, features: int = FEATURES, support: float = 0.003, share: float = 0.6) -> list[str]:
+def lexicon(labelled: DataFrame, *, share: float = 0.6) -> list[str]:
     """The features that stand out in toxic rows, strongest first.
 
-    A feature has five words' worth of toxic rows at least, and ``support`` of all.
+    A feature has five words' worth of toxic rows at least, copies once.
     """
     counts = staged(word_counts(labelled), "word-counts")
     total = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
     if not total.t or not total.c:
         return []
     base = total.t / (total.t + total.c)
-    rows = labelled.where("toxic = 1").count()
     sizes = F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST)))
     own = F.array(F.concat(F.col("word"), F.lit(" ")))
     begun = F.transform(sizes, lambda n: F.left("word", n))
@@ -115,19 +114,19 @@ def lexicon(labelled: DataFrame, *, features: int = FEATURES, support: float = 0
         )
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= max(5, support * rows)) & (F.col("toxic") >= share * n) & (strength >= 5))
-        .orderBy(strength.desc(), F.length("feature"), "feature")
-        .limit(4 * features)
-        .collect()
+        .where((F.col("toxic") >= 5) & (F.col("toxic") >= share * n) & (strength >= 5))
     )
-    kept: dict[tuple[int, int], list[str]] = {}
-    out = []
-    for row in found:
-        same = kept.setdefault((row.toxic, row.clean), [])
-        if not any(row.feature.startswith(x) for x in same):
-            same.append(row.feature)
-            out.append(row.feature)
-    return out[:features]
+    found = staged(found, "features")
+    # a beginning with the same counts passes as well, so it stands for the longer feature
+    shorter = F.sequence(F.lit(SHORTEST), F.least(F.length("feature") - 1, F.lit(LONGEST)))
+    nested = (
+        found.where(F.length("feature") > SHORTEST)
+        .select("feature", "toxic", "clean", F.explode(F.transform(shorter, lambda k: F.left("feature", k))).alias("begun"))
+        .join(found.select(F.col("feature").alias("begun"), "toxic", "clean"), ["begun", "toxic", "clean"])
+        .select("feature")
+    )
+    kept = found.join(nested, "feature", "left_anti").orderBy(strength.desc(), F.length("feature"), "feature")
+    return [row.feature for row in kept.select("feature", "toxic", "clean").collect()]
 
 
 def votes(docs: DataFrame, features: list[str], id_col: str, text_col: str) -> DataFrame:
@@ -261,14 +260,11 @@ class LabelModel:
 def classifier(sample: DataFrame, features: int) -> tuple[np.ndarray, float]:
     """Weights and constant of a logistic regression on (hits, rates, posterior)."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import Vectors, VectorUDT
 
-    dense = F.transform(
-        F.sequence(F.lit(1), F.lit(features)),
-        lambda i: F.coalesce(F.get("rates", F.array_position("hits", (i - 1).cast("int")).cast("int") - 1), F.lit(0.0)),
-    )
+    sparse = F.udf(lambda hits, rates: Vectors.sparse(features, hits, rates), VectorUDT())
     rows = sample.select(
-        array_to_vector(dense).alias("features"),
+        sparse("hits", "rates").alias("features"),
         F.explode(
             F.array(
                 F.struct(F.lit(1.0).alias("label"), F.col("posterior").alias("weight")),
@@ -343,7 +339,7 @@ def scores(
     unsaid = (1 - F.col("posterior")) * F.when(F.col("toxic") == 0, label_accuracy).otherwise(1 - label_accuracy)
     sample = sample.withColumn("posterior", said / (said + unsaid))
     weights, constant = classifier(sample, len(features) + 2)
-    given = F.array(*(F.lit(float(w)) for w in weights))
+    given = F.split(F.lit(",".join(repr(float(w)) for w in weights)), ",").cast("array<double>")
     parts = F.zip_with("hits", "rates", lambda i, r: r * F.get(given, i))
     linear = F.aggregate(parts, F.lit(constant), lambda a, b: a + b)
     return found.select(id_col, "held_out", (1 / (1 + F.exp(-linear))).alias("score"))
