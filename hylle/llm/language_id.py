@@ -9,7 +9,8 @@ A text gets the language with the least cross-entropy per symbol.
 
 A text is rejected where its cross-entropy is above what nearly all training texts
 of that language and length class have (quantile ``q`` plus ``margin`` bits, over
-all training rows), and where it has no letter.
+all training rows that are given and found to be of that language), and where it has
+no letter. Length classes with too few rows to tell the quantile are pooled.
 
 No gram is left out, however many there are. A pass over the texts holds the grams of
 a range of next-to-last symbols, ``max_grams`` of them or so: a gram, its contexts and
@@ -369,10 +370,10 @@ def fit(
 
 
 def pass_bits(
-    docs: DataFrame, own: Pass, models: dict[str, KneserNey], id_col: str, text_col: str
+    docs: DataFrame, own: Pass, models: dict[str, KneserNey], id_col: str, text_col: str, lang_col: str
 ) -> DataFrame:
-    """Row key, id, ``total`` (bits of the pass's grams under each language), ``n`` symbols and ``letters``."""
-    names = [*KEY, id_col]
+    """Row key, id, ``_given`` language, ``total`` (bits of the pass's grams under each language), ``n`` symbols and ``letters``."""
+    names = [*KEY, id_col, "_given"]
     shared = docs.sparkSession.sparkContext.broadcast({k: m.arrays() for k, m in models.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,9 +391,12 @@ def pass_bits(
                 [*names, "total", "n", "letters"],
             )
 
-    rows = docs.select(*(c.alias(k) for k, c in row_key(id_col, text_col).items()), id_col, text_col)
+    keys = (c.alias(k) for k, c in row_key(id_col, text_col).items())
+    rows = docs.select(*keys, id_col, F.col(lang_col).alias("_given"), text_col)
     kind = dict(rows.dtypes)[id_col]
-    return rows.mapInArrow(run, f"_k1 long, _k2 long, `{id_col}` {kind}, total array<double>, n long, letters long")
+    return rows.mapInArrow(
+        run, f"_k1 long, _k2 long, `{id_col}` {kind}, _given string, total array<double>, n long, letters long"
+    )
 
 
 def score(
@@ -400,13 +404,14 @@ def score(
     fitted: Iterator[tuple[Pass, dict[str, KneserNey]]],
     id_col: str = "doc_id",
     text_col: str = "text",
+    lang_col: str = "lang",
 ) -> DataFrame:
-    """Row key, id, ``lang_pred``, ``score``, ``bits`` per symbol and ``letters`` per row."""
+    """Row key, id, ``_given`` language, ``lang_pred``, ``score``, ``bits`` per symbol and ``letters`` per row."""
     parts: list[DataFrame] = []
     langs: list[str] = []
     for own, models in fitted:
         langs = sorted(models)
-        found = pass_bits(docs, own, models, id_col, text_col)
+        found = pass_bits(docs, own, models, id_col, text_col, lang_col)
         parts.append(found if own == Pass() else staged(found, "pass-bits"))
     found = parts[0]
     if len(parts) > 1:
@@ -424,6 +429,7 @@ def score(
     return found.select(
         *KEY,
         id_col,
+        "_given",
         F.when(known, F.get(names, (F.array_position("total", least) - 1).cast("int"))).otherwise("und").alias("lang_pred"),
         F.when(known, chance).otherwise(0.0).alias("score"),
         F.when(known, least / F.greatest("n", F.lit(1))).otherwise(0.0).alias("bits"),
@@ -431,23 +437,47 @@ def score(
     )
 
 
+def pools(sizes: list[tuple[str, int, int]], least: int) -> list[tuple[str, int, int]]:
+    """(lang, low, high): length classes pooled to ``least`` rows, all 64 of a language covered.
+
+    ``sizes`` has the rows of each (lang, class); what is left of the short ones joins the class above.
+    """
+    out = []
+    for lang in sorted({x[0] for x in sizes}):
+        own, high, held = [], 63, 0
+        for size, n in sorted(((s, n) for x, s, n in sizes if x == lang), reverse=True):
+            held += n
+            if held >= least:
+                own.append((size, high))
+                high, held = size - 1, 0
+        own = [*own[:-1], (0, own[-1][1])] if own else [(0, 63)]
+        out += [(lang, *x) for x in own]
+    return out
+
+
 def with_rejection(scored: DataFrame, *, q: float = 0.999, margin: float = 1.5) -> DataFrame:
     """Adds ``rejected``; ``scored`` has a boolean ``training``.
 
-    One threshold per language and length class (power of two of letters): a table
-    of languages times 64 at most, from all training rows.
+    One threshold per language and pool of length classes (power of two of letters): a
+    table of languages times 64 at most, from the rows marked.
     """
     size = F.floor(F.log2(F.greatest(F.col("letters"), F.lit(1)))).cast("int")
     scored = scored.withColumn("_size", size)
+    sure = scored.where("training and lang_pred <> 'und'")
+    sizes = [tuple(r) for r in sure.groupBy("lang_pred", "_size").count().collect()]
+    pooled = scored.sparkSession.createDataFrame(
+        pools(sizes, round(1 / (1 - q))), "_lang string, _low int, _high int"
+    )
+    own = (F.col("lang_pred") == F.col("_lang")) & F.col("_size").between(F.col("_low"), F.col("_high"))
     limits = (
-        scored.where("training and lang_pred <> 'und'")
-        .groupBy("lang_pred", "_size")
+        sure.join(F.broadcast(pooled), own)
+        .groupBy("_lang", "_low", "_high")
         .agg((F.percentile_approx("bits", q, 10000) + margin).alias("_limit"))
     )
     return (
-        scored.join(F.broadcast(limits), ["lang_pred", "_size"], "left")
+        scored.join(F.broadcast(limits), own, "left")
         .withColumn("rejected", (F.col("lang_pred") == "und") | F.coalesce(F.col("bits") > F.col("_limit"), F.lit(False)))
-        .drop("_size", "_limit")
+        .drop("_size", "_lang", "_low", "_high", "_limit")
     )
 
 
@@ -463,6 +493,7 @@ def identify(
     held_out = is_held_out(id_col)
     training = docs.where(~held_out & F.col(id_col).isNotNull())
     fitted = fit(training, lang_col, text_col, max_grams=max_grams)
-    scored = score(docs, fitted, id_col, text_col)
-    scored = scored.withColumn("held_out", held_out).withColumn("training", ~F.col("held_out"))
+    scored = score(docs, fitted, id_col, text_col, lang_col)
+    sure = ~held_out & F.col(id_col).isNotNull() & F.coalesce(F.col("_given") == F.col("lang_pred"), F.lit(False))
+    scored = scored.withColumn("held_out", held_out).withColumn("training", sure).drop("_given")
     return with_rejection(staged(scored, "language-scores"))

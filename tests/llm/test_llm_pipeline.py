@@ -200,3 +200,22 @@ def test_passes_cover_all_symbols():
         found = language_id.passes(sizes, most)
         packed = (np.arange(65536, dtype=np.uint64) << np.uint64(16)) | (np.uint64(11) << np.uint64(32))
         assert (sum(p.places(packed).astype(int) for p in found) == 1).all()
+
+
+@pytest.mark.parametrize("junk", [2, 60])
+def test_foreign_text_is_rejected_at_every_share(spark, docs, junk):
+    rng = np.random.default_rng(4)
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщыэюя"):
+        for _ in range(junk):
+            words = ("".join(rng.choice(list(letters), rng.integers(3, 9))) for _ in range(60))
+            rows.append((100_000 + len(rows), " ".join(words), None))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rejected = {r.doc_id for r in language_id.identify(frame).where("rejected").collect()}
+    assert {i for i, _, _ in rows if i >= 100_000} <= rejected
+    assert len([i for i in rejected if i < 100_000]) <= 0.02 * docs.count()
+
+
+def test_sparse_length_classes_are_pooled():
+    sizes = [("a", 9, 700), ("a", 8, 400), ("a", 7, 1000), ("a", 3, 5), ("b", 4, 2)]
+    assert language_id.pools(sizes, 1000) == [("a", 8, 63), ("a", 0, 7), ("b", 0, 63)]
