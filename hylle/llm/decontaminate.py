@@ -3,8 +3,7 @@
 Tokens are lower-case runs of letters and digits. A seed looks at a window of
 twelve tokens through a mask that ignores every third one; the three masks are the
 three shifts, so any one substitution in a window is ignored by one of them. All
-windows of the benchmark and every second window of the documents are hashed and
-joined. A hit fixes an alignment (document, item, shift); the alignment is then
+windows of the benchmark and of the documents are hashed and joined. A hit fixes an alignment (document, item, shift); the alignment is then
 scored over the item's whole length: +1 for an equal token, -1 for another, best
 run. Alignments with a score of at least ``min_score`` are overlaps.
 
@@ -27,7 +26,6 @@ from hylle.llm.common import KEY, fits, row_key, staged, without_keys
 
 SPAN = 12
 MASKS = tuple(tuple(t for t in range(SPAN) if t % 3 != skipped) for skipped in (2, 1, 0))
-STRIDE = 2
 BROADCAST_ROWS = 300_000
 
 
@@ -39,14 +37,14 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens(text), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: str, stride: int) -> Column:
+def seeds(hashes: str) -> Column:
     """(at, hash) for each mask and window of an array column of token hashes."""
     masked = ", ".join(
         f"xxhash64({m}, " + ", ".join(f"{hashes}[i + {t}]" for t in mask) + ")"
         for m, mask in enumerate(MASKS)
     )
     return F.expr(
-        f"transform(if(size({hashes}) < {SPAN}, array(), sequence(0, size({hashes}) - {SPAN}, {stride})),"
+        f"transform(if(size({hashes}) < {SPAN}, array(), sequence(0, size({hashes}) - {SPAN})),"
         f" i -> struct(i AS at, array({masked}) AS masked))"
     )
 
@@ -66,7 +64,7 @@ def overlaps(
         F.col(item_col).alias("_item"), token_hashes(F.col(item_text_col)).alias("_item_tokens")
     ).where(F.size("_item_tokens") >= SPAN)
     item_seeds = staged(
-        items.select("_item", F.inline(seeds("_item_tokens", 1)).alias("_item_at", "_masked")).select(
+        items.select("_item", F.inline(seeds("_item_tokens")).alias("_item_at", "_masked")).select(
             "_item", "_item_at", F.explode("_masked").alias("_seed")
         ),
         "item-seeds",
@@ -79,7 +77,7 @@ def overlaps(
     )
     hits = (
         keyed.select(*KEY, token_hashes(F.col("_text")).alias("_tokens"))
-        .select(*KEY, F.inline(seeds("_tokens", STRIDE)).alias("_at", "_masked"))
+        .select(*KEY, F.inline(seeds("_tokens")).alias("_at", "_masked"))
         .select(*KEY, "_at", F.explode("_masked").alias("_seed"))
         .join(F.broadcast(item_seeds) if few else item_seeds, "_seed")
         .select(*KEY, "_item", (F.col("_at") - F.col("_item_at")).alias("_shift"))

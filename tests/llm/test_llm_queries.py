@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from compare import assert_same
-from hylle.llm import queries
+from hylle.llm import decontaminate, queries
 from hylle.llm import substrings
 from test_llm_edges import base_spans, check_packing
 
@@ -108,3 +108,11 @@ def test_toxic_documents(spark):
     right = sum(r.predicted == toxic[r.doc_id] for r in held)
     assert right >= 0.93 * len(held)
     assert sum(r.predicted for r in held if toxic[r.doc_id] == 1) >= 0.5 * sum(toxic[r.doc_id] for r in held)
+
+
+def test_runs_of_twelve_tokens_at_any_offset(spark):
+    item = " ".join(f"tok{i}" for i in range(12))
+    rows = [(n, " ".join([f"w{i}" for i in range(n)] + [item, "and more"])) for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.overlaps(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted((r.doc_id, r._shift, r._score) for r in found.collect()) == [(n, n, 12) for n in range(6)]
