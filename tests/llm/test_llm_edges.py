@@ -237,6 +237,22 @@ def test_toxicity(spark, odd, empty):
     assert toxicity.scores(odd, labels).count() == odd.count()
 
 
+def test_all_telling_words_count(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    telling = [f"x{a}{b}zq" for a in letters for b in letters][:400]
+    # each word in ten of 400 toxic texts, beside many copies of one more toxic text
+    toxic = [" ".join(telling[(i + 40 * k) % 400] for k in range(10)) + f" text {i}" for i in range(400)]
+    rows = [(t, 1) for t in [*toxic, *["copied text of one kind"] * 5_000]] + [(f"one two three four five six seven eight nine ten eleven twelve plain text number {i}", 0) for i in range(1_600)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert sorted(found) == [w[:3] for w in telling]
+    known = [(i, t, x) for i, (t, x) in enumerate(rows) if t != "copied text of one kind"]
+    docs = documents(spark, [(i, t, None) for i, t, _ in known])
+    labels = spark.createDataFrame([(i, x) for i, _, x in known], "doc_id long, toxic int")
+    scored = toxicity.scores(docs, labels).collect()
+    assert all(r.score < 0.5 for r in scored if r.doc_id >= 400)
+    assert sum(r.score >= 0.5 for r in scored if r.doc_id < 400) >= 0.95 * 400
+
+
 def test_licenses(spark, odd, empty):
     mit = license_scan.SENTENCES
     wrapped = "# Copyright X\n" + mit["bsd-conditions"].replace(" are ", "\n# are ") + ":\n1. " + mit["bsd-source"] + ".\n2. " + mit["bsd-binary"] + ".\n"
