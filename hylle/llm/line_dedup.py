@@ -4,9 +4,9 @@ Line keys are hashed to 128 bits. How many documents hold a key, and where it
 stands first, is summed up ahead of the shuffle, so a line that a third of all
 documents share moves as one row per task. The places of the keys that pass are
 dealt by range of (hash, document, position) and sorted so; document and
-position in the range key let a hot hash spread over many ranges. Each range
-streams its places in order and a place is dropped unless it is the first one
-(``keep="first"``) or always (``keep="none"``). What comes back is, for each
+position in the range key let a hot hash spread over many ranges. The sort decides
+nothing: a place is dropped always (``keep="none"``) or unless it is the first one
+(``keep="first"``), which a minimum and a join find. What comes back is, for each
 document, the 64-line words of its bitmap that have a bit set.
 
 Defined cases: a null text is one empty line; a key of no code points is never
