@@ -238,8 +238,9 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
 def common_prefixes(symbols: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
     """Per suffix the symbols it shares with the one before it in order, up to ``most``.
 
-    Kasai: the next suffix of a text shares at least one less. The scan takes one
-    step in every piece at a time; a separator, unlike all others, ends each piece.
+    Kasai: the next suffix of a text shares at least one less, given that all suffixes
+    are fully sorted. The scan takes one step in every piece at a time; a separator,
+    unlike all others, ends each piece.
     """
     n = len(symbols)
     before = np.full(n, -1, np.int64)
@@ -272,7 +273,8 @@ def repeated_windows(shard: list[bytes], length: int) -> tuple[list[np.ndarray],
     for i, (a, p) in enumerate(zip(starts.tolist(), shard)):
         symbols[a : a + len(p)] = np.frombuffer(p, np.uint8)
         symbols[a + len(p)] = 256 + i
-    order = suffix_array(symbols, length)
+    # no tie is left beyond the longest piece; only in a full order may a prefix be carried on
+    order = suffix_array(symbols, int(sizes.max(initial=0)) + 1)
     shared = common_prefixes(symbols, order, starts, sizes, length)
     hit = np.flatnonzero(shared[order] >= length)
     flags = np.zeros(len(symbols), bool)

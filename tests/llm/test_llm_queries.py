@@ -79,6 +79,74 @@ def test_repeated_bytes(spark, sf_dir, texts, pieces, monkeypatch):
     assert any(w[1] for w in want.values())
 
 
+def hashed_spans(docs, length):
+    """As ``brute_spans``, with two rolling hashes per window in place of its bytes."""
+    data = np.frombuffer(b"".join(docs), np.uint8)
+    sizes = np.asarray([len(d) for d in docs])
+    starts = np.cumsum(sizes) - sizes
+    keys = []
+    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        one = np.zeros(len(data), np.uint64)
+        two = np.random.default_rng(base).integers(1, 2**63, 256, np.uint64)[data]
+        step, at = np.uint64(base), 0
+        # the hash of 2^k bytes is that of its halves, the first times base^(2^(k-1))
+        for k in range(length.bit_length()):
+            if length >> k & 1:
+                one = one * step + np.append(two[at:], np.zeros(at, np.uint64))
+                at += 1 << k
+            half = np.append(two[1 << k :], np.zeros(min(1 << k, len(two)), np.uint64))[: len(two)]
+            two, step = two * step + half, step * step
+        keys.append(one)
+    window = np.concatenate([np.arange(a, a + n - length + 1) for a, n in zip(starts, sizes) if n >= length])
+    order = window[np.lexsort((keys[1][window], keys[0][window]))]
+    same = (keys[0][order[1:]] == keys[0][order[:-1]]) & (keys[1][order[1:]] == keys[1][order[:-1]])
+    edge = np.zeros(len(data) + length + 1, np.int64)
+    hit = np.union1d(order[1:][same], order[:-1][same])
+    edge[hit] += 1
+    edge[hit + length] -= 1
+    covered = np.cumsum(edge)[: len(data)] > 0
+    out = []
+    for a, n in zip(starts.tolist(), sizes.tolist()):
+        own = covered[a : a + n]
+        spans = int((np.diff(np.append(0, own.astype(int))) == 1).sum())
+        out.append((n, int(own.sum()), spans, hashlib.sha256(data[a : a + n][~own].tobytes()).hexdigest()))
+    return out
+
+
+def test_hashed_spans():
+    rng = np.random.default_rng(2)
+    docs = [bytes(rng.integers(97, 99, n, np.uint8)) for n in rng.integers(0, 60, 80)]
+    for length in (7, 8, 13):
+        assert hashed_spans(docs, length) == brute_spans(docs, length)
+
+
+def test_repeated_bytes_of_larger_tables(spark):
+    sf_dir = os.environ.get("HYLLE_LARGE_DIR", "/root/testdata/sf0.1")
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    want = dict(zip(docs, hashed_spans(list(docs.values()), 400)))
+    rows = queries.QUERIES["op4_suffix_dedup"](spark, sf_dir).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
+
+
+def test_ties_beyond_the_window_length():
+    """Pairs that share 700 bytes must not lend their length to pieces that share nothing."""
+    rng = np.random.default_rng(8)
+    text = lambda n: bytes(rng.integers(97, 105, n, np.uint8))
+    long = [text(700) for _ in range(300)]
+    shard = [text(768) for _ in range(600)]
+    for s in long:
+        shard += [text(30) + s + text(38), text(12) + s + text(56)]
+    rng.shuffle(shard)
+    seen = {}
+    for i, p in enumerate(shard):
+        for at in range(len(p) - 399):
+            seen.setdefault(p[at : at + 400], []).append((i, at))
+    repeated, leads = substrings.repeated_windows(shard, 400)
+    for places in seen.values():
+        assert all(bool(repeated[i][at]) == (len(places) > 1) for i, at in places)
+        assert sum(bool(leads[i][at]) for i, at in places) == 1
+
+
 def test_personal_data(spark, sf_dir, texts):
     rows = queries.QUERIES["op6_pii_disclosure"](spark, sf_dir).collect()
     assert len(rows) == len(texts)
