@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hylle.llm import decontaminate, embedding_dedup, language_id, license_scan, line_dedup, ngram_join, packing, sanitise, substrings, toxicity
+from hylle.llm import (
+    decontaminate,
+    embedding_dedup,
+    fertility,
+    fill_in_middle,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    periodic_runs,
+    sanitise,
+    substrings,
+    toxicity,
+)
 from hylle.llm.common import KEY, read, row_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,3 +255,87 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+WITH d AS (
+ SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+ FROM documents),
+h AS (
+ SELECT doc_id, text, w, len(w) AS n, CAST('0x' || h[1:8] AS UBIGINT) AS h1, CAST('0x' || h[9:16] AS UBIGINT) AS h2,
+  CAST('0x' || h[17:24] AS UBIGINT) AS h3, CAST('0x' || h[25:32] AS UBIGINT) AS h4 FROM d),
+c AS (
+ SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+   THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+ SELECT *, array_to_string(w[1 : a], '') AS prefix, array_to_string(w[a + 1 : b], '') AS middle,
+  array_to_string(w[b + 1 :], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+ CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+ CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+ sha256(text) AS restored_sha256
+FROM p
+""",
+)
+def fill_in_middle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.rearranged(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    return found.select("row.doc_id", *(f"found.{c}" for c in names))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by a hash of its id, repeats a stretch of words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    planted = docs.withColumn("_w", F.when(h % 10 == 0, words)).withColumn("_n", F.size("_w").cast("long"))
+    planted = planted.withColumn("_g", F.floor(h / 10)).withColumn("_a", F.expr("if(_n > 0, _g % _n, 0)"))
+    planted = planted.withColumn("_p", F.expr("1 + (_n - _a) div (3 + _g % 8)"))
+    repeated = F.expr("array_join(transform(_w, (w, i) -> if(i < _a, w, _w[int(_a + (i - _a) % _p)])), ' ')")
+    return planted.withColumn("text", F.when(F.col("_n") > 0, repeated).otherwise(F.col("text"))).select(docs.columns)
+
+
+@query("op12_periodic_runs")
+def periodic_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.with_runs(docs).select("row.doc_id", "found.*")
+    longest = F.expr(
+        "aggregate(runs, cast(null AS struct<start:bigint,length:bigint,period:bigint>),"
+        " (best, r) -> if(best is null or r.length * best.period > best.length * r.period, r, best))"
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("_best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "_best.start",
+        "_best.length",
+        "_best.period",
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_token_fertility")
+def token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    paths = (tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_path("piece_bpe_32k.model"))
+    found = fertility.quality(docs, paths)
+    return found.select(
+        "row.doc_id",
+        *fertility.COUNTS,
+        "chars_per_token_byte",
+        "chars_per_token_piece",
+        "fallback_share",
+        "entropy",
+        "script",
+        "band_group",
+        "base_failed",
+        F.concat_ws(",", "outside").alias("outside"),
+        "kept",
+    )
