@@ -1,7 +1,8 @@
 """Quality by what a text costs in tokens of public vocabularies, beside plain word rules.
 
-Words are encoded once per task by a byte-level vocabulary and by one that falls back
-to bytes, each word with a blank before it. A text's measures are
+The different words of some megabytes of texts are encoded together, by a byte-level
+vocabulary and by one that falls back to bytes, each word with a blank before it. A
+text's measures are
 
 * characters per token, in either vocabulary,
 * the share of tokens that are bytes of characters the second vocabulary lacks, or
@@ -41,8 +42,6 @@ SYMBOLS = b"#*$%&|<>"
 REPEAT = 8  # words of a window
 FEWEST_WORDS, REPEAT_PERCENT = 20, 30
 LEAST, WIDTH = 100, 6.0
-WORD_CACHE, LONGEST_CACHED = 200_000, 64
-BLOCK = 1 << 20
 # per measure: bins in a unit, and the least spread
 MEASURES = {
     "chars_per_token_byte": (256, 0.03),
@@ -66,18 +65,35 @@ class Vocabulary:
     """Token ids of words, and which tokens are bytes."""
 
     def __init__(self, path: str) -> None:
-        if path.endswith(".model"):
-            pieces = importlib.import_module("sentencepiece").SentencePieceProcessor(model_file=path)
-            self.encode = lambda words: pieces.encode(words, num_threads=1)
-            self.bytes = np.asarray([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
-        else:
+        self.ranked = not path.endswith(".model")
+        if self.ranked:
             with open(path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             pattern = importlib.import_module("public_tokenizers").PATTERN
-            ranked = importlib.import_module("tiktoken").Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-            self.encode = lambda words: ranked.encode_ordinary_batch([" " + w for w in words], num_threads=1)
+            self.model = importlib.import_module("tiktoken").Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
             self.bytes = np.zeros(max(ranks.values()) + 1, bool)
             self.bytes[[r for token, r in ranks.items() if not _whole(token)]] = True
+            self.widths = np.zeros(len(self.bytes), np.int64)
+            self.widths[list(ranks.values())] = [len(token) for token in ranks]
+        else:
+            self.model = importlib.import_module("sentencepiece").SentencePieceProcessor(model_file=path)
+            self.bytes = np.asarray([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' tokens in a row, each word with a blank before it, and each word's number of them."""
+        if self.ranked and words:
+            # no token reaches over a blank, so that words can be encoded in one call
+            flat = np.asarray(self.model.encode_ordinary((b" " + b" ".join(words)).decode()), np.int64)
+            ends = np.cumsum(self.widths[flat])
+            stops = np.cumsum([len(w) + 1 for w in words])
+            places = np.searchsorted(ends, stops)
+            if places[-1] < len(ends) and np.array_equal(ends[places], stops):
+                return flat, np.diff(places + 1, prepend=0)
+            lists = [self.model.encode_ordinary(" " + w.decode()) for w in words]
+        else:
+            lists = self.model.encode([w.decode() for w in words], num_threads=1) if words else []
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
 
 def _whole(token: bytes) -> bool:
@@ -88,32 +104,6 @@ def _whole(token: bytes) -> bool:
     return True
 
 
-class Words:
-    """Tokens of words in both vocabularies, with a bounded cache."""
-
-    def __init__(self, paths: tuple[str, str]) -> None:
-        self.vocabularies = [Vocabulary(p) for p in paths]
-        self.cache: dict[bytes, tuple[bytes, ...]] = {}
-
-    def tokens(self, words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per vocabulary: all words' tokens in a row, and each word's number of them."""
-        if len(self.cache) > WORD_CACHE:
-            self.cache = {}
-        new = [w for w in words if w not in self.cache]
-        known = self.cache
-        if new:
-            plain = [w.decode() for w in new]
-            found = list(zip(*([np.asarray(t, "<u4").tobytes() for t in v.encode(plain)] for v in self.vocabularies)))
-            known = dict(zip(new, found)) if len(new) == len(words) else self.cache | dict(zip(new, found))
-            self.cache.update((w, t) for w, t in zip(new, found) if len(w) <= LONGEST_CACHED)
-        rows = [known[w] for w in words]
-        out = []
-        for k in range(len(self.vocabularies)):
-            flat = np.frombuffer(b"".join([r[k] for r in rows]), "<u4").astype(np.int64)
-            out.append((flat, np.asarray([len(r[k]) // 4 for r in rows], np.int64)))
-        return out
-
-
 def spread_out(flat: np.ndarray, sizes: np.ndarray, of: np.ndarray) -> np.ndarray:
     """The tokens of the words numbered ``of``, in a row."""
     own = sizes[of]
@@ -175,12 +165,12 @@ def script_of(text: bytes) -> str:
 
 
 def _measurer(paths: tuple[str, str]):
-    made: list[Words] = []
+    made: list[Vocabulary] = []
 
     def measure(texts: pa.Array) -> pa.Array:
         if not made:
-            made.append(Words(paths))
-        parts = [_measured(made[0], *block) for _, *block in blocks(texts, BLOCK)]
+            made.extend(map(Vocabulary, paths))
+        parts = [_measured(made, *block) for _, *block in blocks(texts)]
         columns = [np.concatenate(c) if parts else [] for c in zip(*parts)] if parts else [[]] * (len(COUNTS) + 2)
         return pa.StructArray.from_arrays([pa.array(c) for c in columns], [*COUNTS, "entropy", "script"]).cast(ARROW)
 
@@ -190,7 +180,7 @@ def _measurer(paths: tuple[str, str]):
 ARROW = pa.struct([*((c, pa.int64()) for c in COUNTS), ("entropy", pa.float64()), ("script", pa.string())])
 
 
-def _measured(encoder: Words, blob: bytes, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+def _measured(vocabularies: list[Vocabulary], blob: bytes, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     docs = len(starts)
     data = np.frombuffer(blob, np.uint8)
     per_doc = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[np.append(starts, ends[-1:])])
@@ -203,11 +193,11 @@ def _measured(encoder: Words, blob: bytes, starts: np.ndarray, ends: np.ndarray)
     sizes = np.asarray([len(s) for s in split], np.int64)
     ids = np.fromiter(itertools.chain.from_iterable(split), np.int64, int(sizes.sum()))
     doc = np.repeat(np.arange(docs), sizes)
-    (flat, own), (pieces, own_pieces) = encoder.tokens(list(numbers))
+    (flat, own), (pieces, own_pieces) = (v.encode(list(numbers)) for v in vocabularies)
     count = lambda weights: np.bincount(doc, weights=weights[ids], minlength=docs).astype(np.int64)
     total, total_pieces = count(own), count(own_pieces)
     per_word = lambda flags, n: np.diff(np.concatenate(([0], np.cumsum(flags)))[np.concatenate(([0], np.cumsum(n)))])
-    byte, piece = encoder.vocabularies
+    byte, piece = vocabularies
     fallback = count(per_word(byte.bytes[flat], own)) + count(per_word(piece.bytes[pieces], own_pieces))
     entropy = entropies(np.repeat(np.arange(docs), total), spread_out(flat, own, ids), docs)
     return [

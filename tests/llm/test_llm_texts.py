@@ -217,7 +217,7 @@ def vocabularies():
 def plain_measures(text, vocabularies):
     """Tokens of each word by itself, with a blank before it."""
     words = WORD.findall(text)
-    byte, piece = ([t for w in words for t in v.encode([w])[0]] for v in vocabularies)
+    byte, piece = ([t for w in words for t in v.encode([w.encode()])[0].tolist()] for v in vocabularies)
     fallback = sum(bool(v.bytes[t]) for v, own in zip(vocabularies, (byte, piece)) for t in own)
     entropy = -sum(n / len(byte) * math.log2(n / len(byte)) for n in Counter(byte).values())
     return len(byte), len(piece), fallback, entropy
