@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hylle import fixed_values as V
 from hylle.fixtures import as_sql, relation
 from hylle.functions import text as X
+from hylle.operators import dictionary as B
 from hylle.operators import filters as P
 from hylle.profiles import STORE1
 from hylle.suite import dictionary_sql as D
@@ -254,6 +255,49 @@ def dictionary_join(spark, sf):
     return hits.select("product_id", "h.priority", "h.keyword", "h.label")
 
 
+# Keywords of a large dictionary: all words of the conversations, and part names.
+# The order is that of their hashes.
+LARGE = """(SELECT md5(keyword) AS priority, keyword, left(md5(keyword), 4) AS label FROM (
+ SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS keyword FROM conversations
+ UNION SELECT lower(p_name) FROM part) AS k WHERE keyword <> '')"""
+
+
+def large_dictionary(spark, sf):
+    words = relation(spark, sf, "conversations").select(
+        F.explode(F.split(F.lower("text"), " ")).alias("keyword")
+    )
+    names = relation(spark, sf, "part").select(F.lower("p_name").alias("keyword"))
+    return words.unionByName(names).where("keyword <> ''").distinct().select(
+        F.md5("keyword").alias("priority"), "keyword", F.left(F.md5("keyword"), F.lit(4)).alias("label")
+    )
+
+
+def lower_documents(spark, sf):
+    return relation(spark, sf, "documents").select("doc_id", F.lower("text").alias("text"))
+
+
+@query(
+    "jn6_large_dictionary",
+    f"SELECT doc_id, keyword, label FROM documents JOIN {LARGE} AS d ON contains(lower(text), keyword)",
+)
+def large_dictionary_join(spark, sf):
+    hits = B.keyword_hits(
+        lower_documents(spark, sf), large_dictionary(spark, sf), key="doc_id", text="text"
+    )
+    return hits.select("doc_id", "keyword", "label")
+
+
+@query(
+    "wn5_first_of_large_dictionary",
+    "SELECT doc_id, priority, keyword, label FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY priority) AS rn "
+    f"FROM documents JOIN {LARGE} AS d ON contains(lower(text), keyword)) AS h WHERE rn = 1",
+)
+def first_of_large_dictionary(spark, sf):
+    return B.first_keyword(
+        lower_documents(spark, sf), large_dictionary(spark, sf), key="doc_id", text="text", priority="priority"
+    )
+
+
 @query(
     "wn5_first_keyword",
     "SELECT product_id, label FROM (SELECT product_id, label, row_number() OVER "
