@@ -181,15 +181,16 @@ def start_runs(
     )
 
 
-def end_runs(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """The run table after a batch of outcomes.
+def run_changes(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """(run_id, is_created, end, error): what a batch of outcomes changes, one row per run.
 
     Outcomes are (seq, run_id, status, num_products, error_message, end_time). Ids
     are matched against the table as it was before the batch; of several outcomes
     of one run the last counts, but an error message stays until another is given.
+    Of ``runs`` only the ids are read.
     """
     matched = outcomes.join(match_ended_runs(outcomes, runs), "run_id")
-    last = matched.groupBy("matched_run_id").agg(
+    return matched.groupBy(F.col("matched_run_id").alias("run_id")).agg(
         F.max("is_created").alias("is_created"),
         F.max_by(
             F.struct(
@@ -201,9 +202,11 @@ def end_runs(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
         ).alias("end"),
         F.max_by("error_message", F.when(has_text("error_message"), F.col("seq"))).alias("error"),
     )
-    updates = last.where(~F.col("is_created")).select(
-        F.col("matched_run_id").alias("run_id"), "end", "error"
-    )
+
+
+def with_changes(runs: DataFrame, changes: DataFrame) -> DataFrame:
+    """These run rows after the changes, with the runs that the changes create."""
+    updates = changes.where(~F.col("is_created")).select("run_id", "end", "error")
     updated = runs.join(updates, "run_id", "left")
     ended = F.col("end").isNotNull()
     columns = {
@@ -215,8 +218,8 @@ def end_runs(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
         "error_message": F.coalesce("error", "error_message"),
         "end_time": F.when(ended, F.col("end.end_time")).otherwise(F.col("end_time")),
     }
-    created = last.where("is_created").select(
-        F.col("matched_run_id").alias("run_id"),
+    created = changes.where("is_created").select(
+        "run_id",
         F.lit("unknown").alias("scraper_type"),
         F.lit("unknown").alias("category_url"),
         F.lit(False).alias("replace_existing"),
@@ -228,3 +231,8 @@ def end_runs(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
         F.col("error").alias("error_message"),
     )
     return run_rows(updated.withColumns(columns)).unionByName(run_rows(created))
+
+
+def end_runs(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The run table after a batch of outcomes."""
+    return with_changes(runs, run_changes(runs, outcomes))

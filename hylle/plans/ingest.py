@@ -18,9 +18,10 @@ from hylle.sources.categories import category_relation
 def record_end(
     spark: SparkSession, runs: S.Target, batch_of_outcomes: DataFrame
 ) -> None:
-    """Apply outcomes to the run table and publish its new state."""
-    ended = R.end_runs(spark.table(runs.location), batch_of_outcomes)
-    S.publish(spark, ended, runs.location, runs.folder)
+    """Apply outcomes to the run table: all ids are read, but only rows near changed ones written."""
+    changes = materialised(spark, R.run_changes(S.scan(spark, runs), batch_of_outcomes), "run-changes")
+    stored, buckets = S.near(spark, runs.location, changes, "run_id")
+    S.put(spark, R.with_changes(stored, changes), runs.location, runs.folder, buckets)
 
 
 def ingest(
@@ -63,7 +64,7 @@ def ingest(
     ).withColumn("name", F.coalesce("name", F.lit("unknown")))
     if runs is not None:
         if not spark.catalog.tableExists(runs.location):
-            S.publish(spark, S.empty_runs(spark), runs.location, runs.folder)
+            S.make_table(spark, S.empty_runs(spark), runs, "run_id")
         started = R.start_runs(
             categories, F.lit(run_id), profile.name, clock, max_products, replace_existing,
             request_delay, max_retries,

@@ -1,8 +1,9 @@
 """Product tables: files split by category and day, and catalogue tables.
 
 Files (``parquet`` or ``csv``) are appended to, or replaced per category and day.
-A catalogue table is replaced as a whole: the new state goes to its own folder and
-the table's location is switched, so readers never see a half-written state.
+Product and run tables are laid out by a hash of their key (see ``keyed``): a batch reads
+and writes only the buckets of its keys. A catalogue table without a key is replaced as a
+whole: the new state goes to its own folder and the table's location is switched.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from hylle.operators import filters as P
 from hylle.operators import merge as M
 from hylle.schema import PRODUCT_COLUMNS, PRODUCT_SCHEMA, RUN_SCHEMA, STORED_PRODUCT_SCHEMA
 from hylle.session import materialised, work_folder
+from hylle.sources import keyed
 from hylle.sources.codec import from_stored, to_stored
 
 PARTS = ["category_part", "scrape_date"]
@@ -37,12 +39,14 @@ CSV_OPTIONS = {
 class Target:
     """Where products live: kind ``parquet``, ``csv`` (a folder) or ``table`` (a name).
 
-    ``folder`` is where a table keeps its versions.
+    ``folder`` is where a table keeps its versions, ``buckets`` how many parts a new
+    one is laid out in: more for larger tables, so that a batch touches few of them.
     """
 
     kind: str
     location: str
     folder: str | None = None
+    buckets: int = 16
 
 
 def with_parts(products: DataFrame) -> DataFrame:
@@ -116,19 +120,63 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def publish(spark: SparkSession, rows: DataFrame, table: str, folder: str) -> None:
-    """Write the new state of a table to its own folder, then point the table at it."""
-    path = f"{folder.rstrip('/')}/{table}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
+def publish(
+    spark: SparkSession, rows: DataFrame, table: str, folder: str, key: str | None = None, buckets: int = Target.buckets
+) -> None:
+    """Write the new state of a table to its own folder, then point the table at it.
+
+    ``key`` lays a new table out by that column; an existing one keeps its layout.
+    """
+    layout = keyed.layout_of(spark, table)
+    if layout is not None:
+        keyed.replace(spark, rows, table, folder, layout, list(range(layout.buckets)))
+    elif key is not None and not spark.catalog.tableExists(table):
+        keyed.create(spark, rows, table, folder, keyed.Layout(key, buckets))
     else:
-        spark.catalog.createTable(table, path, "parquet")
+        path = f"{folder.rstrip('/')}/{table}-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.catalog.createTable(table, path, "parquet")
 
 
 def append_table(spark: SparkSession, rows: DataFrame, table: str) -> None:
-    rows.select(*spark.table(table).columns).write.insertInto(table)
+    layout = keyed.layout_of(spark, table)
+    if layout is not None:
+        keyed.append(spark, rows, table, layout)
+    else:
+        rows.select(*spark.table(table).columns).write.insertInto(table)
+
+
+def near(spark: SparkSession, table: str, keys: DataFrame, key: str) -> tuple[DataFrame, list[int] | None]:
+    """The stored rows among which rows with these keys can be, and their buckets (None: the whole table)."""
+    layout = keyed.layout_of(spark, table)
+    buckets = keyed.touched(keys, layout) if layout is not None and layout.key == key else None
+    return keyed.rows_of(spark, table, buckets), buckets
+
+
+def put(spark: SparkSession, rows: DataFrame, table: str, folder: str, buckets: list[int] | None) -> None:
+    """Store what became of the rows that ``near`` gave."""
+    if buckets is None:
+        publish(spark, rows, table, folder)
+    else:
+        keyed.replace(spark, rows, table, folder, keyed.layout_of(spark, table), buckets)
+
+
+def stored_ids(spark: SparkSession, target: Target, batch: DataFrame) -> DataFrame:
+    """The batch's product ids that a table holds already, looked up in their buckets alone."""
+    stored, _ = near(spark, target.location, batch, "product_id")
+    return M.keys_present(stored, batch, ["product_id"])
+
+
+def find(spark: SparkSession, target: Target, product_id: str) -> DataFrame:
+    """One product's first row; of a table laid out by key, one bucket is read."""
+    layout = keyed.layout_of(spark, target.location) if target.kind == "table" else None
+    if layout is None or layout.key != "product_id":
+        return P.by_id(scan(spark, target), product_id)
+    return P.by_id(keyed.with_key(spark, target.location, layout, product_id), product_id)
 
 
 def save(
@@ -151,16 +199,20 @@ def save(
     else:
         batch = products.select(*PRODUCT_COLUMNS, seq)
         if not spark.catalog.tableExists(target.location):
-            publish(spark, empty(spark, PRODUCT_SCHEMA), target.location, target.folder)
-        stored = spark.table(target.location)
+            make_table(spark, empty(spark, PRODUCT_SCHEMA), target, "product_id")
+        stored, buckets = near(spark, target.location, batch, "product_id")
         if replace_existing:
             merged = M.upsert(stored, batch, ["product_id"], seq)
-            publish(spark, merged, target.location, target.folder)
+            put(spark, merged, target.location, target.folder, buckets)
         else:
             fresh = M.insert_absent(stored, batch, ["product_id"], seq).drop(seq)
             append_table(spark, fresh, target.location)
 
 
+def make_table(spark: SparkSession, rows: DataFrame, target: Target, key: str) -> None:
+    publish(spark, rows, target.location, target.folder, key, target.buckets)
+
+
 def has_files(spark: SparkSession, target: Target) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(target.location)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
@@ -168,7 +220,7 @@ def has_files(spark: SparkSession, target: Target) -> bool:
 
 def scan(spark: SparkSession, target: Target) -> DataFrame:
     if target.kind == "table":
-        return spark.table(target.location)
+        return keyed.rows_of(spark, target.location)
     if target.kind in ("parquet", "csv"):
         return read_files(spark, target)
     raise ValueError(f"unknown storage kind: {target.kind}")
@@ -194,7 +246,7 @@ def load(
 def clear(spark: SparkSession, target: Target) -> None:
     """Leave the target readable and without rows."""
     if target.kind == "table":
-        publish(spark, empty(spark, spark.table(target.location).schema), target.location, target.folder)
+        publish(spark, empty(spark, scan(spark, target).schema), target.location, target.folder)
     else:
         rows = empty(spark, T.StructType([*PRODUCT_SCHEMA.fields, *PART_FIELDS]))
         write_files(rows, target, "overwrite")
@@ -212,7 +264,7 @@ def clear_tables(
 
     def clear_listed_runs():
         ids = spark.read.schema("run_id string").parquet(listed.location)
-        left = spark.table(runs.location).join(ids, "run_id", "left_anti")
+        left = scan(spark, runs).join(ids, "run_id", "left_anti")
         publish(spark, left, runs.location, runs.folder)
 
     steps = {

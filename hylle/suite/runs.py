@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hylle.fixtures import as_sql, relation
 from hylle.operators import runs as R
+from hylle.plans.ingest import record_end
 from hylle.sources import codec
 from hylle.sources import tables as S
 from hylle.suite import query
@@ -34,7 +35,7 @@ ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S')"
 @query("sc4_scan_runs", f"SELECT run_id, {ISO.format('start_time')} AS start_time FROM {RUNS} AS r")
 def scan_runs(spark, sf):
     target = table_target(spark, "runs")
-    S.publish(spark, runs(spark, sf), target.location, target.folder)
+    S.make_table(spark, runs(spark, sf), target, "run_id")
     return S.scan(spark, target).select("run_id", utc("start_time").alias("start_time"))
 
 
@@ -171,7 +172,7 @@ def start_runs(spark, sf):
         max_products=5, replace_existing=True, request_delay=0.2,
     )
     target = table_target(spark, "runs")
-    S.publish(spark, S.empty_runs(spark), target.location, target.folder)
+    S.make_table(spark, S.empty_runs(spark), target, "run_id")
     S.append_table(spark, started, target.location)
     return S.scan(spark, target).select(
         "run_id", "scraper_type", "category_url", "max_products", "replace_existing",
@@ -184,20 +185,35 @@ OUTCOMES = f"""(SELECT e.matched_run_id, bool_or(e.is_created) AS is_created, ma
  FROM {REQUESTS} AS q JOIN {ENDED} AS e ON e.run_id = q.run_id GROUP BY e.matched_run_id)"""
 
 
-@query(
-    "sk7_end_runs",
+ENDED_RUNS = (
     f"""SELECT r.run_id, r.scraper_type, coalesce(o.status, r.status) AS status, CAST(o.num_products AS BIGINT) AS num_products, o.error_message,
  CASE WHEN o.status IS NOT NULL THEN '2024-03-02T10:00:00' END AS end_time,
  CASE WHEN o.status IS NOT NULL THEN CAST(trunc(epoch(TIMESTAMP '2024-03-02 10:00:00' - r.start_time)) AS BIGINT) END AS duration_seconds
  FROM {RUNS} AS r LEFT JOIN {OUTCOMES} AS o ON o.matched_run_id = r.run_id AND NOT o.is_created
- UNION ALL SELECT matched_run_id, 'unknown', status, CAST(num_products AS BIGINT), error_message, '2024-03-02T10:00:00', 0 FROM {OUTCOMES} AS o WHERE is_created""",
+ UNION ALL SELECT matched_run_id, 'unknown', status, CAST(num_products AS BIGINT), error_message, '2024-03-02T10:00:00', 0 FROM {OUTCOMES} AS o WHERE is_created"""
 )
-def end_runs(spark, sf):
-    outcomes = requests(spark, sf).withColumn(
-        "end_time", F.lit("2024-03-02T10:00:00Z").cast("timestamp")
-    )
-    ended = R.end_runs(runs(spark, sf), outcomes)
+
+
+def outcomes(spark, sf):
+    return requests(spark, sf).withColumn("end_time", F.lit("2024-03-02T10:00:00Z").cast("timestamp"))
+
+
+def shown_ends(ended):
     return ended.select(
         "run_id", "scraper_type", "status", "num_products", "error_message",
         utc("end_time").alias("end_time"), "duration_seconds",
     )
+
+
+@query("sk7_end_runs", ENDED_RUNS)
+def end_runs(spark, sf):
+    return shown_ends(R.end_runs(runs(spark, sf), outcomes(spark, sf)))
+
+
+@query("sk7_record_ends", ENDED_RUNS)
+def record_ends(spark, sf):
+    """The same on a stored run table, of which only the buckets of ended runs are rewritten."""
+    target = table_target(spark, "runs")
+    S.make_table(spark, runs(spark, sf), target, "run_id")
+    record_end(spark, target, outcomes(spark, sf))
+    return shown_ends(S.scan(spark, target))

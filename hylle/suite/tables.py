@@ -91,7 +91,7 @@ def stored_files(spark, sf, kind="parquet"):
 
 def stored_table(spark, sf, name="products"):
     target = table_target(spark)
-    S.publish(spark, rows(spark, sf, name).drop("seq"), target.location, target.folder)
+    S.make_table(spark, rows(spark, sf, name).drop("seq"), target, "product_id")
     return target
 
 
@@ -219,7 +219,7 @@ PRICE_ROWS = f"(SELECT product_id, price, scraped_at FROM {STORED} AS s WHERE pr
 )
 def clear_tables(spark, sf):
     products, prices, runs = stored_table(spark, sf), table_target(spark, "prices"), table_target(spark, "runs")
-    S.publish(spark, relation(spark, sf, "runs"), runs.location, runs.folder)
+    S.make_table(spark, relation(spark, sf, "runs"), runs, "run_id")
     priced = rows(spark, sf).where("price IS NOT NULL").select("product_id", "price", "scraped_at")
     S.publish(spark, priced, prices.location, prices.folder)
     tables = {"product_prices": prices, "products": products, "scraping_runs": runs}
@@ -242,7 +242,7 @@ def clear_tables(spark, sf):
 def clear_without_prices(spark, sf):
     """A missing child table does not keep the others from being cleared."""
     products, runs = stored_table(spark, sf), table_target(spark, "runs")
-    S.publish(spark, relation(spark, sf, "runs"), runs.location, runs.folder)
+    S.make_table(spark, relation(spark, sf, "runs"), runs, "run_id")
     before = counted(spark, spark.table(products.location), "n_before")
     done = S.clear_tables(spark, table_target(spark, "prices"), products, runs)
     cleared = [name for name, ok in done.items() if ok]
@@ -310,6 +310,21 @@ def point_lookup(spark, sf):
     return shown(P.by_id(S.read_files(spark, target), "p78", "scrape_date", "scraped_at", F.col("name").desc()))
 
 
+@query("pj2_point_lookup_table", f"SELECT {COLS} FROM {STORED} AS s WHERE product_id = 'p78'")
+def point_lookup_in_table(spark, sf):
+    """One bucket of the table is read, and of its files the pages that can hold the id."""
+    return shown(S.find(spark, stored_table(spark, sf), "p78"))
+
+
+@query(
+    "jn2_stored_ids",
+    f"SELECT DISTINCT product_id FROM {BATCH} AS b WHERE product_id IN (SELECT product_id FROM {STORED} AS s) AND seq % 97 = 0",
+)
+def stored_ids(spark, sf):
+    few = rows(spark, sf, "batch").where("seq % 97 = 0")
+    return S.stored_ids(spark, stored_table(spark, sf), few)
+
+
 @query(
     "pl7_filtered_read",
     f"SELECT {COLS} FROM {STORED} AS s WHERE category = 'promo' "
