@@ -1,9 +1,10 @@
 """From page snapshots to products (PL4, PL5).
 
 The snapshots take the place of fetching: which pages would be read, and in which
-order, follows from the links on them. Each page is parsed once, where it is
-scanned, and only the narrow rows that this gives are shuffled and joined: markup
-never crosses an exchange.
+order, follows from the links on them. A page that nothing links to is not parsed: the
+wanted URLs make a bit array that is probed where pages are scanned. The others are
+parsed once, there, and only the narrow rows that this gives are shuffled and joined:
+markup never crosses an exchange.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from hylle.functions import urls as U
 from hylle.operators import listing as L
 from hylle.operators.filters import without_skipped
+from hylle.operators.membership import may_be_among
 from hylle.profiles import STORE1, STORE2, StoreProfile
 from hylle.session import materialised
 from hylle.sources import extract as E
@@ -53,9 +55,8 @@ def store1_listing_links(
     max_products: int | None = None,
 ) -> DataFrame:
     """(listing_url, page_no, pos, url): product URLs that reading the listings gives."""
-    pages = listing_pages.where(F.col("page_no") <= profile.page_cap).select(
-        "listing_url", "page_no", "html"
-    )
+    pages = may_be_among(listing_pages, "listing_url", wanted, "listing_url")
+    pages = pages.where(F.col("page_no") <= profile.page_cap).select("listing_url", "page_no", "html")
     found = E.product_links(pages, profile).withColumnRenamed("link", "url")
     parsed = materialised(spark, found, "listing-links")
     asked = parsed.join(wanted.select("listing_url").distinct(), "listing_url", "left_semi")
@@ -78,14 +79,16 @@ def crawl_store1(
     product listed twice gives two rows with one id; link_pos, page_no and pos are
     its place in reading order.
     """
-    subs = subcategories(category_pages, profile)
+    subs = materialised(spark, subcategories(category_pages, profile), "subcategories")
     links = store1_listing_links(spark, listing_pages, subs, profile, max_products)
-    records = E.store1_products(product_pages.select("url", "html"), profile)
     placed = links.join(
         subs.select("listing_url", "category_url", F.col("name").alias("subcategory"),
                     F.col("pos").alias("link_pos")),
         "listing_url",
     )
+    placed = materialised(spark, placed, "product-links")
+    linked = may_be_among(product_pages.select("url", "html"), "url", placed, "url")
+    records = E.store1_products(linked, profile)
     return placed.join(records, "url").withColumn("category", U.category_slug("category_url"))
 
 
@@ -94,12 +97,17 @@ def crawl_store2(
     listing_pages: DataFrame,
     profile: StoreProfile = STORE2,
     max_products: int | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Products of every listing, from listing_pages(listing_url, page_no, html).
 
     Reading stops at the page cap, before a page without cards and after a last
-    page; the cap counts extracted products.
+    page; the cap counts extracted products. ``wanted`` (listing_url) keeps other
+    listings from being parsed; the few that may slip through are for the caller's
+    join to drop.
     """
+    if wanted is not None:
+        listing_pages = may_be_among(listing_pages, "listing_url", wanted, "listing_url")
     pages = listing_pages.where(F.col("page_no") <= profile.page_cap).select(
         "listing_url", "page_no", "html"
     )
@@ -140,7 +148,8 @@ def store1_source(
 
     def crawl(categories: DataFrame, max_products: int | None) -> DataFrame:
         named = categories.select(F.col("name").alias("category_name"), F.col("url").alias("category_url"))
-        found = crawl_store1(spark, category_pages, listing_pages, product_pages, profile, max_products)
+        asked = may_be_among(category_pages, "url", named, "category_url")
+        found = crawl_store1(spark, asked, listing_pages, product_pages, profile, max_products)
         order = F.struct("category_name", "link_pos", "page_no", "pos", "listing_url")
         return found.join(named, "category_url").withColumn("seq", order)
 
@@ -154,7 +163,7 @@ def store2_source(
 
     def crawl(categories: DataFrame, max_products: int | None) -> DataFrame:
         named = categories.select(F.col("name").alias("category_name"), F.col("url").alias("listing_url"))
-        found = crawl_store2(spark, listing_pages, profile, max_products)
+        found = crawl_store2(spark, listing_pages, profile, max_products, named)
         return found.join(named, "listing_url").withColumn("seq", F.struct("category_name", "page_no", "pos"))
 
     return crawl
