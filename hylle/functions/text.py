@@ -25,6 +25,14 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, rule) -> Column:
+    """``rule`` of a value that it names many times, the value being worked out once.
+
+    Catalyst writes an expression out wherever it is named; a lambda's argument is not.
+    """
+    return F.get(F.transform(F.array(value), rule), F.lit(0))
+
+
 def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit(""))
 

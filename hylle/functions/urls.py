@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hylle import fixed_values as V
-from hylle.functions.text import col, filled, group_of, has_text, strip
+from hylle.functions import entities
+from hylle.functions.text import bound, col, filled, group_of, has_text, strip
 from hylle.profiles import StoreProfile
 
 HTTP = "^https?://"
@@ -37,21 +39,68 @@ def with_base(url: Column | str, base_url: str) -> Column:
     return F.when(has_text(u) & ~u.rlike(HTTP), F.concat(F.lit(base_url), u)).otherwise(u)
 
 
+# A path with a step "." or "..", or with an empty step.
+HAS_STEPS = r"(^|/)\.\.?(/|;|$)|//"
+
+
+def without_steps(segments: Column) -> Column:
+    """The path of these segments with "." and ".." taken, by a fold that keeps a stack."""
+    taken = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda stack, step: F.when(step == "..", F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0))))
+        .when(step == ".", stack)
+        .otherwise(F.concat(stack, F.array(step))),
+    )
+    last = F.element_at(segments, -1)
+    path = F.array_join(F.when(last.isin(".", ".."), F.concat(taken, F.array(F.lit("")))).otherwise(taken), "/")
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+
+
 def resolve(url: Column | str, base_url: str) -> Column:
-    """A link as seen from the base page: absolute, host-, root- or folder-relative."""
-    u = col(url)
+    """A link as seen from the base page: absolute, host-, root- or folder-relative.
+
+    Steps "." and ".." in relative links are taken, as far as the root; absolute and
+    host-relative links keep theirs. Blanks before a link and line breaks and tabs in it
+    do not count, nor does a mark without a query or fragment behind it.
+    """
     base = urlsplit(base_url)
     origin = f"{base.scheme}://{base.netloc}"
     folder = base.path.rsplit("/", 1)[0] + "/"
-    return (
-        F.when(u == "", F.lit(base_url))
-        .when(u.rlike(SCHEME), u)
-        .when(u.startswith("//"), F.concat(F.lit(f"{base.scheme}:"), u))
-        .when(u.startswith("/"), F.concat(F.lit(origin), u))
-        .when(u.startswith("?"), F.concat(F.lit(origin + base.path), u))
-        .when(u.startswith("#"), F.concat(F.lit(base_url), u))
-        .when(u.isNotNull(), F.concat(F.lit(origin + folder), u))
-    )
+    odd_folder = F.lit(bool(re.search(HAS_STEPS, folder)))
+
+    def taken(u: Column) -> Column:
+        """A root- or folder-relative link with its steps taken."""
+        path = F.regexp_extract(u, r"^(?s)((?:[^?#]*/)?[^/;?#]*)", 1)
+        steps = F.split(path, "/")
+        # empty segments of the folder and the link go, but for the first and the last
+        within = F.concat(F.array(*[F.lit(x) for x in folder.split("/")[:-1]]), steps)
+        inner = F.filter(F.slice(within, 2, F.greatest(F.size(within) - 2, F.lit(0))), lambda x: x != "")
+        segments = F.when(u.startswith("/"), steps).otherwise(
+            F.concat(F.slice(within, 1, 1), inner, F.slice(within, -1, 1))
+        )
+        after = F.substring(u, F.length(path) + 1, F.length(u))
+        return F.concat(F.lit(origin), bound(segments, without_steps), after)
+
+    def seen(u: Column) -> Column:
+        odd = F.regexp_extract(u, "^[^?#]*", 0).rlike(HAS_STEPS) | (odd_folder & ~u.startswith("/"))
+        return (
+            F.when(u == "", F.lit(base_url))
+            .when(u.rlike(SCHEME), u)
+            .when(u.startswith("//"), F.concat(F.lit(f"{base.scheme}:"), u))
+            .when(u.startswith("?"), F.concat(F.lit(origin + base.path), u))
+            .when(u.startswith("#"), F.concat(F.lit(base_url), u))
+            .when(odd, taken(u))
+            .when(u.startswith("/"), F.concat(F.lit(origin), u))
+            .when(u.isNotNull(), F.concat(F.lit(origin + folder), u))
+        )
+
+    def bare(u: Column) -> Column:
+        other = u.rlike("^(?!https?:|//)" + SCHEME[1:])
+        return F.when(other, u).otherwise(F.regexp_replace(u, r"\??#?$", ""))
+
+    clean = F.translate(F.ltrim(col(url), F.lit(" " + "".join(map(chr, range(1, 32))))), "\t\r\n", "")
+    return bound(clean, lambda u: bound(bare(u), seen))
 
 
 def without_query(url: Column | str) -> Column:
@@ -169,14 +218,8 @@ def link_label(text: Column | str) -> Column:
 
 
 def unescaped(c: Column | str) -> Column:
-    """The five XML entities and the apostrophe's number, ampersand last."""
-    text = col(c)
-    for entity, char in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-        ("&#x27;", "'"), ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Text with its character references replaced, each once (see ``entities``)."""
+    return entities.unescaped(col(c))
 
 
 def is_subcategory_link(name: Column | str, url: Column | str) -> Column:
@@ -185,5 +228,4 @@ def is_subcategory_link(name: Column | str, url: Column | str) -> Column:
 
 def absolute_or_null(url: Column | str, base_url: str) -> Column:
     """An image or product link as absolute URL, NULL without a link."""
-    u = filled(url)
-    return F.when(u.rlike(HTTP), u).otherwise(resolve(u, base_url))
+    return bound(filled(url), lambda u: F.when(u.rlike(HTTP), u).otherwise(resolve(u, base_url)))

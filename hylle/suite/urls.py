@@ -165,6 +165,34 @@ def resolve_url(spark, sf):
     return urls(spark, sf).select("url_id", U.resolve("url", BASE).alias("url"))
 
 
+# Links with steps, and where each leads from the base page.
+STEPS = (
+    ("../{0}/", "https://shop.example/{0}/"),
+    ("./{0}", "https://shop.example/no/{0}"),
+    ("a/../../{0}", "https://shop.example/{0}"),
+    ("/x/./{0}/../y?q=../z", "https://shop.example/x/y?q=../z"),
+    ("../../../{0}/..", "https://shop.example/"),
+    ("a//{0}", "https://shop.example/no/a/{0}"),
+    ("https://cdn.example/../{0}", "https://cdn.example/../{0}"),
+    ("{0}?", "https://shop.example/no/{0}"),
+)
+
+
+def stepped(part):
+    """SQL of the case's link or target for each row's key."""
+    cases = " ".join(
+        f"WHEN {i} THEN replace('{case[part]}', '{{0}}', 'p' || cast(p_partkey AS string))" for i, case in enumerate(STEPS)
+    )
+    return f"CASE p_partkey % {len(STEPS)} {cases} END"
+
+
+@query("sf25_links_with_steps", f"SELECT p_partkey, {stepped(1)} AS url FROM part")
+def links_with_steps(spark, sf):
+    return relation(spark, sf, "part").select(
+        "p_partkey", U.resolve(F.expr(stepped(0)), "https://shop.example/no/side").alias("url")
+    )
+
+
 SLUG = "coalesce(nullif(regexp_extract(url, '/categories/[0-9]+-([^/]+)/', 1), ''), 'unknown')"
 
 
@@ -220,10 +248,24 @@ def link_label(spark, sf):
 
 @query(
     "sf34_entity_unescape",
-    "SELECT page_id, md5(replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), "
+    "SELECT page_id, md5(replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), "
     "'&quot;', '\"'), '&apos;', chr(39)), '&#39;', chr(39)), '&#x27;', chr(39)), '&amp;', '&')) AS digest FROM pages",
 )
 def entity_unescape(spark, sf):
     return relation(spark, sf, "pages").select(
         "page_id", F.md5(U.unescaped("html")).alias("digest")
     )
+
+
+@query(
+    "sf34_numeric_references",
+    "SELECT p_partkey, chr(CAST(p_partkey + 160 AS INTEGER)) || p_name || chr(CAST(p_partkey + 160 AS INTEGER)) || ' & ' "
+    "|| CASE p_partkey % 3 WHEN 0 THEN 'ø' WHEN 1 THEN '¬it' ELSE '&amp' END AS text FROM part",
+)
+def numeric_references(spark, sf):
+    code = F.col("p_partkey") + 160
+    named = F.when(F.col("p_partkey") % 3 == 0, "&oslash;").when(F.col("p_partkey") % 3 == 1, "&notit").otherwise("&amp;amp")
+    escaped = F.concat(
+        F.lit("&#"), code.cast("string"), F.lit(";"), F.col("p_name"), F.lit("&#x"), F.hex(code), F.lit("; &amp; "), named
+    )
+    return relation(spark, sf, "part").select("p_partkey", U.unescaped(escaped).alias("text"))
