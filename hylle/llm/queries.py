@@ -97,7 +97,7 @@ def _masked(of: str, at: str) -> str:
     f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TOKENS} AS w FROM documents),
 b AS (SELECT item_id, {TOKENS} AS w FROM benchmark),
-dw AS (SELECT r, w, unnest(range(0, len(w) - 11, 2)) AS i FROM d WHERE len(w) >= 12),
+dw AS (SELECT r, w, unnest(range(0, len(w) - 11)) AS i FROM d WHERE len(w) >= 12),
 bw AS (SELECT item_id, w, unnest(range(0, len(w) - 11)) AS j FROM b WHERE len(w) >= 12),
 hits AS (
  SELECT DISTINCT r, item_id, i - j AS shift
@@ -188,22 +188,36 @@ def _license_sql() -> str:
         f"CASE WHEN {' OR '.join([f'{names[k]} IS NOT NULL' for k in range(n) if license_scan.RULES[k][0] == license_scan.RULES[n][0]] or ['false'])} THEN NULL ELSE {names[n]} END"
         for n in range(last)
     )
+    longest = max(map(len, license_scan.known_sentences()))
     return rf"""
-WITH known(plain, sentence_id) AS (VALUES {known}),
+WITH RECURSIVE known(plain, sentence_id) AS (VALUES {known}),
 d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 s AS (
  SELECT r, unnest(p) AS one, generate_subscripts(p, 1) AS place
  FROM (SELECT r, string_split(regexp_replace(text, '([.!?])[ \t\n\v\f\r]+', '\1' || chr(1), 'g'), chr(1)) AS p FROM d)),
-l AS (SELECT r, place, string_split(one, chr(10)) AS lines FROM s),
+n AS (
+ SELECT r, place, list_filter(list_transform(string_split(one, chr(10)), lambda x: replace(trim(
+  regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), 'licence', 'license')), lambda x: x <> '') AS lines FROM s),
+starts AS (
+ SELECT r, place, lines, i AS line FROM n, unnest(range(1, len(lines) + 1)) AS u(i)
+ WHERE split_part(lines[i], ' ', 1) IN (SELECT split_part(plain, ' ', 1) FROM known)),
 runs AS (
- SELECT r, place, i AS line, n AS more, array_to_string(lines[i : i + n], ' ') AS run
- FROM l, unnest(range(1, len(lines) + 1)) AS u(i), unnest(range(0, least(len(lines) - i, {license_scan.WRAP - 1}) + 1)) AS v(n)),
+ SELECT r, place, line, m AS more, array_to_string(lines[line : line + m], ' ') AS run
+ FROM starts, unnest(range(0, least(len(lines) - line, {longest // 2}) + 1)) AS v(m)),
 hits AS (
- SELECT r, place, line, sentence_id FROM runs JOIN known
- ON plain = replace(trim(regexp_replace(lower(run), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), 'licence', 'license')
- QUALIFY row_number() OVER (PARTITION BY r, place, line ORDER BY more DESC) = 1),
+ SELECT r, place, line, max(more) AS more, arg_max(sentence_id, more) AS sentence_id
+ FROM runs JOIN known ON plain = run GROUP BY ALL),
+follow AS (
+ SELECT a.r, a.place, a.line, a.sentence_id, min(b.line) AS next FROM hits a
+ LEFT JOIN hits b ON a.r = b.r AND a.place = b.place AND b.line > a.line + a.more GROUP BY ALL),
+taken AS (
+ SELECT r, place, line, sentence_id, next FROM follow
+ QUALIFY row_number() OVER (PARTITION BY r, place ORDER BY line) = 1
+ UNION ALL
+ SELECT f.r, f.place, f.line, f.sentence_id, f.next FROM taken t JOIN follow f
+ ON f.r = t.r AND f.place = t.place AND f.line = t.next),
 ids AS (
- SELECT r, string_agg(sentence_id, ',' ORDER BY place, line) AS sentence_ids, {left} AS l0 FROM hits GROUP BY r),
+ SELECT r, string_agg(sentence_id, ',' ORDER BY place, line) AS sentence_ids, {left} AS l0 FROM taken GROUP BY r),
 {', '.join(steps)}
 SELECT doc_id, sentence_ids, concat_ws(',', {firsts}) AS licenses,
  CAST(len(l{last}) - len(replace(l{last}, '<', '')) AS BIGINT) AS n_unmatched
