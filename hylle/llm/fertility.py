@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hylle.llm.blocks import begins_character, blank, blocks
-from hylle.llm.common import KEY, carried, staged
+from hylle.llm.common import KEY, carried, staged, without_keys
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT = 8  # words of a window
@@ -217,6 +217,7 @@ def _measured(vocabularies: list[Vocabulary], blob: bytes, starts: np.ndarray, e
 def measured(docs: DataFrame, paths: tuple[str, str], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``row``, the row key, ``found`` (counts, entropy, script), ``base_failed`` and the text's language and class.
 
+    ``row`` holds the document's columns but for the text, which need not be written again.
     ``paths``: a file of ranked byte sequences, and a sentence-piece model with byte fallback.
     """
     udf = F.arrow_udf(_measurer(paths), FOUND).asNondeterministic()
@@ -226,6 +227,7 @@ def measured(docs: DataFrame, paths: tuple[str, str], id_col: str = "doc_id", te
     )
     return (
         carried(docs, id_col, text_col)
+        .withColumn("row", F.struct(*[F.col(f"row.`{c}`") for c in docs.columns if c != text_col]))
         .select("row", *KEY, lang.alias("_lang"), udf(F.coalesce("_text", F.lit(""))).alias("found"))
         .select(
             "*",
@@ -312,6 +314,7 @@ def judged(found: DataFrame, known: DataFrame) -> DataFrame:
     outside = F.when(F.col("found.tokens_piece") > 0, outside).otherwise(F.array().cast("array<string>"))
     return out.withColumn("outside", outside).select(
         "row",
+        *KEY,
         *(f"found.{c}" for c in COUNTS),
         *(value.alias(name) for name, value in values.items() if name != "entropy"),
         "found.entropy",
@@ -323,7 +326,15 @@ def judged(found: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
+def kept_documents(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that ``quality`` keeps, all columns as they were."""
+    return without_keys(docs, found.where(~F.col("kept")), id_col, text_col)
+
+
 def quality(docs: DataFrame, paths: tuple[str, str], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, least: int = LEAST, width: float = WIDTH) -> DataFrame:
-    """One row per document: ``row``, counts, measures, the measures outside their band, and whether it is kept."""
+    """One row per document: ``row``, counts, measures, the measures outside their band, and whether it is kept.
+
+    ``row`` holds the document's columns but for its text; ``_k1`` and ``_k2`` name the document.
+    """
     found = staged(measured(docs, paths, id_col, text_col, lang_col), "fertility")
     return judged(found, staged(bands(found, least=least, width=width), "bands"))

@@ -130,8 +130,8 @@ def test_decontaminate(spark, odd, empty):
     docs = documents(spark, [(1, f"before {item} after", None), (2, worn, None), (2, worn, None), (3, "tok1 tok2 tok3", None), (4, None, None), (None, item, None)])
     found = decontaminate.overlaps(docs, bench)
     got = sorted(((r.doc_id, r._item, r._shift, r._score, r._matched) for r in found.collect()), key=str)
-    assert got == [(1, 1, 1, 20, 20), (2, 1, 0, 16, 18), (None, 1, 0, 20, 20)] or got == [
-        (1, 1, 1, 20, 20), (2, 1, 0, 16, 18), (2, 1, 0, 16, 18), (None, 1, 0, 20, 20)]
+    # repeated rows share one row of the result
+    assert got == [(1, 1, 1, 20, 20), (2, 1, 0, 16, 18), (None, 1, 0, 20, 20)]
     left = decontaminate.without_overlaps(docs, found)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [3, 4]
     assert decontaminate.overlaps(odd, bench).count() == 0

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from hylle.llm import fertility, fill_in_middle, periodic_runs, queries
+from hylle.llm.common import row_key
 from hylle.llm.queries import tokenizer_path
 from test_llm_edges import CLASHING, documents, empty, odd  # noqa: F401
 
@@ -243,7 +244,11 @@ def test_fertility_counts(spark, sf_dir, texts, vocabularies):
 
 def test_fertility_of_odd_texts(odd, empty, vocabularies):  # noqa: F811
     paths = tuple(map(tokenizer_path, PATHS))
-    rows = fertility.quality(odd, paths).select("row.doc_id", "row.text", *fertility.COUNTS, "entropy", "script", "base_failed", "outside", "kept").collect()
+    found = fertility.quality(odd, paths)
+    kept = fertility.kept_documents(odd, found)
+    assert kept.columns == odd.columns and kept.count() == found.where("kept").count()
+    text = odd.select(*(c.alias(k) for k, c in row_key("doc_id", "text").items()), "text").distinct()
+    rows = found.join(text, ["_k1", "_k2"]).select("row.doc_id", "text", *fertility.COUNTS, "entropy", "script", "base_failed", "outside", "kept").collect()
     assert len(rows) == odd.count()
     check_fertility(rows, vocabularies)
     by = {r.doc_id: r for r in rows}
