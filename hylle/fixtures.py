@@ -79,7 +79,7 @@ SELECT o_orderkey AS seq,
  CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'failed' END AS status,
  o_orderdate AS start_time
 FROM {orders}""",
-    # ids to resolve against the run history: exact, same day, suffix only, no hit
+    # ids to resolve against the run history: exact, same day, suffix only, no hit, wildcards
     "run_requests": """
 SELECT seq, CASE seq % 6
   WHEN 0 THEN run_id
@@ -87,7 +87,8 @@ SELECT seq, CASE seq % 6
   WHEN 2 THEN substr(run_id, 10)
   WHEN 3 THEN concat('19990101_', substr(run_id, 10))
   WHEN 4 THEN concat(substr(run_id, 3, 6), '_', substr(run_id, 10))
-  ELSE substr(md5(run_id), 1, 7) END AS run_id,
+  ELSE CASE WHEN seq % 12 = 5 THEN substr(md5(run_id), 1, 7) WHEN seq % 60 = 11 THEN concat('%', substr(run_id, 8, 4), '%_cat', cast(seq % 6 AS string))
+   WHEN seq % 60 = 23 THEN '_%' ELSE concat('0%', substr(run_id, 13)) END END AS run_id,
  CASE WHEN seq % 3 = 0 THEN 'failed' ELSE 'completed' END AS status,
  CASE WHEN seq % 3 = 0 THEN 0 ELSE seq % 40 END AS num_products,
  CASE WHEN seq % 3 = 0 THEN concat('error ', cast(seq % 4 AS string)) END AS error_message

@@ -28,7 +28,8 @@ def by_id(df: DataFrame, product_id: str, *order: str | Column) -> DataFrame:
     The digest of the whole row breaks ties, so equal times give the same row each time.
     """
     first = order or [c for c in ("scrape_date", "scraped_at", "seq") if c in df.columns]
-    digest = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    plain = {f.name: F.to_json(f.name) if f.dataType.typeName() == "variant" else F.col(f.name) for f in df.schema}
+    digest = F.xxhash64(*[plain[c] for c in sorted(df.columns)])
     return df.where(F.col("product_id") == product_id).orderBy(*first, digest).limit(1)
 
 

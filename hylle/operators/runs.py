@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hylle import fixed_values as V
 from hylle.functions.text import col, filled, has_text
+from hylle.operators.dictionary import keyword_hits
 from hylle.operators.filters import category_run_id
 from hylle.schema import RUN_SCHEMA
 from hylle.sources.codec import config_snapshot
@@ -61,9 +62,10 @@ def first_by_suffix(stored: DataFrame, requests: DataFrame) -> DataFrame:
     reduced to their shapes (length and places of underscores). A stored id gives
     its endings of the lengths asked for (a scalar subquery: the distinct lengths,
     few as ids are short), each is masked by the shapes of its length, and a
-    request then equals the masked ending. Endings are summed up to the least id
-    before they are shuffled. The work grows with stored ids times shapes, not
-    requests.
+    request then equals the masked ending. Endings that nobody asks for go before
+    anything is shuffled, where the requests are few enough to be sent to all tasks;
+    the others are summed up to the least id. The work grows with stored ids times
+    shapes, not requests.
     """
     shape = F.regexp_replace("run_id", "[^_]", "x")
     shapes = requests.select(shape.alias("shape")).distinct().select(
@@ -81,12 +83,39 @@ def first_by_suffix(stored: DataFrame, requests: DataFrame) -> DataFrame:
         F.right("run_id", F.col("size")),
         lambda text, mark: F.overlay(text, F.lit("_"), mark, F.lit(1)),
     )
-    hits = endings.select(masked.alias("wanted"), "run_id")
+    asked_for = requests.select(F.col("run_id").alias("wanted")).distinct()
+    hits = endings.select(masked.alias("wanted"), "run_id").join(asked_for, "wanted", "left_semi")
     return hits.groupBy("wanted").agg(F.min("run_id").alias("suffix_match")).select(
         F.col("wanted").alias("run_id"), "suffix_match"
     )
 
 
+def first_by_pattern(stored: DataFrame, requests: DataFrame) -> DataFrame:
+    """(run_id, suffix_match): the least stored id that ends like each requested pattern.
+
+    In these ids a percent sign stands for any text and an underscore for any character.
+    A pattern's longest literal piece must be in the id, so ids are joined with the pieces
+    through their rarest grams and only those pairs are compared with the pattern. A
+    pattern without a literal piece asks for a length alone, and lengths are few.
+    """
+    pieces = F.filter(F.split("run_id", "[%_]"), lambda p: p != "")
+    longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("size"), p.alias("piece"))))
+    patterns = requests.select(F.col("run_id").alias("pattern"), longest["piece"].alias("keyword"))
+    ids = stored.select("run_id", F.col("run_id").alias("_text")).distinct()
+    near = keyword_hits(ids, patterns.where("keyword is not null"), key="run_id", text="_text")
+    like = F.like(F.col("run_id"), F.concat(F.lit("%"), F.col("pattern")), F.lit("\x01"))
+    by_piece = near.where(like).groupBy("pattern").agg(F.min("run_id").alias("suffix_match"))
+    by_size = stored.groupBy(F.length("run_id").alias("size")).agg(F.min("run_id").alias("least"))
+    by_size = (
+        by_size.select(F.explode(F.sequence(F.lit(0), "size")).alias("size"), "least")
+        .groupBy("size")
+        .agg(F.min("least").alias("suffix_match"))
+    )
+    bare = patterns.where("keyword is null").select("pattern", F.length(F.replace("pattern", F.lit("%"))).alias("size"))
+    found = by_piece.unionByName(bare.join(by_size, "size").select("pattern", "suffix_match"))
+    return found.withColumnRenamed("pattern", "run_id")
+
+
 def match_run_ids(requests: DataFrame, runs: DataFrame) -> DataFrame:
     """(run_id, matched_run_id) per distinct requested id, for ids that match.
 
@@ -99,7 +128,10 @@ def match_run_ids(requests: DataFrame, runs: DataFrame) -> DataFrame:
     open_ids = tried.where(
         F.col("matched_run_id").isNull() & F.col("run_id").contains("_")
     ).select("run_id")
-    by_suffix = first_by_suffix(stored, open_ids)
+    wild = F.col("run_id").contains("%")
+    by_suffix = first_by_suffix(stored, open_ids.where(~wild))
+    if not wanted.where(wild).isEmpty():
+        by_suffix = by_suffix.unionByName(first_by_pattern(stored, open_ids.where(wild)))
     return (
         tried.join(by_suffix, "run_id", "left")
         .select("run_id", F.coalesce("matched_run_id", "suffix_match").alias("matched_run_id"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hylle import fixed_values as V
+from hylle.functions import attributes as A
 from hylle.functions import text as X
 from hylle.profiles import StoreProfile
 from hylle.schema import ATTRIBUTE_FIELDS, ATTRIBUTE_SCHEMA, PRODUCT_SCHEMA
@@ -54,9 +55,15 @@ def attribute_rules(profile: StoreProfile, info: str, lower_info: str, both: str
 def enrich(products: DataFrame, profile: StoreProfile) -> DataFrame:
     """Fill brand and subcategory where missing and set the attributes struct.
 
-    Rows without info pass through unchanged. Each layer of columns is used more
+    Rows without info pass through unchanged. Attributes may be the known fields or an
+    open object, whose other keys are kept. Each layer of columns is used more
     than once by the next, so Catalyst keeps the layers and cleans a text once.
     """
+    if "attributes" in products.columns and products.schema["attributes"].dataType.typeName() == "variant":
+        # keys that no rule knows stay; those of the rules are merged in
+        known = products.withColumns({"_open": F.col("attributes"), "attributes": A.fields_of("attributes")})
+        done = enrich(known, profile)
+        return done.withColumn("attributes", A.merged("_open", A.from_fields("attributes"))).drop("_open")
     if "attributes" not in products.columns:
         products = products.withColumn("attributes", F.lit(None).cast(ATTRIBUTE_SCHEMA))
     layered = (
@@ -120,7 +127,7 @@ def with_product_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     for field in PRODUCT_SCHEMA.fields:
         if field.name in df.columns:
             value = F.col(field.name)
-            if not isinstance(field.dataType, T.StructType):
+            if field.name != "attributes":
                 value = value.try_cast(field.dataType)
         else:
             value = defaults.get(field.name, F.lit(None)).cast(field.dataType)

@@ -47,6 +47,11 @@ PRODUCT_SCHEMA = T.StructType(
 )
 PRODUCT_COLUMNS = PRODUCT_SCHEMA.fieldNames()
 
+# The same with attributes that may have any keys.
+OPEN_PRODUCT_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.VariantType() if f.name == "attributes" else f.dataType) for f in PRODUCT_SCHEMA.fields]
+)
+
 # A stored product as text: attributes as JSON, time as ISO text.
 STORED_PRODUCT_SCHEMA = T.StructType(
     [

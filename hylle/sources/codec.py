@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hylle.functions import attributes as A
 from hylle.functions import text as X
 from hylle.schema import ATTRIBUTE_FIELDS, ATTRIBUTE_SCHEMA
 
@@ -50,10 +51,10 @@ def encoded(name: str) -> Column:
     return iso_text(name).alias(name) if name == "scraped_at" else F.col(name)
 
 
-def decoded(name: str, missing_time: Column | None = None) -> Column:
+def decoded(name: str, missing_time: Column | None = None, open_attributes: bool = False) -> Column:
     """A product column from its stored form."""
     if name == "attributes":
-        return attributes_of(name).alias(name)
+        return (A.from_text(name) if open_attributes else attributes_of(name)).alias(name)
     return iso_time(name, missing_time).alias(name) if name == "scraped_at" else F.col(name)
 
 
@@ -61,5 +62,19 @@ def to_stored(products: DataFrame) -> DataFrame:
     return products.select(*[encoded(c) for c in products.columns])
 
 
-def from_stored(rows: DataFrame, missing_time: Column | None = None) -> DataFrame:
-    return rows.select(*[decoded(c, missing_time) for c in rows.columns])
+def from_stored(
+    rows: DataFrame, missing_time: Column | None = None, open_attributes: bool = False
+) -> DataFrame:
+    return rows.select(*[decoded(c, missing_time, open_attributes) for c in rows.columns])
+
+
+def with_attributes(products: DataFrame, open_attributes: bool) -> DataFrame:
+    """Attributes in the form that a store keeps: given as fields, as an open object or as JSON text."""
+    kind = products.schema["attributes"].dataType.typeName()
+    if kind == "string":
+        read = A.from_text("attributes") if open_attributes else attributes_of("attributes")
+    elif (kind == "variant") == open_attributes:
+        return products
+    else:
+        read = A.from_fields("attributes") if open_attributes else A.fields_of("attributes")
+    return products.withColumn("attributes", read)

@@ -8,7 +8,9 @@ whole: the new state goes to its own folder and the table's location is switched
 
 from __future__ import annotations
 
+import csv
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -18,10 +20,10 @@ from pyspark.sql import types as T
 
 from hylle.operators import filters as P
 from hylle.operators import merge as M
-from hylle.schema import PRODUCT_COLUMNS, PRODUCT_SCHEMA, RUN_SCHEMA, STORED_PRODUCT_SCHEMA
+from hylle.schema import OPEN_PRODUCT_SCHEMA, PRODUCT_COLUMNS, PRODUCT_SCHEMA, RUN_SCHEMA, STORED_PRODUCT_SCHEMA
 from hylle.session import materialised, work_folder
 from hylle.sources import keyed
-from hylle.sources.codec import from_stored, to_stored
+from hylle.sources.codec import from_stored, to_stored, with_attributes
 
 PARTS = ["category_part", "scrape_date"]
 PART_FIELDS = [
@@ -47,6 +49,12 @@ class Target:
     location: str
     folder: str | None = None
     buckets: int = 16
+    # whether attributes may have any keys (VARIANT) or only the known fields
+    open_attributes: bool = False
+
+    @property
+    def schema(self) -> T.StructType:
+        return OPEN_PRODUCT_SCHEMA if self.open_attributes else PRODUCT_SCHEMA
 
 
 def with_parts(products: DataFrame) -> DataFrame:
@@ -56,12 +64,69 @@ def with_parts(products: DataFrame) -> DataFrame:
 
 
 def read_files(spark: SparkSession, target: Target) -> DataFrame:
-    """Product columns plus the partition columns, which prune folders when filtered."""
-    base = PRODUCT_SCHEMA if target.kind == "parquet" else STORED_PRODUCT_SCHEMA
-    reader = spark.read.schema(T.StructType([*base.fields, *PART_FIELDS]))
+    """Product columns plus the partition columns, which prune folders when filtered.
+
+    Columns of CSV files go by the names in each file's header, in any order; columns
+    that are no product columns are left out, and absent ones are NULL.
+    """
     if target.kind == "parquet":
-        return reader.parquet(target.location)
-    return from_stored(reader.options(**CSV_OPTIONS).csv(target.location))
+        return spark.read.schema(T.StructType([*target.schema.fields, *PART_FIELDS])).parquet(target.location)
+    stored = read_csv(spark, target.location)
+    return from_stored(stored, open_attributes=target.open_attributes)
+
+
+def read_csv(spark: SparkSession, location: str) -> DataFrame:
+    """Stored product rows; files with one header are read together."""
+    known = {f.name: f for f in STORED_PRODUCT_SCHEMA.fields}
+    names = [*known, *(f.name for f in PART_FIELDS)]
+    reader = spark.read.options(**CSV_OPTIONS)
+    by_header = files_by_header(spark, location)
+    if all(list(header) == list(known) for header in by_header):
+        return reader.schema(T.StructType([*known.values(), *PART_FIELDS])).csv(location)
+    whole = None
+    for header, files in sorted(by_header.items()):
+        fields = [known.get(name, T.StructField(f"_other{i}", T.StringType())) for i, name in enumerate(header)]
+        rows = reader.option("basePath", location).schema(T.StructType([*fields, *PART_FIELDS])).csv(files)
+        absent = {n: F.lit(None).cast(f.dataType) for n, f in known.items() if n not in header}
+        rows = rows.withColumns(absent).select(names) if absent else rows.select(names)
+        whole = rows if whole is None else whole.unionByName(rows)
+    return whole
+
+
+def files_by_header(spark: SparkSession, location: str) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files below a folder by the names in their first line.
+
+    One short read per file, many at a time: like the listing of a folder, its work goes
+    by the number of files and not by what they hold.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+    files = root.getFileSystem(conf)
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found, listed = [], files.listFiles(root, True)
+    base = files.makeQualified(root).toString()
+    while listed.hasNext():
+        path = listed.next().getPath()
+        if not any(part.startswith(("_", ".")) for part in path.toString()[len(base) :].split("/")):
+            found.append(path)
+
+    def header(path) -> tuple[str, ...]:
+        stream = files.open(path)
+        codec = codecs.getCodec(path)
+        opened = stream if codec is None else codec.createInputStream(stream)
+        lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(opened, "UTF-8"))
+        try:
+            line = lines.readLine()
+        finally:
+            lines.close()
+        return tuple(next(csv.reader([line.removeprefix("\ufeff")]), ())) if line else ()
+
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for path, names in zip(found, pool.map(header, found)):
+            if names:
+                by_header.setdefault(names, []).append(path.toString())
+    return by_header
 
 
 def write_files(rows: DataFrame, target: Target, mode: str, dynamic: bool = False) -> None:
@@ -84,7 +149,8 @@ def write_files(rows: DataFrame, target: Target, mode: str, dynamic: bool = Fals
 
 
 def append_files(products: DataFrame, target: Target) -> None:
-    write_files(with_parts(products.select(*PRODUCT_COLUMNS)), target, "append")
+    rows = with_attributes(products.select(*PRODUCT_COLUMNS), target.open_attributes)
+    write_files(with_parts(rows), target, "append")
 
 
 def replace_files(spark: SparkSession, products: DataFrame, target: Target, seq: str) -> None:
@@ -98,7 +164,7 @@ def replace_files(spark: SparkSession, products: DataFrame, target: Target, seq:
     merged = M.replace_or_append(
         touched_rows(read_files(spark, target), batch), batch, [*PARTS, "product_id"], seq
     )
-    staged = Target("parquet", work_folder(spark, "staged"))
+    staged = Target("parquet", work_folder(spark, "staged"), open_attributes=target.open_attributes)
     write_files(merged, staged, "errorifexists")
     write_files(read_files(spark, staged), target, "overwrite", dynamic=True)
 
@@ -191,6 +257,7 @@ def save(
         raise ValueError(f"unknown storage kind: {target.kind}")
     if not products._jdf.queryExecution().analyzed().deterministic():
         products = materialised(spark, products.select(*PRODUCT_COLUMNS, seq), "batch")
+    products = with_attributes(products, target.open_attributes)
     if target.kind in ("parquet", "csv"):
         if replace_existing and has_files(spark, target):
             replace_files(spark, products, target, seq)
@@ -199,7 +266,7 @@ def save(
     else:
         batch = products.select(*PRODUCT_COLUMNS, seq)
         if not spark.catalog.tableExists(target.location):
-            make_table(spark, empty(spark, PRODUCT_SCHEMA), target, "product_id")
+            make_table(spark, empty(spark, target.schema), target, "product_id")
         stored, buckets = near(spark, target.location, batch, "product_id")
         if replace_existing:
             merged = M.upsert(stored, batch, ["product_id"], seq)
@@ -248,7 +315,7 @@ def clear(spark: SparkSession, target: Target) -> None:
     if target.kind == "table":
         publish(spark, empty(spark, scan(spark, target).schema), target.location, target.folder)
     else:
-        rows = empty(spark, T.StructType([*PRODUCT_SCHEMA.fields, *PART_FIELDS]))
+        rows = empty(spark, T.StructType([*target.schema.fields, *PART_FIELDS]))
         write_files(rows, target, "overwrite")
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from hylle.fixtures import as_sql, relation
+from hylle.functions import attributes as A
 from hylle.functions import text as X
 from hylle.operators import filters as P
 from hylle.operators import merge as M
-from hylle.operators import summary as A
+from hylle.operators import summary as G
 from hylle.plans.enrich import enrich, flat_attributes, with_product_columns
 from hylle.profiles import STORE1
 from hylle.schema import ATTRIBUTE_SCHEMA, PRODUCT_COLUMNS
@@ -423,7 +425,7 @@ def keyed_merge(spark, sf):
     f"SELECT category_part, count(*) AS n, count(DISTINCT product_id) AS n_ids FROM {STORED} AS s GROUP BY category_part",
 )
 def group_by_category(spark, sf):
-    return A.per_category(rows(spark, sf))
+    return G.per_category(rows(spark, sf))
 
 
 @query(
@@ -431,7 +433,7 @@ def group_by_category(spark, sf):
     f"SELECT category_part, count(*) AS n FROM {STORED} AS s GROUP BY ROLLUP (category_part)",
 )
 def products_per_category(spark, sf):
-    return A.category_totals(rows(spark, sf))
+    return G.category_totals(rows(spark, sf))
 
 
 @query(
@@ -439,7 +441,7 @@ def products_per_category(spark, sf):
     f"SELECT run_id, count(*) AS num_products FROM {STORED} AS s GROUP BY run_id",
 )
 def products_per_run(spark, sf):
-    return A.per_run(rows(spark, sf))
+    return G.per_run(rows(spark, sf))
 
 
 @query(
@@ -448,7 +450,7 @@ def products_per_run(spark, sf):
     f"FROM {STORED} AS s GROUP BY category_part",
 )
 def any_match(spark, sf):
-    return A.any_per_category(rows(spark, sf), F.col("subcategory") == "egg", "has_egg")
+    return G.any_per_category(rows(spark, sf), F.col("subcategory") == "egg", "has_egg")
 
 
 @query(
@@ -468,6 +470,72 @@ RAW = (
 )
 
 
+# Attributes of orders with keys of their own, nested and varying ones among them.
+OPEN_JSON = """CASE o_orderkey % 5 WHEN 3 THEN '[1,2]' WHEN 4 THEN NULL ELSE concat('{"organic":', CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END,
+ ',"origin":{"country":"', o_orderstatus, '","farms":[1,', cast(o_custkey AS string), ']},"k', cast(o_orderkey % 7 AS string), '":', cast(o_orderkey AS string), '}') END"""
+LATER_JSON = """concat('{"origin":{"country":"NO"},"k3":"later","seen":', cast(o_custkey AS string), '}')"""
+
+
+def open_rows(spark, sf, text, seq=0):
+    """Orders as products with these attributes."""
+    named = relation(spark, sf, "orders").selectExpr(
+        "concat('o', o_orderkey) AS product_id", f"{text} AS attributes", "o_orderdate AS scraped_at", "'x' AS name"
+    )
+    return with_product_columns(named).withColumn("seq", F.lit(seq))
+
+
+def open_keys(df):
+    def value(path, kind):
+        return F.try_variant_get("attributes", path, kind)
+
+    return df.select(
+        "product_id",
+        value("$.organic", "boolean").alias("organic"),
+        value("$.origin.country", "string").alias("country"),
+        value("$.origin.farms[1]", "bigint").alias("farm"),
+        value("$.k3", "string").alias("k3"),
+        value("$.seen", "bigint").alias("seen"),
+        F.cardinality(A.keys_of(F.col("attributes"))).cast("bigint").alias("n_keys"),
+    )
+
+
+def open_sql(country, farm, k3, seen, n):
+    return (
+        f"SELECT 'o' || o_orderkey AS product_id, CAST(a ->> '$.organic' AS BOOLEAN) AS organic, {country} AS country, "
+        f"{farm} AS farm, {k3} AS k3, {seen} AS seen, CAST({n} AS BIGINT) AS n_keys "
+        f"FROM (SELECT *, CASE WHEN o_orderkey % 5 < 3 THEN CAST({OPEN_JSON} AS JSON) END AS a FROM orders) AS o"
+    )
+
+
+@query(
+    "sf31_open_attributes",
+    open_sql(
+        country="a ->> '$.origin.country'", farm="CAST(a ->> '$.origin.farms[1]' AS BIGINT)", k3="a ->> '$.k3'",
+        seen="CAST(NULL AS BIGINT)", n="CASE WHEN a IS NULL THEN 0 ELSE 3 END",
+    ),
+)
+def open_attributes(spark, sf):
+    """Keys that no rule knows, and nested ones, survive a write and a read."""
+    target = replace(table_target(spark), open_attributes=True)
+    S.save(spark, open_rows(spark, sf, OPEN_JSON), target, replace_existing=True, seq="seq")
+    return open_keys(S.load(spark, target))
+
+
+@query(
+    "sf36_merge_open_attributes",
+    open_sql(
+        country="'NO'", farm="CAST(NULL AS BIGINT)", k3="'later'", seen="o_custkey",
+        n="CASE WHEN a IS NULL THEN 3 WHEN o_orderkey % 7 = 3 THEN 4 ELSE 5 END",
+    ),
+)
+def merge_open_attributes(spark, sf):
+    """Key by key the later value counts, a nested object as a whole; other keys stay."""
+    earlier = open_rows(spark, sf, OPEN_JSON).select("product_id", A.from_text("attributes").alias("before"))
+    later = open_rows(spark, sf, LATER_JSON).select("product_id", A.from_text("attributes").alias("after"))
+    both = earlier.join(later, "product_id")
+    return open_keys(both.select("product_id", A.merged("before", "after").alias("attributes")))
+
+
 @query(
     "sf31_attributes_normalised",
     "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey + 0.5::DOUBLE END AS size_quantity, "
