@@ -38,6 +38,7 @@ def number(expr: str) -> str:
     return f"try_cast(replace({expr}, ',', '.') AS DOUBLE)"
 
 
+# The patterns of sizes, multipacks, packs and prices.
 SIZE = r"(\d+(?:[.,]\d+)?)\s*(l|ml|g|kg|dl|cl|stk)"
 MULTI = r"(\d+)x(\d+(?:[.,]\d+)?)\s*(g|ml|l|kg|stk)"
 PACK = r"(\d+)\s*(?:pk|stk|pakk|pakning)"
@@ -79,6 +80,7 @@ ATTRIBUTES = {
     "product_type": first_label(
         "both_", [(n[0].upper() + n[1:], words) for n, words in V.PRODUCT_TYPES]
     ),
+    # fixed values: the patterns of egg sizes and numbers and of aging
     "egg_size": f"upper({grab('ci', r'(?:str\.?|størrelse)\s*(xs|s|m|l|xl)', 1)})",
     "egg_quantity": f"try_cast({grab('ci', r'(\d+)\s*(?:stk|egg)', 1)} AS BIGINT)",
     "egg_type": first_label("li", V.EGG_TYPES),

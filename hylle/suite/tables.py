@@ -206,8 +206,8 @@ def clear_files(spark, sf):
     target = stored_files(spark, sf)
     before = counted(spark, S.read_files(spark, target), "n_before")
     S.clear(spark, target)
-    after = S.read_files(spark, target).agg(F.count("*").cast("int").alias("n_after"))
-    return before.join(after, F.col("n_before") >= F.col("n_after"))
+    after = S.read_files(spark, target).agg(F.count("*").cast("int")).scalar()
+    return before.select("n_before", after.alias("n_after"))
 
 
 PRICE_ROWS = f"(SELECT product_id, price, scraped_at FROM {STORED} AS s WHERE price IS NOT NULL)"
@@ -229,9 +229,9 @@ def clear_tables(spark, sf):
     done = S.clear_tables(spark, prices, products, runs)
     result = None
     for name, target in tables.items():
-        left = spark.table(target.location).agg(F.count("*").cast("int").alias("n_after"))
-        row = before[name].join(left, F.col("n_before") >= F.col("n_after")).select(
-            F.lit(name).alias("table_name"), F.lit(done[name]).alias("cleared"), "n_before", "n_after"
+        left = spark.table(target.location).agg(F.count("*").cast("int")).scalar()
+        row = before[name].select(
+            F.lit(name).alias("table_name"), F.lit(done[name]).alias("cleared"), "n_before", left.alias("n_after")
         )
         result = row if result is None else result.unionByName(row)
     return result
@@ -248,10 +248,8 @@ def clear_without_prices(spark, sf):
     before = counted(spark, spark.table(products.location), "n_before")
     done = S.clear_tables(spark, table_target(spark, "prices"), products, runs)
     cleared = [name for name, ok in done.items() if ok]
-    left = spark.table(products.location).agg(F.count("*").cast("int").alias("n_after"))
-    return before.join(left, F.col("n_before") >= F.col("n_after")).select(
-        F.lit(cleared[0]).alias("table_name"), "n_before", "n_after"
-    )
+    left = spark.table(products.location).agg(F.count("*").cast("int")).scalar()
+    return before.select(F.lit(cleared[0]).alias("table_name"), "n_before", left.alias("n_after"))
 
 
 @query(
