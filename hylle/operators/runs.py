@@ -55,9 +55,11 @@ def first_by_prefix(stored: DataFrame, bases: DataFrame) -> DataFrame:
     return least.join(bases, "base", "left_semi")
 
 
-def first_by_suffix(stored: DataFrame, requests: DataFrame) -> DataFrame:
+def first_by_suffix(stored: DataFrame, requests: DataFrame, among: DataFrame) -> DataFrame:
     """(run_id, suffix_match): the least stored id that ends like each requested id.
 
+    ``among`` (run_id) holds the requests, and may hold more ids if it is cheaper to read.
+
     An underscore in the requested id stands for any one character. Requests are
     reduced to their shapes (length and places of underscores). A stored id gives
     its endings of the lengths asked for (a scalar subquery: the distinct lengths,
@@ -83,7 +85,7 @@ def first_by_suffix(stored: DataFrame, requests: DataFrame) -> DataFrame:
         F.right("run_id", F.col("size")),
         lambda text, mark: F.overlay(text, F.lit("_"), mark, F.lit(1)),
     )
-    asked_for = requests.select(F.col("run_id").alias("wanted")).distinct()
+    asked_for = among.select(F.col("run_id").alias("wanted"))
     hits = endings.select(masked.alias("wanted"), "run_id").join(asked_for, "wanted", "left_semi")
     return hits.groupBy("wanted").agg(F.min("run_id").alias("suffix_match")).select(
         F.col("wanted").alias("run_id"), "suffix_match"
@@ -129,9 +131,11 @@ def match_run_ids(requests: DataFrame, runs: DataFrame) -> DataFrame:
         F.col("matched_run_id").isNull() & F.col("run_id").contains("_")
     ).select("run_id")
     wild = F.col("run_id").contains("%")
-    by_suffix = first_by_suffix(stored, open_ids.where(~wild))
-    if not wanted.where(wild).isEmpty():
-        by_suffix = by_suffix.unionByName(first_by_pattern(stored, open_ids.where(wild)))
+    by_suffix = first_by_suffix(stored, open_ids.where(~wild), wanted)
+    # patterns among the ids matched already do no harm: an earlier match counts first
+    patterns = wanted.where(wild & F.col("run_id").contains("_"))
+    if not patterns.isEmpty():
+        by_suffix = by_suffix.unionByName(first_by_pattern(stored, patterns))
     return (
         tried.join(by_suffix, "run_id", "left")
         .select("run_id", F.coalesce("matched_run_id", "suffix_match").alias("matched_run_id"))
