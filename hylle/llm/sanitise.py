@@ -2,15 +2,19 @@
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Around each
 of them the words within ``REACH`` characters are its context. Over the whole
-corpus, n(t, e) counts occurrences of term t in contexts of entity e and n(t) all
-occurrences of t. With p(e) = n(e) / words, the disclosure of e by t is
+corpus, n(t, e) counts occurrences of term t in contexts of entity e, c(t, e) those
+contexts that differ, and n(t) all occurrences of t. A term reveals an entity by
+log p(e | t) - log p(e); what it leaves of the entity's information -log p(e) is
 
-    log(p(e | t) / p(e)) / -log p(e),    p(e | t) = n(t, e) / n(t),
+    bits left = -log2 p(e | t),    p(e | t) = (c(t, e) + m p(e | kind)) / (c(t, e) n(t) / n(t, e) + m).
 
-the share of e's information that t reveals: 1 if t stands nowhere but beside e.
-Terms at ``generalise`` or more are generalised, at ``remove`` or more removed,
-wherever they stand, if at least ``support`` different contexts of one entity show
-them, so that one document's copies are no evidence.
+The share n(t, e) / n(t) thus counts as that of so many occurrences as the contexts
+that differ give, so that copies are no evidence, and backs off to the entity's share
+of its kind's different contexts by ``smoothing`` m occurrences. Terms that leave ``generalise`` bits or
+fewer of some entity are generalised, those that leave ``remove`` or fewer are removed,
+wherever they stand. At the defaults a term that stands once in the corpus, beside an
+entity, is generalised and one that stands twice, both times beside it, is removed.
+The bars are in bits left, so they mean the same in a corpus of any size.
 
 Only DataFrame functions are used. A pattern's matches and the gaps between them
 come from one pass each; offsets are running sums over a document's own matches.
@@ -162,70 +166,68 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def context_words(before: Column, after: Column) -> Column:
-    """Distinct words of both gaps' ends; a word that the cut may have halved is left out."""
-    left = F.when(
-        F.length(before) == REACH, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")
-    ).otherwise(before)
-    right = F.when(F.length(after) == REACH, F.regexp_replace(after, r"[\p{L}\p{N}]+$", "")).otherwise(after)
-    return F.array_distinct(F.concat(words(left), words(right)))
+def context_words(before: Column, after: Column, match: Column) -> Column:
+    """Words of both gaps' ends; a word that the cut or the match halves is left out."""
+    first, last = r"^[\p{L}\p{N}]+", r"[\p{L}\p{N}]+$"
+    left = F.when(F.length(before) == REACH, F.regexp_replace(before, first, "")).otherwise(before)
+    right = F.when(F.length(after) == REACH, F.regexp_replace(after, last, "")).otherwise(after)
+    left = F.when(match.rlike(r"^[\p{L}\p{N}]"), F.regexp_replace(left, last, "")).otherwise(left)
+    right = F.when(match.rlike(r"[\p{L}\p{N}]$"), F.regexp_replace(right, first, "")).otherwise(right)
+    return F.concat(words(left), words(right))
 
 
 def disclosing_terms(
     keyed: DataFrame,
     spans: DataFrame,
     *,
-    support: int = 3,
-    generalise: float = 0.75,
-    remove: float = 0.9,
+    smoothing: float = 1.0,
+    generalise: float = 1.0,
+    remove: float = 0.6,
 ) -> DataFrame:
-    """(term, kind): terms whose strongest disclosure of an entity passes a threshold.
+    """(term, bits_left, kind): terms that leave few enough bits of some entity.
 
     Contexts of repeated rows are counted as often as the rows stand in the corpus.
     """
     times = keyed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_times"))
-    near = (
-        spans.join(times, list(KEY))
-        .select(
-            F.concat_ws(":", "kind", F.when(F.col("kind") == "email", F.lower("match")).otherwise(F.regexp_replace("match", r"[\x20().-]", ""))).alias("entity"),
-            F.xxhash64("before", "after").alias("_context"),
-            "_times",
-            context_words(F.col("before"), F.col("after")).alias("_words"),
-        )
+    value = F.when(F.col("kind") == "email", F.lower("match")).otherwise(F.regexp_replace("match", r"[\x20().-]", ""))
+    near = spans.join(times, list(KEY)).select(
+        F.col("kind").alias("_kind"),
+        value.alias("entity"),
+        F.xxhash64("before", "after").alias("_context"),
+        "_times",
+        context_words(F.col("before"), F.col("after"), F.col("match")).alias("_words"),
     )
     near = staged(near, "contexts")
-    entities = near.groupBy("entity").agg(F.sum("_times").alias("_n_e"))
+    entities = (
+        near.select("_kind", "entity", "_context").distinct().groupBy("_kind", "entity").agg(F.count(F.lit(1)).alias("_n_e"))
+    )
+    kinds = entities.groupBy("_kind").agg(F.sum("_n_e").alias("_n_kind"))
+    entities = entities.join(F.broadcast(kinds), "_kind")  # a row per pattern
     together = (
-        near.select("entity", "_context", "_times", F.explode("_words").alias("term"))
+        near.select("_kind", "entity", "_context", "_times", F.explode("_words").alias("term"))
         .where(F.length("term") >= 3)
-        .groupBy("term", "entity", "_context")
+        .groupBy("term", "_kind", "entity", "_context")
         .agg(F.sum("_times").alias("_times"))
-        .groupBy("term", "entity")
+        .groupBy("term", "_kind", "entity")
         .agg(F.sum("_times").alias("_n_te"), F.count(F.lit(1)).alias("_contexts"))
-        .where(F.col("_contexts") >= support)
     )
     together = staged(together, "terms-near")
-    terms = together.select("term").distinct()
-    terms = F.broadcast(terms) if fits(terms, BROADCAST_ROWS) else terms
-    everywhere = (
-        keyed.select(F.explode(words(F.col("_text"))).alias("term"))
-        .join(terms, "term")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("_n_t"))
-    )
-    total = keyed.agg(F.greatest(F.sum(F.size(words(F.col("_text")))), F.lit(2)).alias("_n"))
-    total = F.broadcast(total)  # one row
-    p_e = F.col("_n_e") / F.greatest(F.col("_n"), F.col("_n_e") + 1)
-    p_et = F.least(F.col("_n_te") / F.col("_n_t"), F.lit(1.0))
-    disclosure = (F.log(p_et) - F.log(p_e)) / -F.log(p_e)
+    terms = staged(together.select("term").distinct(), "terms-named")
+    everywhere = keyed.select(F.explode(words(F.col("_text"))).alias("term"))
+    if fits(terms, BROADCAST_ROWS):
+        everywhere = everywhere.join(F.broadcast(terms), "term")
+    # many terms are counted with all other words, summed ahead of the shuffle
+    everywhere = everywhere.groupBy("term").agg(F.count(F.lit(1)).alias("_n_t"))
+    share = F.least(F.col("_n_te") / F.col("_n_t"), F.lit(1.0))
+    back_off = F.lit(smoothing) * F.col("_n_e") / F.col("_n_kind")
+    p_et = (F.col("_contexts") + back_off) / (F.col("_contexts") / share + smoothing)
     return (
         together.join(everywhere, "term")
-        .join(entities, "entity")
-        .join(total, F.col("_n").isNotNull())
+        .join(entities, ["_kind", "entity"])
         .groupBy("term")
-        .agg(F.max(disclosure).alias("disclosure"))
-        .where(F.col("disclosure") >= generalise)
-        .select("term", "disclosure", F.when(F.col("disclosure") >= remove, "removed").otherwise("generalised").alias("kind"))
+        .agg(F.min(-F.log2(p_et)).alias("bits_left"))
+        .where(F.col("bits_left") <= generalise)
+        .select("term", "bits_left", F.when(F.col("bits_left") <= remove, "removed").otherwise("generalised").alias("kind"))
     )
 
 

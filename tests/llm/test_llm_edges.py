@@ -22,6 +22,7 @@ from hylle.llm import (
     substrings,
     toxicity,
 )
+from hylle.llm.common import row_key
 from hylle.llm.queries import tokenizer_path
 
 # names that the operators use themselves, beside those of documents
@@ -392,6 +393,31 @@ def test_disclosing_terms(spark):
     assert out[10] == rows[6][1]
 
 
+def test_terms_of_rare_entities(spark):
+    common = "the common note text was wrote from home to the end and of it"
+    rows = [(i, f"{common} number {i % 7}", None) for i in range(60)]
+    rows += [(100, f"{common} zebulonia jane.roe@corp.com {common}", None)]  # once in the corpus
+    rows += [(110 + i, f"{common} quillfeather{' ' * (i + 1)}+47 22 33 44 55 {common}", None) for i in range(2)]
+    rows += [(120 + i, f"{common} copyline ann@corp.com {common}", None) for i in range(50)]  # copies
+    rows += [(200, f"{common} widespread bob@corp.com {common}", None)]
+    rows += [(201 + i, f"{common} widespread {common}", None) for i in range(3)]
+    rows += [(220 + i, f"{common} {common} {i}@corp.com {common} {common}", None) for i in range(7)]
+    rows += [(300, "alone quillfeather", None)]
+    docs = documents(spark, rows)
+    keyed = docs.select("doc_id", *(c.alias(k) for k, c in row_key("doc_id", "text").items()), F.col("text").alias("_text"))
+    terms = sanitise.disclosing_terms(keyed.drop("doc_id"), sanitise.base_spans(keyed))
+    found = {r.term: (r.kind, r.bits_left) for r in terms.collect()}
+    # ten addresses with a context each, one phone number with two
+    assert set(found) == {"zebulonia", "quillfeather", "copyline"}
+    assert found["zebulonia"] == ("generalised", pytest.approx(-np.log2((1 + 1 / 10) / 2)))
+    assert found["copyline"] == ("generalised", pytest.approx(-np.log2((1 + 1 / 10) / 2)))
+    assert found["quillfeather"] == ("removed", pytest.approx(-np.log2((2 + 1) / (2 * 3 / 2 + 1))))
+    spans = sanitise.find_spans(docs)
+    out = {r.doc_id: r.sanitised for r in sanitise.sanitised(docs, spans).select("row.doc_id", "sanitised").collect()}
+    assert out[100] == f"{common} [generalised] [email] {common}" and out[300] == "alone "
+    assert all(out[i] == t for i, t, _ in rows if i < 100 or 201 <= i < 204)
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((30, 16))

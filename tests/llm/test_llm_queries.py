@@ -1,16 +1,21 @@
 """The registered queries against SQL, brute force and held-out labels."""
 
 import hashlib
+import math
 import os
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from compare import assert_same
-from hylle.llm import decontaminate, queries
+from hylle.llm import decontaminate, queries, sanitise
 from hylle.llm import substrings
-from test_llm_edges import base_spans, check_packing
+from hylle.llm.common import row_key
+from test_llm_edges import BASE, base_spans, check_packing
 
 
 @pytest.mark.parametrize("name", sorted(queries.CHECKS))
@@ -158,6 +163,59 @@ def test_personal_data(spark, sf_dir, texts):
         assert r.spans.startswith(joined)
 
 
+def plain_terms(texts):
+    """Terms and their kinds by counting in Python, distinct contexts and back-off as documented."""
+    import regex
+
+    word = regex.compile(r"[\p{L}\p{N}]+")
+    n_t, n_te, seen, n_e = Counter(), Counter(), defaultdict(set), defaultdict(set)
+    for text in texts:
+        n_t.update(m[0] for m in word.finditer(text.lower()))
+        valid = set(base_spans(text))
+        for kind, pattern in BASE.items():
+            matches = list(re.finditer(pattern, text))
+            edges = [0, *(x for m in matches for x in m.span()), len(text)]
+            for i, m in enumerate(matches):
+                if (kind, *m.span()) not in valid:
+                    continue
+                lo, hi = max(edges[2 * i], m.start() - 80), min(edges[2 * i + 3], m.end() + 80)
+                before, after = text[lo : m.start()], text[m.end() : hi]
+                entity = (kind, m[0].lower() if kind == "email" else re.sub(r"[ ().-]", "", m[0]))
+                n_e[entity].add((before, after))
+                whole = [w for w in word.finditer(text, lo, m.start()) if w.start() > lo or len(before) < 80]
+                whole += [w for w in word.finditer(text, m.end(), hi) if w.end() < hi or len(after) < 80]
+                for w in whole:
+                    # words that the match itself cuts
+                    if w.end() == m.start() and word.match(m[0]) or w.start() == m.end() and word.match(m[0][-1]):
+                        continue
+                    t = w[0].lower()
+                    if len(t) >= 3:
+                        n_te[t, entity] += 1
+                        seen[t, entity].add((before, after))
+    kinds = Counter()
+    for (kind, _), contexts in n_e.items():
+        kinds[kind] += len(contexts)
+    best = {}
+    for (t, entity), n in n_te.items():
+        if not n_t[t]:  # cut by the match before or after
+            continue
+        c = len(seen[t, entity])
+        p = (c + len(n_e[entity]) / kinds[entity[0]]) / (c / min(n / n_t[t], 1) + 1)
+        best[t] = min(best.get(t, 99.0), -math.log2(p))
+    return {t: "removed" if b <= 0.6 else "generalised" for t, b in best.items() if b <= 1}
+
+
+def test_terms_by_plain_counts(spark):
+    sf_dir = os.environ.get("HYLLE_LARGE_DIR", "/root/testdata/sf0.1")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    keyed = docs.select(
+        *(c.alias(k) for k, c in row_key("doc_id", "text").items()), F.coalesce("text", F.lit("")).alias("_text")
+    )
+    found = sanitise.disclosing_terms(keyed, sanitise.base_spans(keyed)).collect()
+    want = plain_terms([r._text for r in keyed.select("_text").collect()])
+    assert {r.term: r.kind for r in found} == want and len(found) == len(want) > 0
+
+
 def test_languages(spark, sf_dir, texts):
     rows = queries.QUERIES["op9_language_id"](spark, sf_dir).collect()
     held = [r for r in rows if r.held_out]
