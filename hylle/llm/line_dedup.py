@@ -1,13 +1,17 @@
 """Lines that many documents repeat, as per-document bitmaps.
 
-Line keys are hashed to 128 bits. How many documents hold a key, and where it
-stands first, is summed up ahead of the shuffle, so a line that a third of all
-documents share moves as one row per task. The places of the keys that pass are
-dealt by range of (hash, document, position) and sorted so; document and
-position in the range key let a hot hash spread over many ranges. The sort decides
-nothing: a place is dropped always (``keep="none"``) or unless it is the first one
-(``keep="first"``), which a minimum and a join find. What comes back is, for each
-document, the 64-line words of its bitmap that have a bit set.
+Line keys are hashed to 128 bits and every line becomes a place: hash, document and
+position. The places are dealt by range of (hash, document) and sorted so within a
+range, by position last. A pass over each sorted range lets through the first
+occurrence of a line in each document, without a further shuffle. What a range found of
+a hash, its number of documents and its first occurrence, is carried on as one row, and
+the rows of a hash that reaches over range borders are put together. The document in
+the range key spreads a line that a third of all documents share over many ranges, and
+each of them carries one row of it.
+
+Places whose hash enough documents hold are dropped: all (``keep="none"``) or all but
+the first occurrence of all (``keep="first"``). What comes back is, for each document,
+the 64-line words of its bitmap that have a bit set.
 
 Defined cases: a null text is one empty line; a key of no code points is never
 dropped; repeated rows (same id and text) count as documents of their own and
@@ -17,7 +21,7 @@ repeated rows all keep the line; columns beside id and text pass untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hylle.llm.common import KEY, carried, fits, hash128, row_key, staged
@@ -39,20 +43,33 @@ def line_key(line: Column) -> Column:
     return F.when(ascii_only, F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
-def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_docs: int = 10
-) -> DataFrame:
-    """Line hashes that at least ``min_docs`` documents hold, with their first document."""
+def line_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Hash, row key and position of every line whose key is not empty."""
     h1, h2 = hash128(F.col("_line"))
     return (
         docs.select(
-            F.struct(*(c.alias(k) for k, c in row_key(id_col, text_col).items())).alias("_doc"),
-            F.explode(F.array_distinct(F.transform(lines_of(F.col(text_col)), line_key))).alias("_line"),
+            *(c.alias(k) for k, c in row_key(id_col, text_col).items()),
+            F.posexplode(F.transform(lines_of(F.col(text_col)), line_key)).alias("_at", "_line"),
         )
         .where(F.col("_line") != "")
-        .select("_doc", h1.alias("_h1"), h2.alias("_h2"))
+        .select(h1.alias("_h1"), h2.alias("_h2"), *KEY, "_at")
+    )
+
+
+def repeated_lines(places: DataFrame, *, min_docs: int = 10) -> DataFrame:
+    """Line hashes that at least ``min_docs`` documents hold, with their first occurrence.
+
+    The window's groups are whole within a range and in its order, so it only reads on.
+    Repeated rows tie at a document's first position and count one by one.
+    """
+    by = ["_h1", "_h2", *KEY]
+    ranges = places.repartitionByRange(*by).sortWithinPartitions(*by, "_at")
+    nth = F.rank().over(Window.partitionBy(*by).orderBy("_at"))
+    return (
+        ranges.withColumn("_nth", nth)
+        .where(F.col("_nth") == 1)
         .groupBy("_h1", "_h2")
-        .agg(F.count(F.lit(1)).alias("_docs"), F.min("_doc").alias("_first"))
+        .agg(F.count(F.lit(1)).alias("_docs"), F.min(F.struct(*KEY, "_at")).alias("_first"))
         .where(F.col("_docs") >= min_docs)
     )
 
@@ -71,30 +88,14 @@ def line_bitmaps(
     """
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
-    repeated = staged(repeated_lines(docs, id_col, text_col, min_docs=min_docs), "repeated-lines")
+    # ranges are drawn from a sample, which would hash all texts once more
+    places = staged(line_places(docs, id_col, text_col), "line-places")
+    repeated = staged(repeated_lines(places, min_docs=min_docs), "repeated-lines")
     if fits(repeated, BROADCAST_ROWS):
         repeated = F.broadcast(repeated)
-    h1, h2 = hash128(line_key(F.col("_line")))
-    places = (
-        docs.select(
-            *(c.alias(k) for k, c in row_key(id_col, text_col).items()),
-            F.posexplode(lines_of(F.col(text_col))).alias("_at", "_line"),
-        )
-        .select(*KEY, "_at", h1.alias("_h1"), h2.alias("_h2"))
-        .join(repeated, ["_h1", "_h2"])
-        .select("_h1", "_h2", *KEY, "_at", "_first")
-    )
-    order = ["_h1", "_h2", *KEY, "_at"]
-    places = staged(places, "line-places").repartitionByRange(*order).sortWithinPartitions(*order)
+    places = places.join(repeated, ["_h1", "_h2"])
     if keep == "first":
-        # the first document keeps its first line of this key
-        own = (F.col("_k1") == F.col("_first._k1")) & (F.col("_k2") == F.col("_first._k2"))
-        firsts = (
-            places.where(own).groupBy("_h1", "_h2", *KEY).agg(F.min("_at").alias("_kept_at"))
-        )
-        places = places.join(firsts, ["_h1", "_h2", *KEY], "left").where(
-            F.col("_kept_at").isNull() | (F.col("_at") != F.col("_kept_at"))
-        )
+        places = places.where(F.struct(*KEY, "_at") != F.col("_first"))
     return (
         places.withColumn("_word", F.expr("_at div 64"))
         .groupBy(*KEY, "_word")

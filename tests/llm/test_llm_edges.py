@@ -96,6 +96,28 @@ def test_line_dedup_long(spark):
         assert r.kept == "\n".join(f"{x} {r.doc_id}" for x in lines if x != "shared")
 
 
+def test_hot_lines_over_many_ranges(spark):
+    rows = [(i, f"hot\nown {i}\n{'rare' if i < 3 else 'pair ' + str(i // 2)}\nhot", None) for i in range(900)]
+    places = line_dedup.line_places(documents(spark, rows)).cache()
+    found = line_dedup.repeated_lines(places, min_docs=2)
+    by = {(r._h1, r._h2): (r._docs, r._first) for r in found.collect()}
+    firsts, docs = {}, {}
+    for r in places.collect():
+        key, place = (r._h1, r._h2), (r._k1, r._k2, r._at)
+        firsts[key] = min(firsts.get(key, place), place)
+        docs.setdefault(key, set()).add((r._k1, r._k2))
+    assert by == {k: (len(docs[k]), firsts[k]) for k in docs if len(docs[k]) > 1}
+    assert 900 in {n for n, _ in by.values()}
+    # the sorted ranges are read on without another shuffle or sort until their sums are carried on
+    plan = line_dedup.repeated_lines(places, min_docs=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") < plan.index("Window [") < plan.index("Exchange rangepartitioning")
+    first = line_dedup.line_bitmaps(documents(spark, rows), min_docs=2, keep="first")
+    out = line_dedup.with_kept_text(documents(spark, rows), first).select("kept").collect()
+    assert sum(r.kept.split("\n").count("hot") for r in out) == 1
+    assert sum("rare" in r.kept for r in out) == 1
+
+
 def test_ngram_join(odd, empty):
     rows = ngram_join.join(odd).select("doc_id", "n_links", "component_id", "kept").collect()
     by = {}
