@@ -45,13 +45,14 @@ def line_key(line: Column) -> Column:
 
 def line_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Hash, row key and position of every line whose key is not empty."""
-    h1, h2 = hash128(F.col("_line"))
+    h1, h2 = hash128(line_key(F.col("_line")))
+    # there is always a line; the outer form spares a filter that would split texts once more
     return (
         docs.select(
             *(c.alias(k) for k, c in row_key(id_col, text_col).items()),
-            F.posexplode(F.transform(lines_of(F.col(text_col)), line_key)).alias("_at", "_line"),
+            F.posexplode_outer(lines_of(F.col(text_col))).alias("_at", "_line"),
         )
-        .where(F.col("_line") != "")
+        .where(F.btrim("_line", F.lit(BLANKS)) != "")
         .select(h1.alias("_h1"), h2.alias("_h2"), *KEY, "_at")
     )
 
