@@ -84,10 +84,13 @@ def overlaps(
         .distinct()
     )
     hits = staged(hits, "seed-hits")
+    items = items.withColumn("_length", F.size("_item_tokens"))
+    lengths = items.select("_item", "_length").distinct()
+    # three numbers an alignment; the item's tokens are looked up where it is scored
     aligned = (
-        hits.join(F.broadcast(items) if few else items, "_item")
+        hits.join(F.broadcast(lengths) if few else lengths, "_item")
         .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("_item", "_shift", "_item_tokens")).alias("_aligned"))
+        .agg(F.collect_list(F.struct("_item", "_shift", "_length")).alias("_aligned"))
     )
     if fits(hits, BROADCAST_ROWS // 10):
         aligned = F.broadcast(aligned)
@@ -97,12 +100,12 @@ def overlaps(
         lambda a: F.struct(
             a["_item"].alias("_item"),
             a["_shift"].alias("_shift"),
-            a["_item_tokens"].alias("_item_tokens"),
+            a["_length"].alias("_length"),
             F.greatest(a["_shift"], F.lit(0)).alias("_from"),
             F.slice(
                 F.col("_tokens"),
                 F.greatest(a["_shift"], F.lit(0)) + 1,
-                F.greatest(F.size(a["_item_tokens"]) + F.least(a["_shift"], F.lit(0)), F.lit(0)),
+                F.greatest(a["_length"] + F.least(a["_shift"], F.lit(0)), F.lit(0)),
             ).alias("_part"),
         ),
     )
@@ -110,6 +113,7 @@ def overlaps(
         keyed.join(aligned, list(KEY))
         .select("_id", *KEY, token_hashes(F.col("_text")).alias("_tokens"), "_aligned")
         .select("_id", *KEY, F.inline(touched))
+        .join(F.broadcast(items) if few else items, ["_item", "_length"])
         .select(
             "_id",
             *KEY,
