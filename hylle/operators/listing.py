@@ -2,7 +2,7 @@
 
 Whether a page is read depends only on facts about pages, so the distinct page
 numbers are compared first and one number per group is joined back: link rows are
-never sorted by group.
+never sorted by group, nor sent to all tasks however small they look beforehand.
 """
 
 from __future__ import annotations
@@ -24,21 +24,29 @@ def last_pages(
     """(group, last_page): reading stops before the first page without rows, after
     a page marked last, and at the page cap if there is one.
 
-    The page after each one with rows, less those that have rows themselves, is
-    where the run from page 1 breaks: an anti join of distinct page numbers and a
-    minimum, so no group is sorted and any number of pages is read.
+    Page 1 and the page after each one with rows, less those that have rows themselves,
+    are where the run from page 1 breaks: flags summed up per distinct page number and a
+    minimum, so no group is sorted, no pages are joined and any number of pages is read.
     """
     number = F.col("page_no").cast("int")
-    counted = pages.where(number >= 1)
-    filled = (counted if has_rows is None else counted.where(has_rows)).select(
-        group, number.alias("_p")
-    ).distinct()
-    first = pages.select(group).distinct().select(group, F.lit(1).alias("_p"))
-    after = filled.select(group, (F.col("_p") + 1).alias("_p"))
-    breaks = first.unionByName(after).join(filled, [group, "_p"], "left_anti")
+    counted = number >= 1
+    filled = counted if has_rows is None else counted & has_rows
+    marks = [(F.lit(True), F.lit(1), False, False), (filled, number, True, False), (filled, number + 1, False, False)]
     if is_last is not None:
-        ends = counted.where(is_last).select(group, (number + 1).alias("_p"))
-        breaks = breaks.unionByName(ends)
+        marks.append((counted & is_last, number + 1, False, True))
+    places = F.array(
+        *[
+            F.struct(F.when(holds, p).alias("_p"), F.lit(full).alias("_filled"), F.lit(end).alias("_end"))
+            for holds, p, full, end in marks
+        ]
+    )
+    flags = (
+        pages.select(group, F.inline(places))
+        .where(F.col("_p").isNotNull())
+        .groupBy(group, "_p")
+        .agg(F.max("_filled").alias("_filled"), F.max("_end").alias("_end"))
+    )
+    breaks = flags.where(~F.col("_filled") | F.col("_end"))
     stop = F.min("_p") - 1
     if page_cap is not None:
         stop = F.least(stop, F.lit(page_cap))
@@ -54,11 +62,11 @@ def read_pages(
 ) -> DataFrame:
     """The rows on pages that sequential reading would reach."""
     limits = last_pages(rows, group, page_cap, has_rows, is_last)
-    return (
-        rows.join(limits, group)
-        .where(F.col("page_no").between(1, F.col("last_page")))
-        .drop("last_page")
-    )
+    # sizes estimated ahead of an explode are far too small, and a broadcast once chosen
+    # stays: by the hint neither side goes through the driver, and hot groups are split
+    limits = limits.withColumnRenamed(group, "_group").hint("shuffle_hash")
+    reached = (F.col(group) == F.col("_group")) & F.col("page_no").between(1, F.col("last_page"))
+    return rows.join(limits, reached, "left_semi").select(group, *[c for c in rows.columns if c != group])
 
 
 def capped(
