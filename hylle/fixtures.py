@@ -17,7 +17,9 @@ TABLES = (
 )
 
 # Relations with long texts: few rows per byte, much work per row. The tables are one
-# small file, one split, each; their rows are dealt out to all cores.
+# small file, one split, each; their rows are dealt out to all cores. Of a derived one
+# the rows it is made of are dealt out, so that its texts are made on all cores too and
+# never cross an exchange.
 LONG_TEXTS = (
     "documents", "pages", "product_pages", "category_pages", "listing_pages", "store2_pages", "card_pages",
 )
@@ -183,11 +185,12 @@ def render(name: str, table_ref) -> str:
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table or a derived relation as a DataFrame."""
+    cores = spark.sparkContext.defaultParallelism
     if name in TABLES:
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    else:
-        table = spark.sql(render(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
-    return table.repartition(spark.sparkContext.defaultParallelism) if name in LONG_TEXTS else table
+        return table.repartition(cores) if name in LONG_TEXTS else table
+    dealt = f"/*+ REPARTITION({cores}) */ " if name in LONG_TEXTS else ""
+    return spark.sql(render(name, lambda t: f"(SELECT {dealt}* FROM parquet.`{sf_dir}/{t}.parquet`)"))
 
 
 def as_sql(name: str) -> str:

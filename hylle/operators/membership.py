@@ -3,8 +3,8 @@
 For rows too wide to shuffle and too costly to read in vain, such as pages: the array
 is built once from the wanted keys and probed where the rows are scanned. A row that is
 not wanted passes with a small probability, a wanted one always, so an exact join
-follows. The array has a fixed size, whatever the number of keys: with more keys than
-it is made for it lets more rows pass, and never drops one.
+follows. The array goes by the number of different keys, up to 16 MB: with more keys than
+that is made for it lets more rows pass, and never drops one.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# 64-bit words of the array: 1 MB; two in a hundred pass by chance at a million keys.
-WORDS = 1 << 17
+# 64-bit words of the array, at least and at most: 1 and 16 MB. A word for every eight
+# keys lets two or three in a hundred pass by chance.
+WORDS, MOST_WORDS, KEYS_PER_WORD = 1 << 17, 1 << 21, 8
 BITS = 4
 
 
@@ -28,6 +29,12 @@ def place(key: Column, words: int) -> tuple[Column, Column]:
     return word, mask
 
 
+def words_for(keys: DataFrame, key: str) -> int:
+    """A power of two, in proportion to the number of different keys within the bounds."""
+    found = keys.agg(F.approx_count_distinct(key)).first()[0]
+    return min(MOST_WORDS, max(WORDS, 1 << (found // KEYS_PER_WORD).bit_length()))
+
+
 def bit_array(keys: DataFrame, key: str, words: int = WORDS) -> Column:
     """The array as a scalar subquery; ``keys`` should be a written table, as it is read for each use."""
     word, mask = place(F.col(key), words)
@@ -43,8 +50,13 @@ def bit_array(keys: DataFrame, key: str, words: int = WORDS) -> Column:
     return dense.agg(F.transform(in_order, lambda w: w["_bits"]).alias("_array")).scalar()
 
 
-def may_be_among(rows: DataFrame, column: str, keys: DataFrame, key: str, words: int = WORDS) -> DataFrame:
-    """The rows whose column is among the keys, and few others; rows without one are dropped."""
+def may_be_among(rows: DataFrame, column: str, keys: DataFrame, key: str, words: int | None = None) -> DataFrame:
+    """The rows whose column is among the keys, and few others; rows without one are dropped.
+
+    Without ``words`` the keys are counted first.
+    """
+    if words is None:
+        words = words_for(keys, key)
     word, mask = place(F.col(column), words)
     held = F.get(bit_array(keys, key, words), word)
     return rows.where(F.col(column).isNotNull() & (held.bitwiseAND(mask) == mask))

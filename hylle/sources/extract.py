@@ -57,7 +57,7 @@ def subcategory_links(pages: DataFrame, profile: StoreProfile = STORE1) -> DataF
             lambda s: F.struct(
                 s["pos"].alias("pos"),
                 name(s).alias("name"),
-                U.resolve(s["link"], profile.base_url).alias("link"),
+                s["link"].alias("link"),
             ),
         )
 
@@ -83,14 +83,14 @@ def subcategory_links(pages: DataFrame, profile: StoreProfile = STORE1) -> DataF
         lambda s: X.has_text(s["link"]) & category_word(s), lambda s: F.lower(s["text"])
     )
     read = read_scopes(pages, "subcategories")
-    found = read.withColumns({"_a": by_section, "_b": by_main, "_c": by_word})
-    chosen = (
-        F.when(F.size("_a") > 0, F.col("_a")).when(F.size("_b") > 0, F.col("_b")).otherwise(F.col("_c"))
-    )
-    return (
-        found.withColumn("_link", F.explode(chosen))
-        .select(*[c for c in pages.columns if c != "html"], "_link.*")
-    )
+    # a strategy is worked out where the ones before it gave nothing
+    for strategy in (by_section, by_main, by_word):
+        if "_links" in read.columns:
+            strategy = F.when(F.size("_links") > 0, F.col("_links")).otherwise(strategy)
+        read = read.withColumn("_links", strategy)
+    kept = [c for c in pages.columns if c != "html"]
+    found = read.select(*kept, F.explode("_links").alias("_link"))
+    return found.select(*kept, "_link.pos", "_link.name", U.resolve("_link.link", profile.base_url).alias("link"))
 
 
 def product_links(pages: DataFrame, profile: StoreProfile = STORE1) -> DataFrame:
@@ -124,8 +124,8 @@ def product_links(pages: DataFrame, profile: StoreProfile = STORE1) -> DataFrame
         F.filter(F.try_element_at("_scopes", F.lit(1))["hits"], valid), lambda h: h["link"]
     )
     read = read_scopes(pages, "product_links")
-    found = read.withColumns({"_cards": absolute(from_cards), "_page": absolute(from_page)})
-    chosen = F.when(F.size("_cards") > 0, F.col("_cards")).otherwise(F.col("_page"))
+    found = read.withColumn("_cards", from_cards)
+    chosen = absolute(F.when(F.size("_cards") > 0, F.col("_cards")).otherwise(from_page))
     kept = [c for c in pages.columns if c != "html"]
     return found.select(*kept, F.posexplode(chosen).alias("pos", "link"))
 
@@ -148,9 +148,10 @@ def store1_products(pages: DataFrame, profile: StoreProfile = STORE1) -> DataFra
     unit = first_of(
         hits, UNIT_RULES, lambda h: h["text"].contains("/") & h["text"].contains("kr")
     )
-    # Pages without the name's tag give nothing and need not be parsed.
-    titled = pages.where(F.col("html").rlike("(?i)<h2"))
-    named = page_hits(titled, "store1_product").withColumns(
+    # Pages without the name's tag give nothing and need not be parsed. Their markup is
+    # left out rather than the rows: a filter would be moved to where markup is made.
+    titled = F.when(F.col("html").rlike("(?i)<h2"), F.col("html"))
+    named = page_hits(pages.withColumn("html", titled), "store1_product").withColumns(
         {
             "name": hit(hits, "name")["text"],
             "info": F.coalesce(hit(hits, "info")["text"], F.lit("")),

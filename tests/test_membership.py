@@ -84,3 +84,11 @@ def test_the_test_stands_before_the_reader(spark, sf_dir):
     lines = plan.splitlines()
     reader = next(i for i, x in enumerate(lines) if "EvalPython" in x)
     assert any("Filter" in x and "Subquery" in x for x in lines[reader + 1 :])
+
+
+def test_the_array_grows_with_the_keys(spark):
+    keys = spark.range(3_000_000).select(F.col("id").cast("string").alias("k"))
+    rows = spark.range(3_000_000, 3_020_000).select(F.col("id").cast("string").alias("u"))
+    assert B.words_for(keys, "k") > B.WORDS == B.words_for(keys.limit(10), "k")
+    assert B.may_be_among(rows, "u", keys, "k").count() < 0.05 * 20_000
+    assert B.may_be_among(keys.limit(500), "k", keys, "k").count() == 500

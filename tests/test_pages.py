@@ -1,9 +1,14 @@
 """Page extraction on small markup."""
 
+from html.parser import HTMLParser
+from random import Random
+
 from pyspark.sql import functions as F
 
+from hylle.fixtures import relation, render
 from hylle.operators.listing import read_pages
 from hylle.sources import extract as E
+from hylle.sources import markup
 from hylle.sources.markup import read_page
 
 
@@ -166,3 +171,60 @@ def test_reading_stops_at_gaps_caps_and_last_pages(spark):
     assert sorted((r.g, r.page_no) for r in read_pages(rows, "g", 1).collect()) == [
         ("a", 1), ("c", 1), ("d", 1),
     ]
+
+
+SOUP = (
+    "<div>", "</div>", "<div class='x product price'>", '<h2 Class="a b">', "</h2>", "<a href=/x/>", '<a href="/y?a=1&amp;b=2">', "</a>",
+    "<a href='/z' href=\"/w\">", "<p>", "</p >", "<script>if(a<b)</script>", "<script>", "</script >", "<style>x</style>", "<!-- kr -->", "<!--",
+    "-->", "<!doctype html>", "<![CDATA[ kr 1]]>", "<?pi kr?>", "<?", "< b", "<", "&amp;", "&am", "kr 5", " æ\xa0ø ", "<br/>", "<img src=/a.png alt='x'/>",
+    "<img\xa0src=a>", "</>", "</ a>", "<SPAN CLASS=price disabled>", "</SPAN>", "<article>", "<section>", "</section>", "<title>a<b>b</title>",
+    '<a href="a>b">', '<a href="cut off>', "<a x = 'y'>", "<a x=='y'>", "<a b'c>", "<a href=x\"y>", "<p class=a&amp;b>", "<a/ href=x>", "<a href='q'class=z>",
+    "<x:y z>", "<p class=\x85a>", "<p a=b\x1fc=d>", "<li>", "<td>", "<ul class=ws-product-list-vertical>", "<button class=ngr-button>Vis flere",
+)
+
+
+def base_reader():
+    class BaseReader(markup.PageReader):
+        goahead = HTMLParser.goahead
+
+    return BaseReader
+
+
+def test_plain_tags_are_read_as_the_base_class_reads_them(monkeypatch):
+    random = Random(1)
+    pages = ["".join(random.choices(SOUP, k=random.randint(0, 30))) for _ in range(1500)]
+    found = [[read_page(page, job) for job in markup.JOBS] for page in pages]
+    monkeypatch.setattr(markup, "PageReader", base_reader())
+    assert found == [[read_page(page, job) for job in markup.JOBS] for page in pages]
+
+
+def test_plain_tags_need_no_second_reading(monkeypatch):
+    """The base class looks at every tag several times; plain ones are kept from it."""
+    left = []
+    for name in ("parse_starttag", "parse_endtag"):
+        former = getattr(HTMLParser, name)
+        monkeypatch.setattr(HTMLParser, name, lambda self, i, f=former: left.append(self.rawdata[i : i + 5]) or f(self, i))
+    read_page('<!doctype html><h2 class="a b">x &amp; y</h2><img src=/a.png alt><script>a<b</script><p>kr 5</p ><p>z</p>', "store1_product")
+    assert left == ["<scri", "</scr", "</p >"]
+
+
+def test_links_by_later_strategies_where_earlier_ones_give_none(spark):
+    part = '<main><div><section><a href="/tema/1/"><h3>T</h3></a></section></div></main>'
+    rows = pages(
+        spark, f'<section><a href="/no/categories/1-a/"><span>A</span></a></section>{part}', part, '<a href="ost/1">OST</a>', None, ""
+    )
+    found = E.subcategory_links(rows).orderBy("id").collect()
+    assert [(r.id, r.name, r.link) for r in found] == [
+        (0, "A", "https://shop.example/no/categories/1-a/"),
+        (1, "T", "https://shop.example/tema/1/"),
+        (2, "ost", "https://shop.example/ost/1"),
+    ]
+
+
+def test_texts_of_derived_pages_are_made_after_rows_are_dealt_out(spark, tmp_path):
+    spark.sql("SELECT id AS p_partkey, 'n' AS p_name, 1 AS p_size FROM range(40)").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    listed = relation(spark, str(tmp_path), "listing_pages")
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan and "html" not in plan[plan.index("Repartition") :]
+    made = spark.sql(render("listing_pages", lambda t: f"parquet.`{tmp_path}/{t}.parquet`"))
+    assert listed.exceptAll(made).isEmpty() and made.exceptAll(listed).isEmpty()
