@@ -62,6 +62,8 @@ def ingest(
     categories = P.with_url(
         category_relation(P.named_like(configured, category_filter), profile.base_url)
     ).withColumn("name", F.coalesce("name", F.lit("unknown")))
+    # read several times: made once, in as many files as there are cores
+    categories = materialised(spark, categories.repartition(spark.sparkContext.defaultParallelism), "categories")
     if runs is not None:
         if not spark.catalog.tableExists(runs.location):
             S.make_table(spark, S.empty_runs(spark), runs, "run_id")
