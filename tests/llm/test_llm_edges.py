@@ -215,6 +215,26 @@ def test_encoder_equals_tokenizer():
         assert np.frombuffer(ids, "<u4").tolist() == want, text
 
 
+def test_encoder_splits_marks_off_known_words():
+    encoder = packing.Encoder(tokenizer_path())
+    known = "thretian hareathesh véile ſtraße x1 don't <|endoftext|>"
+    encoder.encode([known])
+    asked = []
+    whole = encoder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return whole.encode_batch_fast(texts, **kw)
+
+    encoder.tokenizer = Counted()
+    text = "Thretian&&& hareathesh.), véile### x1;; thretian.'s don't'. a|> <|endoftext|>. x1<|endoftext|> thretian&&&'"
+    (ids,) = encoder.encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert {"&&&", ".),", "###", ";;"} <= set(asked)
+    assert not {"thretian&&&", "hareathesh.),", "véile###", "x1;;"} & set(asked)
+
+
 def test_language(odd, empty, spark):
     rows = language_id.identify(odd).select("doc_id", "lang_pred", "score", "rejected").collect()
     assert len(rows) == odd.count()
