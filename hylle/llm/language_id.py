@@ -41,6 +41,8 @@ from hylle.llm.common import KEY, fits, row_key, staged
 
 ORDER = 4
 CHUNK = 400_000
+# characters scored at a time; a task's arrays hold some hundred bytes for each
+SCORED_AT_ONCE = 100_000
 ROWS_AT_ONCE = 512
 SLOTS = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -92,8 +94,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, place
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """Rows and parts of their texts, at most about CHUNK characters at a time."""
+def slices(texts: list[str | None], at_once: int = CHUNK) -> Iterator[tuple[list[int], list[str]]]:
+    """Rows and parts of their texts, each of CHUNK characters at most, about ``at_once`` of them at a time."""
     rows, parts, held = [], [], 0
     for row, text in enumerate(texts):
         text = text or ""
@@ -102,7 +104,7 @@ def slices(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
             rows.append(row)
             parts.append(part)
             held += len(part)
-            if held >= CHUNK:
+            if held >= at_once:
                 yield rows, parts
                 rows, parts, held = [], [], 0
     if rows:
@@ -292,7 +294,7 @@ class Scorer:
         """Per text: bits under each language, symbols, and letters."""
         bits = np.zeros((len(texts), len(self.langs)))
         n, letters = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        for rows, parts in slices(texts):
+        for rows, parts in slices(texts, SCORED_AT_ONCE):
             found, place = grams(parts)
             starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
             row = np.asarray(rows)[place[starts]]

@@ -235,6 +235,29 @@ def test_encoder_splits_marks_off_known_words():
     assert not {"thretian&&&", "hareathesh.),", "véile###", "x1;;"} & set(asked)
 
 
+def test_language_is_scored_in_small_slices(monkeypatch):
+    grams, sizes = language_id.grams, []
+    texts = ["ab " * 9_000, None, "", "x" * 250_000, "y" * 900_001, *["cd " * 100] * 3_000]
+    found, _ = grams(["ab cd " * 50])
+    found, n = np.unique(found, return_counts=True)
+    models = {"a": language_id.KneserNey(language_id.levels_of(found, n))}
+
+    def seen(parts):
+        sizes.append(parts)
+        return grams(parts)
+
+    monkeypatch.setattr(language_id, "grams", seen)
+    got = language_id.Scorer(models).total_bits(texts)
+    assert all(sum(map(len, p[:-1])) < 100_000 for p in sizes)
+    # parts of a long text are as before
+    assert [p for ps in sizes for p in ps] == [
+        (t or "")[at : at + 400_000] for t in texts for at in range(0, max(len(t or ""), 1), 400_000)
+    ]
+    monkeypatch.setattr(language_id, "SCORED_AT_ONCE", language_id.CHUNK)
+    for own, whole in zip(got, language_id.Scorer(models).total_bits(texts)):
+        assert np.array_equal(own, whole)
+
+
 def test_language(odd, empty, spark):
     rows = language_id.identify(odd).select("doc_id", "lang_pred", "score", "rejected").collect()
     assert len(rows) == odd.count()
