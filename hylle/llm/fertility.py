@@ -19,7 +19,7 @@ same bands however the rows are dealt. A class with fewer than ``LEAST`` texts t
 band of its script, then that of all texts; if that has too few, nothing is rejected.
 
 Defined cases: a null text has no words and fails the word rules, as any text below
-twenty words does; a null or unknown language counts by script; repeated rows give the
+twenty words does; measures that are shares of no tokens are null; a null or unknown language counts by script; repeated rows give the
 same result; no rows give none; columns beside id, text and language travel in one
 struct, so their names cannot clash.
 """
@@ -29,6 +29,7 @@ from __future__ import annotations
 import base64
 import importlib
 import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,11 @@ SCRIPTS = (
     (0xF900, "han"), (0xFB00, ""), (0x20000, "han"), (0x30000, ""),
 )
 
+# bytes that are split by one pattern at most: it gives up on some million blanks in a row
+SPLIT = 400_000
+# the vocabulary's blanks; of these only the first stands at the begin of a word, for the one before it
+BLANKS = re.compile("[ \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "tokens_byte", "tokens_piece", "fallback")
 FOUND = f"struct<{','.join(f'{c}:long' for c in COUNTS)},entropy:double,script:string>"
 
@@ -82,10 +88,17 @@ class Vocabulary:
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All words' tokens in a row, each word with a blank before it, and each word's number of them."""
         if self.ranked and words:
+            stops = np.cumsum([len(w) + 1 for w in words])
+            if stops[-1] > SPLIT and len(words) > 1:
+                half = min(max(1, int(np.searchsorted(stops, stops[-1] // 2))), len(words) - 1)
+                parts = self.encode(words[:half]), self.encode(words[half:])
+                return tuple(np.concatenate(p) for p in zip(*parts))
+            if stops[-1] > SPLIT:
+                flat = np.asarray(self._long(" " + words[0].decode()), np.int64)
+                return flat, np.asarray([len(flat)])
             # no token reaches over a blank, so that words can be encoded in one call
             flat = np.asarray(self.model.encode_ordinary((b" " + b" ".join(words)).decode()), np.int64)
             ends = np.cumsum(self.widths[flat])
-            stops = np.cumsum([len(w) + 1 for w in words])
             places = np.searchsorted(ends, stops)
             if places[-1] < len(ends) and np.array_equal(ends[places], stops):
                 return flat, np.diff(places + 1, prepend=0)
@@ -95,6 +108,19 @@ class Vocabulary:
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
+    def _long(self, text: str) -> list[int]:
+        """A long word's tokens. Long rows of blanks are taken out of the pattern's sight.
+
+        The pattern makes all blanks of a row one piece, but for the last one before another character.
+        """
+        tokens, at = [], 0
+        for run in BLANKS.finditer(text):
+            last = run.end() - (run.end() < len(text))
+            tokens += self.model.encode_ordinary(text[at : run.start()])
+            tokens += self.model._encode_single_piece(text[run.start() : last])
+            at = last
+        return tokens + self.model.encode_ordinary(text[at:])
+
 
 def _whole(token: bytes) -> bool:
     try:
@@ -240,9 +266,9 @@ def measured(docs: DataFrame, paths: tuple[str, str], id_col: str = "doc_id", te
 def measures() -> dict[str, Column]:
     f = lambda c: F.col(f"found.{c}")
     return {
-        "chars_per_token_byte": f("word_chars") / f("tokens_byte"),
-        "chars_per_token_piece": f("word_chars") / f("tokens_piece"),
-        "fallback_share": f("fallback") / (f("tokens_byte") + f("tokens_piece")),
+        "chars_per_token_byte": F.try_divide(f("word_chars"), f("tokens_byte")),
+        "chars_per_token_piece": F.try_divide(f("word_chars"), f("tokens_piece")),
+        "fallback_share": F.try_divide(f("fallback"), f("tokens_byte") + f("tokens_piece")),
         "entropy": f("entropy"),
     }
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -257,6 +258,32 @@ def test_fertility_of_odd_texts(odd, empty, vocabularies):  # noqa: F811
     assert fertility.quality(empty, paths).count() == 0
 
 
+def test_fertility_of_texts_without_words(spark):
+    """All columns can be read: shares of no tokens are null and the texts are not kept."""
+    rows = [(1, "", "en"), (2, None, None), (3, " \n\t", "en"), (4, "some words", "en")]
+    out = {r.doc_id: r for r in fertility.quality(documents(spark, rows), tuple(map(tokenizer_path, PATHS))).select("row.doc_id", "*").collect()}
+    shares = ("chars_per_token_byte", "chars_per_token_piece", "fallback_share")
+    assert len(out) == 4 and all(out[i][c] is None for i in (1, 2, 3) for c in shares)
+    assert all(out[4][c] is not None for c in shares)
+    assert not any(r.kept or r.outside for r in out.values())
+
+
+def test_long_rows_of_blanks_and_words(vocabularies, monkeypatch):
+    """The pattern gives up on a million blanks; what is cut before it is encoded as before."""
+    byte = vocabularies[0]
+    flat, sizes = byte.encode([("\xa0" * 1_500_000 + "x").encode(), b"end"])
+    assert sizes.tolist() == [len(flat) - 1, 1]
+    assert byte.model.decode(flat.tolist()) == " " + "\xa0" * 1_500_000 + "x end"
+    monkeypatch.setattr(fertility, "BLANKS", re.compile(fertility.BLANKS.pattern.replace("100000", "3")))
+    monkeypatch.setattr(fertility, "SPLIT", 40)
+    rng = random.Random(1)
+    for _ in range(100):
+        words = ["".join(rng.choices(["\xa0", "\u3000", "\x85", "ab", "#", "1", "'s", "é"], k=rng.randint(1, 40))) for _ in range(20)]
+        flat, sizes = byte.encode([w.encode() for w in words])
+        want = [byte.model.encode_ordinary(" " + w) for w in words]
+        assert flat.tolist() == [t for w in want for t in w] and sizes.tolist() == list(map(len, want))
+
+
 def test_scripts():
     for text, script in (("abc", "latin"), ("ñandú é", "latin"), ("привет мир", "cyrillic"), ("漢字かな漢", "han"), ("ελληνικά", "greek"), ("한국어", "hangul"), ("שלום", "hebrew"), ("مرحبا", "arabic"), ("123 #!", ""), ("", "")):
         assert fertility.script_of(text.encode()) == script
