@@ -282,7 +282,7 @@ def lower_documents(spark, sf):
 )
 def large_dictionary_join(spark, sf):
     hits = B.keyword_hits(
-        lower_documents(spark, sf), large_dictionary(spark, sf), key="doc_id", text="text"
+        lower_documents(spark, sf), large_dictionary(spark, sf).select("keyword", "label"), key="doc_id", text="text"
     )
     return hits.select("doc_id", "keyword", "label")
 
