@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 # Places that are read on together.
 STRETCH = 1 << 18
 # Rows of a batch that goes back to Spark.
@@ -58,7 +58,7 @@ class Strings:
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
         self.data, self.starts, self.sizes = data, starts, sizes
-        bits = min(26, max(12, int(2 * sizes.sum()).bit_length()))
+        bits = min(26, max(12, int(sizes.sum()).bit_length()))
         self.mask = np.uint64((1 << bits) - 1)
         self.singles = np.full(1 << 8, -1, np.int64)
         self.pairs = np.full(1 << 16, -1, np.int64)
